@@ -8,6 +8,7 @@ from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dayfold import schemas
 from dayfold.operators import ledgers, outcomes, quality, responses, upsert
@@ -25,10 +26,14 @@ def stamp_of(run_time: datetime) -> Column:
     return F.lit(run_time.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
-def _read_events(warehouse: Warehouse, table: str, like: DataFrame) -> DataFrame:
-    if warehouse.exists(table):
-        return warehouse.spark.read.schema(like.schema).parquet(warehouse.path(table))
-    return warehouse.spark.createDataFrame([], like.schema)
+def _state(warehouse: Warehouse, events: str, spec: schemas.TableSpec) -> DataFrame:
+    """A ledger table from its events (its columns and a sequence number)."""
+    schema = T.StructType([*spec.schema.fields, T.StructField("seq", T.IntegerType())])
+    if warehouse.exists(events):
+        rows = warehouse.spark.read.schema(schema).parquet(warehouse.path(events))
+    else:
+        rows = warehouse.spark.createDataFrame([], schema)
+    return ledgers.current_state(rows).select(*spec.columns)
 
 
 def plan(warehouse: Warehouse, first: date, last: date) -> DataFrame:
@@ -84,25 +89,22 @@ def land_raw_docs(warehouse: Warehouse, docs: DataFrame) -> Counter:
 
 def api_import_log(warehouse: Warehouse) -> DataFrame:
     """State of the calls."""
-    empty = schemas.API_IMPORT_LOG.schema.add("seq", "int")
-    events = _read_events(warehouse, CALL_EVENTS, warehouse.spark.createDataFrame([], empty))
-    return ledgers.current_state(events).select(*schemas.API_IMPORT_LOG.columns)
+    return _state(warehouse, CALL_EVENTS, schemas.API_IMPORT_LOG)
 
 
 def import_log(warehouse: Warehouse) -> DataFrame:
     """State of the imported files."""
-    empty = schemas.IMPORT_LOG.schema.add("seq", "int")
-    events = _read_events(warehouse, IMPORT_EVENTS, warehouse.spark.createDataFrame([], empty))
-    return ledgers.current_state(events).select(*schemas.IMPORT_LOG.columns)
+    return _state(warehouse, IMPORT_EVENTS, schemas.IMPORT_LOG)
 
 
 @dataclass(frozen=True)
 class Transformed:
-    """What a transform run wrote: rows per outcome and rows dropped as duplicates."""
+    """What a transform run staged, and the judged documents still to be recorded."""
 
     processed: int
     errors: int
     duplicates: int
+    judged: DataFrame
 
 
 STAGING = {"w": schemas.WEATHER_STAGING, "c": schemas.COVID_STAGING}
@@ -111,31 +113,42 @@ ROUTED = "routed_documents"
 
 
 def transform_source(
-    warehouse: Warehouse, docs: DataFrame, source: str, codebook: DataFrame | None = None, route: bool = True
+    warehouse: Warehouse, docs: DataFrame, source: str, codebook: DataFrame | None = None
 ) -> Transformed:
-    """Documents of one source to its staging table, the ledger and their areas.
+    """Documents of one source to its staging table.
 
-    The judged documents are staged once and feed all three, so a document is
-    parsed once and what the ledger says is what was staged. Of two documents
-    for one country and day the later one is staged.
+    The judged documents are staged once and feed the staging table, the ledger
+    and the areas, so a document is parsed once and what the ledger says is what
+    was staged. Of two documents for one country and day the later one counts.
     """
     spec = STAGING[source]
     judged = outcomes.judge_documents(docs, source, warehouse.read("country"), codebook)
     keep = ["source", "file_path", "file_name", "modified", "batch_date", "status", "row_count", "reason", "value"]
-    data = [c for c in spec.columns if c not in keep]
-    judged = warehouse.stage(judged.select(*keep, *data), f"judged-{source}")
+    judged = warehouse.stage(judged.select(*keep, *spec.columns), f"judged-{source}")
 
     rows = outcomes.staged(judged, spec, extra=list(upsert.PLACE))
     latest = warehouse.stage(upsert.latest_per_key(rows, spec.primary_key, upsert.PLACE), f"staging-{source}")
     warehouse.overwrite(spec.name, latest.select(*spec.columns))
-    warehouse.append(DOCUMENT_LEDGER, outcomes.ledger_rows(judged))
-    if route:
-        routed = outcomes.routed(judged)
-        routed.write.mode("append").partitionBy("status", "source").parquet(warehouse.path(ROUTED))
 
     counts = {r["status"]: r["count"] for r in judged.groupBy("status").count().collect()}
     dropped = latest.agg(F.sum("dropped")).first()[0] or 0
-    return Transformed(counts.get(outcomes.PROCESSED, 0), counts.get(outcomes.ERROR, 0), dropped)
+    return Transformed(counts.get(outcomes.PROCESSED, 0), counts.get(outcomes.ERROR, 0), dropped, judged)
+
+
+def record(warehouse: Warehouse, judged: DataFrame) -> None:
+    """Documents to the ledger and to the area of their outcome.
+
+    Comes last: a document in the ledger is not read again, so it must not be
+    there before its rows are where they belong.
+    """
+    routed = outcomes.routed(judged)
+    routed.write.mode("append").partitionBy("status", "source").parquet(warehouse.path(ROUTED))
+    warehouse.append(DOCUMENT_LEDGER, outcomes.ledger_rows(judged))
+
+
+def routed_documents(warehouse: Warehouse) -> DataFrame:
+    """Documents by area; a repeated run leaves copies, which are folded here."""
+    return warehouse.spark.read.parquet(warehouse.path(ROUTED)).dropDuplicates(["status", "file_path", "modified"])
 
 
 def document_ledger(warehouse: Warehouse) -> DataFrame:
@@ -203,7 +216,11 @@ def run(
     envelopes: DataFrame | None = None, codebook: DataFrame | None = None,
     first: date | None = None, last: date | None = None,
 ) -> dict:
-    """Any of the steps, in order. Transform reads landed documents not handled yet."""
+    """Any of the steps, in order. Transform reads landed documents not handled yet.
+
+    Documents are recorded after the load, if there is one: a run that broke off
+    before reads them again, and finds what it had loaded unchanged.
+    """
     unknown = set(steps) - set(STEPS)
     if unknown:
         raise ValueError(f"unknown steps: {sorted(unknown)}")
@@ -219,4 +236,6 @@ def run(
         done["transform"] = transform(warehouse, new["w"], new["c"], codebook)
     if "load" in steps:
         done["load"] = load(warehouse, run_time)
+    for transformed in done.get("transform", {}).values():
+        record(warehouse, transformed.judged)
     return done

@@ -26,12 +26,15 @@ def used_countries(countries: DataFrame, covid: DataFrame, weather: DataFrame) -
 
 
 def country_dimension(countries: DataFrame) -> DataFrame:
-    """Distinct countries with their row hash; decimals are hashed at full scale."""
+    """Countries with their row hash; decimals are hashed at full scale.
+
+    The id is the key of the parameter table, so the rows are distinct already.
+    """
     rows = countries.select(
         F.col("id").alias("country_id"), F.col("code").alias("country_code"), F.col("name").alias("country_name"),
         F.col("latitude").cast("decimal(9,6)").alias("latitude"),
         F.col("longitude").cast("decimal(9,6)").alias("longitude"),
-    ).distinct()
+    )
     return rows.withColumn("hash_value", text.row_hash(*[F.col(c) for c in rows.columns]))
 
 
@@ -61,8 +64,8 @@ def star_join(staging: DataFrame, dim_country: DataFrame, dim_date: DataFrame, v
     )
 
 
-def _fact(joined: DataFrame) -> DataFrame:
-    """Adds the row hash, the surrogate id and the month partition."""
+def fact_rows(joined: DataFrame) -> DataFrame:
+    """Adds the row hash (over all columns in order), the surrogate id and the month partition."""
     return joined.withColumns({
         "hash_value": text.row_hash(*[F.col(c) for c in joined.columns]),
         "id": F.xxhash64("country_id", "date_id"),
@@ -74,15 +77,16 @@ def month_of(date_id: Column) -> Column:
     return F.floor(date_id / 100).cast("int")
 
 
-def covid_fact(covid: DataFrame, dim_country: DataFrame, dim_date: DataFrame) -> DataFrame:
-    return _fact(star_join(covid, dim_country, dim_date, ["confirmed_cases", "deaths", "recovered"]))
-
-
+COVID_VALUES = ["confirmed_cases", "deaths", "recovered"]
 WEATHER_VALUES = [
     "weather_code", "mean_temperature", "mean_surface_pressure", "precipitation_sum", "relative_humidity", "wind_speed",
 ]
 
 
+def covid_fact(covid: DataFrame, dim_country: DataFrame, dim_date: DataFrame) -> DataFrame:
+    return fact_rows(star_join(covid, dim_country, dim_date, COVID_VALUES))
+
+
 def weather_fact(weather: DataFrame, dim_country: DataFrame, dim_date: DataFrame) -> DataFrame:
-    fact = _fact(star_join(weather, dim_country, dim_date, WEATHER_VALUES))
+    fact = fact_rows(star_join(weather, dim_country, dim_date, WEATHER_VALUES))
     return fact.withColumn("mean_surface_pressure", F.col("mean_surface_pressure").cast("decimal(7,2)"))

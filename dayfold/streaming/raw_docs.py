@@ -1,7 +1,7 @@
-"""Raw documents as a stream: every new file is handled once.
+"""Documents as a stream: every new file is handled once.
 
 The file source with its checkpoint stands in for moving handled files away.
-A file is known by its path: a changed text has to come under a new name.
+A raw file is known by its path: a changed text has to come under a new name.
 """
 
 from __future__ import annotations
@@ -12,33 +12,49 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from dayfold import schemas
 from dayfold.plans import jobs
 from dayfold.sources import documents
 from dayfold.sources.warehouse import Warehouse
 
 
-def stream_raw_docs(
-    warehouse: Warehouse, directory: str, source: str, checkpoint: str,
-    codebook: Callable[[], DataFrame] | None = None,
-    clock: Callable[[], datetime] = datetime.now,
-    files_per_batch: int = 100_000,
+def raw_stream(warehouse: Warehouse, directory: str, source: str, files_per_batch: int = 100_000) -> DataFrame:
+    """New raw files below a directory."""
+    return documents.scan_raw_docs(
+        warehouse.spark, directory, source, stream=True, maxFilesPerTrigger=str(files_per_batch)
+    )
+
+
+def landed_stream(warehouse: Warehouse, source: str, files_per_batch: int = 1000) -> DataFrame:
+    """New files of the landed table, each with many documents."""
+    table = schemas.LANDED.name
+    files = (
+        warehouse.spark.readStream.schema(warehouse.schema(table))
+        .option("maxFilesPerTrigger", str(files_per_batch))
+        .parquet(warehouse.path(table))
+    )
+    return files.where(files.source == source).drop("month_id")
+
+
+def stream_documents(
+    warehouse: Warehouse, docs: DataFrame, source: str, checkpoint: str,
+    codebook: Callable[[], DataFrame] | None = None, clock: Callable[[], datetime] = datetime.now,
 ) -> StreamingQuery:
-    """Transforms and loads the new files below a directory, in micro-batches.
+    """Transforms and loads what is there in micro-batches, then stops.
 
-    Runs over what is there and stops. A batch that is repeated after a failure
-    appends ledger rows with the same ids, which the ledger folds, and changes
-    no fact: the upsert finds the hashes equal.
+    A micro-batch may come again after a failure. Documents are recorded last,
+    so one that is in the ledger is loaded and left out; the others are loaded
+    again, where equal hashes leave the facts as they are.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        jobs.transform_source(warehouse, batch, source, codebook() if codebook else None)
+        new = documents.unseen(batch, jobs.document_ledger(warehouse))
+        done = jobs.transform_source(warehouse, new, source, codebook() if codebook else None)
         jobs.load(warehouse, clock())
+        jobs.record(warehouse, done.judged)
 
-    files = documents.scan_raw_docs(
-        warehouse.spark, directory, source, stream=True, maxFilesPerTrigger=str(files_per_batch)
-    )
     return (
-        files.writeStream.foreachBatch(handle)
+        docs.writeStream.foreachBatch(handle)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

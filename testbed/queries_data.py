@@ -61,7 +61,7 @@ query(
     "star_join_covid", "country_id:i date_id:i confirmed_cases:i deaths:i recovered:i", "SELECT * FROM covid_fact",
     "covid_fact",
 )(lambda v: star.star_join(
-    v.covid_staging(), v.dim_country(), v.dim_date(), ["confirmed_cases", "deaths", "recovered"]
+    v.covid_staging(), v.dim_country(), v.dim_date(), star.COVID_VALUES
 ))
 
 WEATHER_COLUMNS = (

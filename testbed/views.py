@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dayfold.functions import dates
 from dayfold.plans import star
 from dayfold.sources import codebook as books
 
@@ -19,9 +20,13 @@ class Views:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self._read: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        """A given table; its footer is read once per query."""
+        if name not in self._read:
+            self._read[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._read[name]
 
     def _nations(self) -> DataFrame:
         """Customer key to country id."""
@@ -235,9 +240,15 @@ class Views:
     def dim_weather_code(self, weather: DataFrame) -> DataFrame:
         return star.code_dimension(weather)
 
+    # Facts as the questions read them: the key of a date follows from the date,
+    # and every country and date has its dimension row, so no join is needed.
+
     def covid_fact(self, status: Column | None = None) -> DataFrame:
-        return star.covid_fact(self.covid_staging(status), self.dim_country(), self.dim_date())
+        return self._keyed(self.covid_staging(status), star.COVID_VALUES)
 
     def weather_fact(self, flag: Column | None = None) -> DataFrame:
-        days = star.date_dimension(self.ship_dates())
-        return star.weather_fact(self.weather_raw(flag), self.dim_country(), days)
+        fact = self._keyed(self.weather_raw(flag), star.WEATHER_VALUES)
+        return fact.withColumn("mean_surface_pressure", F.col("mean_surface_pressure").cast("decimal(7,2)"))
+
+    def _keyed(self, staging: DataFrame, values: list[str]) -> DataFrame:
+        return star.fact_rows(staging.select("country_id", dates.date_key(F.col("date")).alias("date_id"), *values))
