@@ -108,40 +108,55 @@ def upsert(
 ) -> Counter:
     """Merges a source into a table of the warehouse; returns rows per action.
 
-    * The source is written to scratch once: its size is then known, and its
-      plan is not run again.
-    * Only the target partitions that occur in the source are read, and only
-      those with a change are written. Without a change nothing is written.
-    * The new partitions are complete in scratch before the table is touched.
+    The new rows are complete in scratch before the table is touched, and
+    without a change nothing is written. With ``order``, several source rows of
+    a key are reduced to the last one, and the others counted as dropped.
     """
     spec = schemas.TABLES[table]
-    keys, part = spec.primary_key, spec.partition_by
     if order:
-        source = latest_per_key(source, keys, order)
-    source = warehouse.stage(source, f"{table}-source")
-    target = warehouse.read(table)
-    if part:
-        # A month list: bounded by the calendar, so it may pass the driver.
-        months = [row[0] for row in source.select(part).distinct().collect()]
-        target = target.where(F.col(part).isin(months))
-    changes = warehouse.stage(tag_changes(target, source, keys), f"{table}-changes")
-
-    group = ["action", part] if part else ["action"]
-    rows = changes.groupBy(*group).agg(F.count("*").alias("n")).collect()
+        source = latest_per_key(source, spec.primary_key, order)
+    with warehouse.scratch(table) as scratch:
+        # Staged first: its plan runs once, and its size is then known to the optimizer.
+        source = scratch.stage(source, "source")
+        write = _upsert_partitions if spec.partition_by else _upsert_whole
+        counts = write(warehouse, spec, source, stamp, scratch)
+        if order:
+            counts["dropped"] = source.agg(F.sum("dropped")).first()[0] or 0
+    return counts
+
+
+def _upsert_whole(warehouse: Warehouse, spec, source: DataFrame, stamp, scratch) -> Counter:
+    """Rewrites the table: one join, staged with its actions."""
+    target = warehouse.read(spec.name)
+    result = scratch.stage(merge_result(target, source, spec.primary_key, stamp), "result")
+    counts = Counter({row["action"]: row["n"] for row in merge_counts(result).collect()})
+    if counts[INSERT] or counts[UPDATE]:
+        warehouse.overwrite(spec.name, result.drop("action"))
+    return counts
+
+
+def _upsert_partitions(warehouse: Warehouse, spec, source: DataFrame, stamp, scratch) -> Counter:
+    """Rewrites the partitions with a change.
+
+    The tags hold keys and actions only, so that wide values are not written a
+    second time.
+    """
+    keys, part = list(spec.primary_key), spec.partition_by
+    # A month list: bounded by the calendar, so it may pass the driver.
+    months = [row[0] for row in source.select(part).distinct().collect()]
+    target = warehouse.read(spec.name).where(F.col(part).isin(months))
+    narrow = source.select(*keys, part, HASH)
+    tags = scratch.stage(tag_changes(target, narrow, spec.primary_key).drop(HASH), "tags")
+
+    rows = tags.groupBy("action", part).agg(F.count("*").alias("n")).collect()
     counts = Counter()
     for row in rows:
         counts[row["action"]] += row["n"]
-    if order:
-        counts["dropped"] = source.agg(F.sum("dropped")).first()[0] or 0
-    if not counts[INSERT] and not counts[UPDATE]:
-        return counts
-
-    if part:
-        touched = sorted({row[part] for row in rows if row["action"] in (INSERT, UPDATE)})
-        target = target.where(F.col(part).isin(touched))
-        result = warehouse.stage(apply_changes(target, changes, keys, stamp), f"{table}-result", part)
-        warehouse.overwrite_partitions(table, result)
-    else:
-        result = warehouse.stage(apply_changes(target, changes, keys, stamp), f"{table}-result")
-        warehouse.overwrite(table, result)
+    touched = sorted({row[part] for row in rows if row["action"] in (INSERT, UPDATE)})
+    if touched:
+        changed = tags.where(F.col("action").isin(INSERT, UPDATE)).select(*keys, "action")
+        changes = source.where(F.col(part).isin(touched)).join(changed, keys)
+        current = target.where(F.col(part).isin(touched))
+        result = scratch.stage(apply_changes(current, changes, spec.primary_key, stamp), "result")
+        warehouse.overwrite_partitions(spec.name, result)
     return counts

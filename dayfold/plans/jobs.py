@@ -14,7 +14,7 @@ from dayfold import schemas
 from dayfold.operators import ledgers, outcomes, quality, responses, upsert
 from dayfold.plans import star
 from dayfold.sources import documents, parameters
-from dayfold.sources.warehouse import Warehouse
+from dayfold.sources.warehouse import Scratch, Warehouse
 
 CALL_EVENTS = "api_call_events"
 IMPORT_EVENTS = "import_events"
@@ -60,20 +60,21 @@ def land(warehouse: Warehouse, envelopes: DataFrame, run_time: datetime) -> Coun
         .withColumn("file_name", documents.file_name_of(F.col("source"), F.col("code"), F.col("batch_date")))
         .drop("body", "http_status", "api_name")
     )
-    calls = warehouse.stage(calls, "calls")
-    warehouse.append(CALL_EVENTS, ledgers.call_events(calls))
-
-    answered = calls.where(F.col("code_response").isNotNull())
-    today = F.lit(run_time.date()).cast("date")
-    events = ledgers.import_events(answered, import_log(warehouse), today)
-    warehouse.append(IMPORT_EVENTS, warehouse.stage(events, "import-events"))
-
-    folder = F.concat(F.lit("data/raw/"), documents.folder_of(F.col("source")), F.lit("/"))
-    docs = answered.select(
-        "source", "batch_date", "file_name", F.concat(folder, "file_name").alias("file_path"),
-        stamp_of(run_time).alias("modified"), "value",
-    )
-    return land_raw_docs(warehouse, docs)
+    with warehouse.scratch("land") as scratch:
+        calls = scratch.stage(calls, "calls")
+        warehouse.append(CALL_EVENTS, ledgers.call_events(calls))
+
+        answered = calls.where(F.col("code_response").isNotNull())
+        today = F.lit(run_time.date()).cast("date")
+        events = ledgers.import_events(answered, import_log(warehouse), today)
+        warehouse.append(IMPORT_EVENTS, scratch.stage(events, "import-events"))
+
+        folder = F.concat(F.lit("data/raw/"), documents.folder_of(F.col("source")), F.lit("/"))
+        docs = answered.select(
+            "source", "batch_date", "file_name", F.concat(folder, "file_name").alias("file_path"),
+            stamp_of(run_time).alias("modified"), "value",
+        )
+        return land_raw_docs(warehouse, docs)
 
 
 def land_raw_docs(warehouse: Warehouse, docs: DataFrame) -> Counter:
@@ -105,6 +106,7 @@ class Transformed:
     errors: int
     duplicates: int
     judged: DataFrame
+    scratch: Scratch
 
 
 STAGING = {"w": schemas.WEATHER_STAGING, "c": schemas.COVID_STAGING}
@@ -124,26 +126,29 @@ def transform_source(
     spec = STAGING[source]
     judged = outcomes.judge_documents(docs, source, warehouse.read("country"), codebook)
     keep = ["source", "file_path", "file_name", "modified", "batch_date", "status", "row_count", "reason", "value"]
-    judged = warehouse.stage(judged.select(*keep, *spec.columns), f"judged-{source}")
+    scratch = warehouse.scratch(f"transform-{source}")
+    judged = scratch.stage(judged.select(*keep, *spec.columns), "judged")
 
     rows = outcomes.staged(judged, spec, extra=list(upsert.PLACE))
-    latest = warehouse.stage(upsert.latest_per_key(rows, spec.primary_key, upsert.PLACE), f"staging-{source}")
+    latest = scratch.stage(upsert.latest_per_key(rows, spec.primary_key, upsert.PLACE), "staging")
     warehouse.overwrite(spec.name, latest.select(*spec.columns))
 
     counts = {r["status"]: r["count"] for r in judged.groupBy("status").count().collect()}
     dropped = latest.agg(F.sum("dropped")).first()[0] or 0
-    return Transformed(counts.get(outcomes.PROCESSED, 0), counts.get(outcomes.ERROR, 0), dropped, judged)
+    return Transformed(counts.get(outcomes.PROCESSED, 0), counts.get(outcomes.ERROR, 0), dropped, judged, scratch)
 
 
-def record(warehouse: Warehouse, judged: DataFrame) -> None:
-    """Documents to the ledger and to the area of their outcome.
+def record(warehouse: Warehouse, transformed: Transformed) -> None:
+    """Documents to the ledger and to the area of their outcome; ends the run.
 
     Comes last: a document in the ledger is not read again, so it must not be
     there before its rows are where they belong.
     """
+    judged = transformed.judged
     routed = outcomes.routed(judged)
     routed.write.mode("append").partitionBy("status", "source").parquet(warehouse.path(ROUTED))
     warehouse.append(DOCUMENT_LEDGER, outcomes.ledger_rows(judged))
+    transformed.scratch.close()
 
 
 def routed_documents(warehouse: Warehouse) -> DataFrame:
@@ -237,5 +242,5 @@ def run(
     if "load" in steps:
         done["load"] = load(warehouse, run_time)
     for transformed in done.get("transform", {}).values():
-        record(warehouse, transformed.judged)
+        record(warehouse, transformed)
     return done

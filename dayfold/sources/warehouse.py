@@ -10,6 +10,41 @@ from pyspark.sql import functions as F
 from dayfold import schemas
 from dayfold.session import scratch_dir
 
+def _folder(spark: SparkSession, path: str):
+    """The file system of a path, and the path as that file system knows it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+class Scratch:
+    """Tables staged during one run, in the shared scratch folder.
+
+    Staging cuts the lineage, survives lost executors, and gives the optimizer
+    the real size of the rows, which is what decides about broadcasting them.
+    The folder is removed when the run is over.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark = spark
+        self.path = path
+
+    def stage(self, rows: DataFrame, name: str) -> DataFrame:
+        """Writes rows once and reads them back."""
+        path = f"{self.path}/{name}"
+        rows.write.parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
+
+    def close(self) -> None:
+        files, path = _folder(self.spark, self.path)
+        files.delete(path, True)
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.close()
+
+
 NAME = re.compile(r"^[a-z_][a-z0-9_]*$")
 
 
@@ -24,8 +59,8 @@ class Warehouse:
         return f"{self.root}/{table}"
 
     def exists(self, table: str) -> bool:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(table))
-        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
+        files, path = _folder(self.spark, self.path(table))
+        return files.exists(path)
 
     def schema(self, table: str):
         """Declared schema with its partition column; nullable, as files are."""
@@ -41,18 +76,8 @@ class Warehouse:
             return self.spark.read.schema(self.schema(table)).parquet(self.path(table))
         return self.spark.createDataFrame([], self.schema(table))
 
-    def stage(self, rows: DataFrame, purpose: str, partition_by: str | None = None) -> DataFrame:
-        """Writes rows to the shared scratch folder and reads them back.
-
-        Cuts the lineage, survives lost executors, and gives the optimizer the
-        real size of the rows, which is what decides about broadcasting them.
-        """
-        path = scratch_dir(self.spark, purpose, f"{self.root}/_scratch")
-        writer = rows.write
-        if partition_by:
-            writer = writer.partitionBy(partition_by)
-        writer.parquet(path)
-        return self.spark.read.schema(rows.schema).parquet(path)
+    def scratch(self, purpose: str) -> Scratch:
+        return Scratch(self.spark, scratch_dir(self.spark, purpose, f"{self.root}/_scratch"))
 
     def overwrite(self, table: str, rows: DataFrame) -> None:
         """Replaces all rows; the rows must not be read from the table itself."""

@@ -51,7 +51,7 @@ def stream_documents(
         new = documents.unseen(batch, jobs.document_ledger(warehouse))
         done = jobs.transform_source(warehouse, new, source, codebook() if codebook else None)
         jobs.load(warehouse, clock())
-        jobs.record(warehouse, done.judged)
+        jobs.record(warehouse, done)
 
     return (
         docs.writeStream.foreachBatch(handle)

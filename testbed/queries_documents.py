@@ -168,7 +168,7 @@ def _transformed(v: Views, purpose: str):
     warehouse = new_warehouse(v, purpose)
     warehouse.overwrite("country", _known(v))
     done = jobs.transform_source(warehouse, v.covid_documents(flawed=True), "c")
-    jobs.record(warehouse, done.judged)
+    jobs.record(warehouse, done)
     return warehouse
 
 
