@@ -37,21 +37,27 @@ def file_name_of(source: Column, code: Column, day: Column) -> Column:
     return F.concat(source, F.lit("_"), code, F.lit("_"), F.date_format(day, "yyyy-MM-dd"), F.lit(".json"))
 
 
+# What the binary file source gives; a stream must declare it.
+_FILE = "path string, modificationTime timestamp, length bigint, content binary"
+
+
 def scan_raw_docs(spark: SparkSession, directory: str, source: str, stream: bool = False, **options: str) -> DataFrame:
-    """Every file below a directory, whole, one row per file.
+    """Every file below a directory, whole, one row per file, whatever its extension.
 
+    Read as bytes, so that a name such as ``x.gz`` does not make the reader
+    unpack it; text that is not UTF-8 becomes null, like other unreadable text.
+    A file of zero bytes has no row in Spark's file sources: it is not seen.
     Fit for what a downloader drops. A history of billions of small files is
     first packed by ``land_raw_docs`` and then read from the landed table.
     """
-    reader = spark.readStream if stream else spark.read
-    files = reader.format("text").options(wholetext="true", recursiveFileLookup="true", **options).load(directory)
+    reader = spark.readStream.schema(_FILE) if stream else spark.read
+    files = reader.format("binaryFile").options(recursiveFileLookup="true", **options).load(directory)
     return files.select(
         F.lit(source).alias("source"),
-        F.col("_metadata.file_path").alias("file_path"),
+        F.col("path").alias("file_path"),
         F.col("_metadata.file_name").alias("file_name"),
-        F.to_timestamp_ntz(F.date_format("_metadata.file_modification_time", "yyyy-MM-dd HH:mm:ss.SSS"))
-        .alias("modified"),
-        "value",
+        F.to_timestamp_ntz(F.date_format("modificationTime", "yyyy-MM-dd HH:mm:ss.SSS")).alias("modified"),
+        F.try_validate_utf8(F.col("content").cast("string")).alias("value"),
     )
 
 
