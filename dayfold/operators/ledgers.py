@@ -44,15 +44,22 @@ def first_created(imports: DataFrame) -> DataFrame:
 
 
 def with_created_date(files: DataFrame, imports: DataFrame, today: Column) -> DataFrame:
-    """Adds the created date: the earliest known one, else today."""
-    found = files.join(first_created(imports), ["import_directory_name", "import_file_name"], "left")
+    """Adds the created date: the earliest known one, else today.
+
+    The history is reduced to the files at hand first: while those are few, it
+    is scanned but not shuffled.
+    """
+    key = ["import_directory_name", "import_file_name"]
+    known = first_created(imports.join(files.select(*key), key, "left_semi"))
+    found = files.join(known, key, "left")
     return found.withColumn("created_date", F.coalesce("first_created_date", today)).drop("first_created_date")
 
 
 def import_events(landed: DataFrame, imports: DataFrame, today: Column) -> DataFrame:
     """Opened and completed events of the landed files.
 
-    ``landed`` has source, country_id, batch_date, file_name, row_count.
+    ``landed`` has source, country_id, batch_date, start_time, file_name and
+    row_count; ``imports`` is the history, as states or as events.
     """
     files = landed.select(
         F.xxhash64("source", "country_id", "batch_date", "start_time").alias("id"),

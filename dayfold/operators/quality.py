@@ -9,33 +9,55 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dayfold.schemas import TableSpec
 
 
-def _broken(rows: DataFrame, rules: dict[str, "F.Column"]) -> DataFrame:
+Rules = dict[str, Column]
+
+
+def not_null_rules(columns: list[str]) -> Rules:
+    return {f"{c} is null": F.col(c).isNull() for c in columns}
+
+
+def length_rules(limits: dict[str, int]) -> Rules:
+    return {f"{c} is longer than {n}": F.length(c) > n for c, n in limits.items()}
+
+
+def decimal_rules(types: dict[str, T.DecimalType]) -> Rules:
+    """Broken by values that overflow their type (extra places are rounded, as on insert)."""
+    return {
+        f"{c} does not fit {t.simpleString()}": F.col(c).isNotNull() & F.col(c).try_cast(t).isNull()
+        for c, t in types.items()
+    }
+
+
+def broken_rows(rows: DataFrame, rules: Rules) -> DataFrame:
     """One output row per broken rule, in one pass over the rows."""
     hits = F.array(*[F.when(broken, F.lit(rule)) for rule, broken in rules.items()])
     return rows.select("*", F.explode(F.array_compact(hits)).alias("rule"))
 
 
+def count_broken(rows: DataFrame, rules: Rules) -> DataFrame:
+    """The broken rules and how many rows break them, in one pass over the rows."""
+    counted = rows.agg(*[F.count_if(broken).alias(f"r{i}") for i, broken in enumerate(rules.values())])
+    pairs = [F.struct(F.lit(rule).alias("rule"), F.col(f"r{i}").alias("count")) for i, rule in enumerate(rules)]
+    return counted.select(F.inline(F.array(*pairs))).where("count > 0")
+
+
 def check_not_null(rows: DataFrame, columns: list[str]) -> DataFrame:
-    return _broken(rows, {f"{c} is null": F.col(c).isNull() for c in columns})
+    return broken_rows(rows, not_null_rules(columns))
 
 
 def check_varchar_length(rows: DataFrame, limits: dict[str, int]) -> DataFrame:
-    return _broken(rows, {f"{c} is longer than {n}": F.length(c) > n for c, n in limits.items()})
+    return broken_rows(rows, length_rules(limits))
 
 
 def check_decimal_fit(rows: DataFrame, types: dict[str, T.DecimalType]) -> DataFrame:
-    """Values that overflow their decimal type (extra places are rounded, as on insert)."""
-    return _broken(rows, {
-        f"{c} does not fit {t.simpleString()}": F.col(c).isNotNull() & F.col(c).try_cast(t).isNull()
-        for c, t in types.items()
-    })
+    return broken_rows(rows, decimal_rules(types))
 
 
 def check_primary_key(rows: DataFrame, key: tuple[str, ...]) -> DataFrame:
@@ -52,21 +74,24 @@ def check_foreign_key(child: DataFrame, column: str, parent: DataFrame, parent_c
     return held.join(parent.select(F.col(parent_column).alias(column)).distinct(), column, "left_anti")
 
 
+def _total(found: DataFrame, rule: str) -> DataFrame:
+    """All rows of a key check under one rule; no row if there are none."""
+    return found.groupBy(F.lit(rule).alias("rule")).agg(F.sum("row_count").alias("count"))
+
+
 def check_table(spec: TableSpec, rows: DataFrame, parents: dict[str, DataFrame] | None = None) -> DataFrame:
-    """Every rule of a table: rule text and the number of rows that break it."""
+    """Every rule of a table: rule text and the number of rows that break it.
+
+    The rules about single rows share one pass; each key check reads only the
+    columns of its key.
+    """
+    rules = not_null_rules(spec.required) | length_rules(spec.max_length) | decimal_rules(spec.decimals)
     found = [
-        check_not_null(rows, spec.required).groupBy("rule").count(),
-        check_primary_key(rows, spec.primary_key)
-        .groupBy(F.lit(f"{', '.join(spec.primary_key)} is not unique").alias("rule"))
-        .agg(F.sum("row_count").alias("count")),
+        count_broken(rows, rules),
+        _total(check_primary_key(rows, spec.primary_key), f"{', '.join(spec.primary_key)} is not unique"),
     ]
-    if spec.max_length:
-        found.append(check_varchar_length(rows, spec.max_length).groupBy("rule").count())
-    if spec.decimals:
-        found.append(check_decimal_fit(rows, spec.decimals).groupBy("rule").count())
     for key in spec.foreign_keys:
         if parents and key.parent in parents:
             orphans = check_foreign_key(rows, key.column, parents[key.parent], key.parent_column)
-            rule = F.lit(f"{key.column} is not in {key.parent}").alias("rule")
-            found.append(orphans.groupBy(rule).agg(F.sum("row_count").alias("count")))
+            found.append(_total(orphans, f"{key.column} is not in {key.parent}"))
     return reduce(DataFrame.unionByName, found)

@@ -26,14 +26,12 @@ def stamp_of(run_time: datetime) -> Column:
     return F.lit(run_time.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
-def _state(warehouse: Warehouse, events: str, spec: schemas.TableSpec) -> DataFrame:
-    """A ledger table from its events (its columns and a sequence number)."""
+def _events(warehouse: Warehouse, events: str, spec: schemas.TableSpec) -> DataFrame:
+    """The events of a ledger: its columns and a sequence number."""
     schema = T.StructType([*spec.schema.fields, T.StructField("seq", T.IntegerType())])
     if warehouse.exists(events):
-        rows = warehouse.spark.read.schema(schema).parquet(warehouse.path(events))
-    else:
-        rows = warehouse.spark.createDataFrame([], schema)
-    return ledgers.current_state(rows).select(*spec.columns)
+        return warehouse.spark.read.schema(schema).parquet(warehouse.path(events))
+    return warehouse.spark.createDataFrame([], schema)
 
 
 def plan(warehouse: Warehouse, first: date, last: date) -> DataFrame:
@@ -66,7 +64,9 @@ def land(warehouse: Warehouse, envelopes: DataFrame, run_time: datetime) -> Coun
 
         answered = calls.where(F.col("code_response").isNotNull())
         today = F.lit(run_time.date()).cast("date")
-        events = ledgers.import_events(answered, import_log(warehouse), today)
+        # Created dates only stand in completed events, so the events do as history.
+        history = _events(warehouse, IMPORT_EVENTS, schemas.IMPORT_LOG)
+        events = ledgers.import_events(answered, history, today)
         warehouse.append(IMPORT_EVENTS, scratch.stage(events, "import-events"))
 
         folder = F.concat(F.lit("data/raw/"), documents.folder_of(F.col("source")), F.lit("/"))
@@ -90,12 +90,14 @@ def land_raw_docs(warehouse: Warehouse, docs: DataFrame) -> Counter:
 
 def api_import_log(warehouse: Warehouse) -> DataFrame:
     """State of the calls."""
-    return _state(warehouse, CALL_EVENTS, schemas.API_IMPORT_LOG)
+    events = _events(warehouse, CALL_EVENTS, schemas.API_IMPORT_LOG)
+    return ledgers.current_state(events).select(*schemas.API_IMPORT_LOG.columns)
 
 
 def import_log(warehouse: Warehouse) -> DataFrame:
     """State of the imported files."""
-    return _state(warehouse, IMPORT_EVENTS, schemas.IMPORT_LOG)
+    events = _events(warehouse, IMPORT_EVENTS, schemas.IMPORT_LOG)
+    return ledgers.current_state(events).select(*schemas.IMPORT_LOG.columns)
 
 
 @dataclass(frozen=True)
@@ -156,20 +158,25 @@ def routed_documents(warehouse: Warehouse) -> DataFrame:
     return warehouse.spark.read.parquet(warehouse.path(ROUTED)).dropDuplicates(["status", "file_path", "modified"])
 
 
+_LEDGER = (
+    "id bigint, batch_date date, country_id bigint, processed_directory_name string, processed_file_name string, "
+    "row_count int, status string, reason string, file_path string, modified timestamp_ntz"
+)
+
+
+def handled(warehouse: Warehouse) -> DataFrame:
+    """The ledger as appended: enough to know which documents were handled."""
+    if not warehouse.exists(DOCUMENT_LEDGER):
+        return warehouse.spark.createDataFrame([], _LEDGER)
+    return warehouse.spark.read.schema(_LEDGER).parquet(warehouse.path(DOCUMENT_LEDGER))
+
+
 def document_ledger(warehouse: Warehouse) -> DataFrame:
     """The ledger with the reason and path of each document, one row per id.
 
     A repeated run appends the same ids again; they are folded here.
     """
-    if not warehouse.exists(DOCUMENT_LEDGER):
-        return warehouse.spark.createDataFrame(
-            [], ", ".join([
-                "id bigint, batch_date date, country_id bigint, processed_directory_name string",
-                "processed_file_name string, row_count int, status string, reason string",
-                "file_path string, modified timestamp_ntz",
-            ])
-        )
-    return warehouse.spark.read.parquet(warehouse.path(DOCUMENT_LEDGER)).dropDuplicates(["id"])
+    return handled(warehouse).dropDuplicates(["id"])
 
 
 def transform_log(warehouse: Warehouse) -> DataFrame:
@@ -233,7 +240,9 @@ def run(
     if "extract" in steps:
         done["extract"] = land(warehouse, envelopes, run_time)
     if "transform" in steps:
-        ledger = document_ledger(warehouse).select("file_path", "modified")
+        ledger = handled(warehouse)
+        if first is not None and last is not None:
+            ledger = ledger.where(F.col("batch_date").between(first, last))
         new = {
             source: documents.unseen(documents.landed_docs(warehouse, source, first, last), ledger)
             for source in documents.SOURCES

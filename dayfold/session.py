@@ -9,10 +9,12 @@ from pyspark.sql import SparkSession
 
 # What every session of this package relies on. Adaptive execution picks
 # broadcast joins from measured sizes (no join in this package carries a
-# broadcast hint), splits skewed join partitions and coalesces small ones.
+# broadcast hint), splits skewed join partitions (also where the next step then
+# has to shuffle once more) and coalesces small ones.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
 }

@@ -48,7 +48,7 @@ def stream_documents(
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        new = documents.unseen(batch, jobs.document_ledger(warehouse))
+        new = documents.unseen(batch, jobs.handled(warehouse))
         done = jobs.transform_source(warehouse, new, source, codebook() if codebook else None)
         jobs.load(warehouse, clock())
         jobs.record(warehouse, done)

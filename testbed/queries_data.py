@@ -93,7 +93,7 @@ query(
        JOIN dim_country c ON w.country_id = c.country_id""",
     "weather_fact dim_weather_code dim_country",
 )(lambda v: ask.join_weather_code_country(
-    v.weather_fact(), v.dim_weather_code(v.weather_staging()), v.dim_country()
+    v.weather_fact(), v.dim_weather_code(), v.dim_country()
 ))
 
 
@@ -102,7 +102,15 @@ def _summary(v: Views):
 
 
 def _codes_used(v: Views):
-    return ask.code_frequency(v.weather_fact(), v.dim_weather_code(v.weather_staging()), v.dim_country())
+    return ask.code_frequency(v.weather_fact(), v.dim_weather_code(), v.dim_country())
+
+
+def _summary_and_code(v: Views):
+    """The weather facts are read twice, so they are stored, as a warehouse would hold them."""
+    weather = v.stored(v.weather_fact(), "weather")
+    joined = ask.join_two_facts(v.covid_fact(), weather, v.dim_country(), v.dim_date())
+    used = ask.code_frequency(weather, v.dim_weather_code(), v.dim_country())
+    return ask.summary_with_code(ask.country_summary(joined), ask.most_frequent_code(used))
 
 
 SUMMARY = (
@@ -115,7 +123,7 @@ query(
     """SELECT s.*, t.weather_code, t.description AS weather_description
        FROM summary s LEFT JOIN top_codes t ON s.country_name = t.country_name""",
     "summary top_codes",
-)(lambda v: ask.summary_with_code(_summary(v), ask.most_frequent_code(_codes_used(v))))
+)(_summary_and_code)
 
 # Aggregates
 

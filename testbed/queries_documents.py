@@ -301,7 +301,7 @@ query(
                   WHEN 'click' THEN '"<p>no page ' || event_id || '"' WHEN 'signup' THEN NULL
                   ELSE '{"daily":' || props || '}' END AS value
        FROM events WHERE user_id IN (SELECT c_custkey FROM customer)""",
-)(lambda v: responses.classify(v.envelopes("w")))
+)(lambda v: responses.classify(v.envelopes()).where("source = 'w'"))
 
 query(
     "classify_covid_response", "event_id:i code_response:i error_message:s",
@@ -310,7 +310,7 @@ query(
               CASE event_type WHEN 'error' THEN 'bad ' || event_id || ', unknown, late' WHEN 'click' THEN 'Not found'
                   WHEN 'signup' THEN NULL ELSE '' END AS error_message
        FROM events WHERE user_id IN (SELECT c_custkey FROM customer)""",
-)(lambda v: responses.classify(v.envelopes("c")))
+)(lambda v: responses.classify(v.envelopes()).where("source = 'c'"))
 
 query(
     "valid_response_rows", "source:s event_id:i row_count:i",
@@ -319,35 +319,40 @@ query(
                   AS row_count
        FROM events e CROSS JOIN (VALUES ('w'), ('c')) AS s(source)
        WHERE e.user_id IN (SELECT c_custkey FROM customer)""",
-)(lambda v: responses.classify(v.envelopes("w").union(v.envelopes("c"))))
+)(lambda v: responses.classify(v.envelopes()))
 
 # Ledgers
 
 
 def _calls(v: Views):
-    called = responses.classify(v.envelopes("w")).withColumn("api_name", documents.api_name_of(F.col("source")))
+    called = responses.classify(v.envelopes()).withColumn("api_name", documents.api_name_of(F.col("source")))
     return called.join(v.api_info().select(F.col("id").alias("api_id"), "api_name"), "api_name")
 
 
 query(
     "api_call_ledger", "country_id:i api_id:i start_time:s end_time:s code_response:i error_message:s seq:i",
-    """SELECT c.c_nationkey AS country_id, 1 AS api_id, e.ts AS start_time,
+    """SELECT c.c_nationkey AS country_id, s.api_id, e.ts AS start_time,
               CASE WHEN e.event_type <> 'signup' THEN e.ts END AS end_time,
               CASE e.event_type WHEN 'error' THEN 422 WHEN 'click' THEN 404 WHEN 'signup' THEN NULL ELSE 200 END
                   AS code_response,
-              CASE e.event_type WHEN 'error' THEN 'no ' || e.event_id WHEN 'click' THEN 'Not Found'
+              CASE e.event_type WHEN 'error' THEN CASE s.api_id WHEN 1 THEN 'no ' || e.event_id
+                                                               ELSE 'bad ' || e.event_id || ', unknown, late' END
+                  WHEN 'click' THEN CASE s.api_id WHEN 1 THEN 'Not Found' ELSE 'Not found' END
                   WHEN 'signup' THEN NULL ELSE '' END AS error_message,
               CASE WHEN e.event_type = 'signup' THEN 0 ELSE 1 END AS seq
-       FROM events e JOIN customer c ON e.user_id = c.c_custkey""",
+       FROM events e JOIN customer c ON e.user_id = c.c_custkey CROSS JOIN (VALUES (1), (2)) AS s(api_id)""",
 )(lambda v: ledgers.current_state(ledgers.call_events(_calls(v))))
 
 IMPORTS = """
     SELECT CAST(e.ts AS DATE) AS batch_date, CAST(c.c_nationkey AS BIGINT) AS country_id,
-           'data/raw/weather_data' AS import_directory_name,
-           'w_N' || lpad(CAST(c.c_nationkey AS VARCHAR), 2, '0') || '_' || CAST(e.ts AS DATE) || '.json'
+           'data/raw/' || s.folder || '_data' AS import_directory_name,
+           s.source || '_N' || lpad(CAST(c.c_nationkey AS VARCHAR), 2, '0') || '_' || CAST(e.ts AS DATE) || '.json'
                AS import_file_name,
-           CASE WHEN e.event_type IN ('purchase', 'view') THEN 1 ELSE 0 END AS row_count
-    FROM events e JOIN customer c ON e.user_id = c.c_custkey WHERE e.event_type <> 'signup'"""
+           CASE WHEN e.event_type = 'purchase' OR (e.event_type = 'view' AND s.source = 'w') THEN 1 ELSE 0 END
+               AS row_count
+    FROM events e JOIN customer c ON e.user_id = c.c_custkey
+    CROSS JOIN (VALUES ('w', 'weather'), ('c', 'covid')) AS s(source, folder)
+    WHERE e.event_type <> 'signup'"""
 
 
 def _named_calls(v: Views):
@@ -385,7 +390,7 @@ def _land_job(v: Views):
     """Responses of both sources landed, the run repeated: the calls stay as they are."""
     warehouse = new_warehouse(v, "land-job")
     columns = [f.name for f in schemas.ENVELOPE.fields]
-    both = v.envelopes("w").union(v.envelopes("c")).select(*columns)
+    both = v.envelopes().select(*columns)
     jobs.run(warehouse, RUN, ("extract",), envelopes=both)
     jobs.run(warehouse, RUN, ("extract",), envelopes=both)
     return jobs.api_import_log(warehouse)

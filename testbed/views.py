@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 
 from dayfold.functions import dates
 from dayfold.plans import star
+from dayfold.session import scratch_dir
 from dayfold.sources import codebook as books
+from dayfold.sources.warehouse import Scratch
 
 
 class Views:
@@ -32,6 +34,10 @@ class Views:
         """Customer key to country id."""
         return self.table("customer").select("c_custkey", F.col("c_nationkey").cast("bigint").alias("country_id"))
 
+    def stored(self, rows: DataFrame, name: str) -> DataFrame:
+        """Rows written to the shared scratch folder and read back, to be used more than once."""
+        return Scratch(self.spark, scratch_dir(self.spark, "views")).stage(rows, name)
+
     # Parameter tables
 
     def country(self) -> DataFrame:
@@ -144,26 +150,26 @@ class Views:
             F.when(kind == "error", "error").when(kind == "signup", "ongoing").otherwise("processed").alias("status"),
         )
 
-    def envelopes(self, source: str) -> DataFrame:
-        """Responses: good ones, JSON errors, text that is not JSON, and none at all."""
+    def envelopes(self) -> DataFrame:
+        """A response of each source per call: good ones, JSON errors, text that is not JSON, and none at all."""
         kind = F.col("event_type")
-        if source == "w":
-            error = F.concat(F.lit('{"error":true,"reason":"no '), F.col("event_id"), F.lit('"}'))
-            good = F.concat(F.lit('{"daily":'), F.col("props"), F.lit("}"))
-        else:
-            error = F.concat(
-                F.lit('{"error":{"iso":["bad '), F.col("event_id"), F.lit('","unknown"],"date":["late"]}}')
-            )
-            good = F.when(kind == "view", F.lit('{"data":[]}')).otherwise(
-                F.concat(F.lit('{"data":'), F.col("props"), F.lit("}"))
-            )
+        calls = self._calls().withColumn("source", F.explode(F.array(F.lit("w"), F.lit("c"))))
+        weather = F.col("source") == "w"
+        error = F.when(weather, F.concat(F.lit('{"error":true,"reason":"no '), F.col("event_id"), F.lit('"}'))).otherwise(
+            F.concat(F.lit('{"error":{"iso":["bad '), F.col("event_id"), F.lit('","unknown"],"date":["late"]}}'))
+        )
+        good = (
+            F.when(weather, F.concat(F.lit('{"daily":'), F.col("props"), F.lit("}")))
+            .when(kind == "view", F.lit('{"data":[]}'))
+            .otherwise(F.concat(F.lit('{"data":'), F.col("props"), F.lit("}")))
+        )
         body = (
             F.when(kind == "error", error).when(kind == "click", F.concat(F.lit("<p>no page "), F.col("event_id")))
             .when(kind != "signup", good)
         )
-        status = F.when(kind == "error", 422).when(kind == "click", 200).when(kind != "signup", 200)
-        return self._calls().select(
-            F.lit(source).alias("source"), "country_id", F.to_date("ts").alias("batch_date"),
+        status = F.when(kind == "error", 422).when(kind != "signup", 200)
+        return calls.select(
+            "source", "country_id", F.to_date("ts").alias("batch_date"),
             F.col("ts").alias("start_time"), F.col("ts").alias("end_time"),
             status.alias("http_status"), body.alias("body"), "event_id",
         )
@@ -237,8 +243,10 @@ class Views:
         days = self.order_dates()
         return star.date_dimension(days.union(self.ship_dates()).distinct() if both else days)
 
-    def dim_weather_code(self, weather: DataFrame) -> DataFrame:
-        return star.code_dimension(weather)
+    def dim_weather_code(self) -> DataFrame:
+        """Every code a line item can make, so every code of the facts: one column is read."""
+        code = F.floor("l_quantity").cast("int").cast("string").alias("weather_code")
+        return star.code_dimension(books.describe(self.table("lineitem").select(code).distinct(), self.codebook()))
 
     # Facts as the questions read them: the key of a date follows from the date,
     # and every country and date has its dimension row, so no join is needed.
