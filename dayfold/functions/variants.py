@@ -30,10 +30,21 @@ def as_int(doc: Column, path: str) -> Column:
     return F.try_variant_get(doc, path, "int")
 
 
-def as_double(doc: Column, path: str) -> Column:
-    """Numbers and numeric strings. Text such as ``3d``, which only the JVM reads, is null."""
-    number = F.try_variant_get(doc, path, "double")
-    return F.when(~as_text(doc, path).rlike(r"[dDfF]\s*$") | number.isNull(), number)
+def has_suffixed_number(text: Column) -> Column:
+    """Whether a document may hold text such as "3d", which only the JVM reads as a number."""
+    return text.rlike(r'[0-9.][dDfF]\s*"')
+
+
+def as_double(doc: Column, path: str, suffixed: Column | None = None) -> Column:
+    """Numbers and numeric text. Text such as "3d" is null.
+
+    ``suffixed`` says of a whole document whether it may hold such text, so that
+    the others are read once per value.
+    """
+    wrong = as_text(doc, path).rlike(r"[dDfF]\s*$")
+    if suffixed is not None:
+        wrong = suffixed & wrong
+    return F.when(F.coalesce(wrong, F.lit(False)), F.lit(None)).otherwise(F.try_variant_get(doc, path, "double"))
 
 
 def is_empty(value: Column) -> Column:

@@ -7,6 +7,7 @@ projections of one table and cannot disagree.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -73,45 +74,68 @@ def attach_country(docs: DataFrame, countries: DataFrame) -> DataFrame:
     return docs.join(ids, "country_code", "left")
 
 
-def _value(doc: Column, path: str, kind: str) -> Column:
+def _raw_value(doc: Column, path: str, kind: str) -> Column:
     if kind == "int":
         return variants.as_int(doc, path)
-    if kind == "day":
-        return dates.valid_day(variants.as_text(doc, path))
-    if kind == "code":
-        # A JSON null or boolean reads as it is printed: None, True, False.
-        shown = variants.as_text(doc, path)
-        shown = F.when(shown.isin("true", "false"), F.initcap(shown)).otherwise(shown)
-        return F.coalesce(shown, F.lit("None"))
-    return variants.as_double(doc, path)
+    if kind in ("day", "code"):
+        return variants.as_text(doc, path)
+    return variants.as_double(doc, path, F.col("suffixed"))
 
 
 def read_payload(docs: DataFrame, payload: Payload, text: str = "value") -> DataFrame:
-    """Adds ``doc`` (the parsed text) and one column per payload field."""
-    parsed = docs.withColumn("doc", variants.parse(F.col(text)))
+    """Adds one column per payload field, and ``access_failure``.
+
+    A good document is parsed once and read once per field. What went wrong is
+    looked for only where a field came out null: ``CASE`` skips it elsewhere.
+    """
     doc = F.col("doc")
-    return parsed.withColumns(
-        {name: _value(doc, payload.path(key), kind) for name, (key, kind) in payload.fields.items()}
+    parsed = docs.withColumns({
+        "doc": variants.parse(F.col(text)), "suffixed": variants.has_suffixed_number(F.col(text))
+    })
+    raw = parsed.withColumns(
+        {name: _raw_value(doc, payload.path(key), kind) for name, (key, kind) in payload.fields.items()}
     )
+    lacking = reduce(Column.__or__, [F.col(name).isNull() for name in payload.fields])
+    judged = raw.withColumn("access_failure", F.when(lacking, _access_failure(doc, payload)))
+    days = {name: dates.valid_day(F.col(name)) for name, (_, kind) in payload.fields.items() if kind == "day"}
+    codes = {name: _shown_code(F.col(name)) for name, (_, kind) in payload.fields.items() if kind == "code"}
+    return judged.withColumns(days | codes).drop("doc", "suffixed")
+
+
+def _shown_code(code: Column) -> Column:
+    """A JSON null or boolean reads as it is printed: None, True, False."""
+    shown = F.when(code.isin("true", "false"), F.initcap(code)).otherwise(code)
+    return F.coalesce(shown, F.lit("None"))
 
 
 def _access_failure(doc: Column, payload: Payload) -> Column:
-    """The first failing access, in reading order, or null."""
+    """The first failing access, in reading order, or null.
+
+    The keys are walked as an array, which keeps this rare branch out of the
+    generated code of the common one.
+    """
     box = variants.at(doc, f"$.{payload.container}")
-    steps = [
-        F.when(doc.isNull(), "unreadable document"),
-        F.when(box.isNull() & variants.is_kind(doc, "OBJECT"), f"{MISSING_KEY} {payload.container}"),
-        F.when(~variants.is_kind(box, "OBJECT"), f"{payload.container} is not an object"),
-    ]
-    for key, _ in payload.fields.values():
-        place = variants.at(doc, f"$.{payload.container}.{key}")
-        steps.append(F.when(place.isNull(), f"{MISSING_KEY} {key}"))
-        if payload.arrays:
-            first = variants.at(doc, payload.path(key))
-            # Index 0 of an object is a key too, and a missing one.
-            steps.append(F.when(first.isNull() & variants.is_kind(place, "OBJECT"), f"{MISSING_KEY} {key}[0]"))
-            steps.append(F.when(first.isNull(), f"no first element in {key}"))
-    return F.coalesce(*steps)
+    inside = F.try_variant_get(doc, f"$.{payload.container}", "map<string,variant>")
+
+    def failure(key: Column) -> Column:
+        place = F.try_element_at(inside, key)
+        missing = F.when(place.isNull(), F.concat(F.lit(f"{MISSING_KEY} "), key))
+        if not payload.arrays:
+            return missing
+        empty = variants.at(place, "$[0]").isNull()
+        # Index 0 of an object is a key too, and a missing one.
+        return missing.when(
+            empty & variants.is_kind(place, "OBJECT"), F.concat(F.lit(f"{MISSING_KEY} "), key, F.lit("[0]"))
+        ).when(empty, F.concat(F.lit("no first element in "), key))
+
+    keys = F.array(*[F.lit(key) for key, _ in payload.fields.values()])
+    found = F.filter(F.transform(keys, failure), lambda reason: reason.isNotNull())
+    return (
+        F.when(doc.isNull(), "unreadable document")
+        .when(box.isNull() & variants.is_kind(doc, "OBJECT"), f"{MISSING_KEY} {payload.container}")
+        .when(~variants.is_kind(box, "OBJECT"), f"{payload.container} is not an object")
+        .otherwise(F.get(found, F.lit(0)))
+    )
 
 
 def _value_failure(payload: Payload, spec: schemas.TableSpec) -> Column:
@@ -128,22 +152,13 @@ def _value_failure(payload: Payload, spec: schemas.TableSpec) -> Column:
 
 
 def judge(docs: DataFrame, payload: Payload, spec: schemas.TableSpec) -> DataFrame:
-    """Adds reason, status and row_count to documents with a read payload.
-
-    The detailed access checks are only evaluated for documents that lack a
-    value: ``CASE`` skips them for the others.
-    """
-    doc = F.col("doc")
-    complete = variants.at(doc, payload.path(next(iter(payload.fields.values()))[0])).isNotNull()
-    for key, _ in list(payload.fields.values())[1:]:
-        complete = complete & variants.at(doc, payload.path(key)).isNotNull()
+    """Adds reason, status and row_count to documents with a read payload."""
     reason = (
         F.when(~F.col("valid_name"), F.lit("bad file name"))
         .when(F.col("country_id").isNull(), F.lit("unknown country"))
-        .when(~complete, _access_failure(doc, payload))
-        .otherwise(_value_failure(payload, spec))
+        .otherwise(F.coalesce(F.col("access_failure"), _value_failure(payload, spec)))
     )
-    judged = docs.withColumn("reason", reason)
+    judged = docs.withColumn("reason", reason).drop("access_failure")
     return judged.withColumns({
         "status": F.when(F.col("reason").isNull(), PROCESSED).otherwise(ERROR),
         # A missing key is counted as one row, any other failure as none.
