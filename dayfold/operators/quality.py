@@ -71,7 +71,7 @@ def check_foreign_key(child: DataFrame, column: str, parent: DataFrame, parent_c
     The child is reduced to its distinct values before the join.
     """
     held = child.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("row_count"))
-    return held.join(parent.select(F.col(parent_column).alias(column)).distinct(), column, "left_anti")
+    return held.join(parent.select(F.col(parent_column).alias(column)), column, "left_anti")
 
 
 def _total(found: DataFrame, rule: str) -> DataFrame:

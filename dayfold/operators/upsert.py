@@ -81,27 +81,32 @@ def tag_changes(target: DataFrame, source: DataFrame, keys: tuple[str, ...]) ->
     return source.join(known, list(keys), "left").withColumn("action", action).drop("old_hash")
 
 
-def apply_changes(target: DataFrame, changes: DataFrame, keys: tuple[str, ...], stamp: Column | None = None) -> DataFrame:
-    """The target rows with the updates in place, and the inserts added."""
-    values = [c for c in target.columns if c not in keys and c not in (CREATED, UPDATED)]
-    updates = changes.where(F.col("action") == UPDATE).select(*keys, F.struct(*values).alias("new"))
-    changed = F.col("new").isNotNull()
-    shown = []
-    for name in target.columns:
-        if name in keys or name == CREATED:
-            shown.append(F.col(name))
-        elif name == UPDATED:
-            shown.append((F.when(changed, stamp).otherwise(F.col(name)) if stamp is not None else F.col(name)).alias(name))
-        else:
-            shown.append(F.when(changed, F.col(f"new.{name}")).otherwise(F.col(name)).alias(name))
-    kept = target.join(updates, list(keys), "left").select(*shown)
-    inserts = changes.where(F.col("action") == INSERT)
+def apply_changes(
+    target: DataFrame, updates: DataFrame | None, inserts: DataFrame, keys: tuple[str, ...], stamp: Column | None = None
+) -> DataFrame:
+    """The target rows with the updates in place, and the inserts added.
+
+    Inserts are only appended. The target is joined with the updates, and not
+    even that without any.
+    """
+    kept = target if updates is None else _with_updates(target, updates, keys, stamp)
     for name in (CREATED, UPDATED):
         if name in target.columns:
             inserts = inserts.withColumn(name, stamp if stamp is not None else F.lit(None).cast("timestamp_ntz"))
     return kept.unionByName(inserts.select(*target.columns))
 
 
+def _with_updates(target: DataFrame, updates: DataFrame, keys: tuple[str, ...], stamp: Column | None) -> DataFrame:
+    values = [c for c in target.columns if c not in keys and c not in (CREATED, UPDATED)]
+    new = updates.select(*keys, F.struct(*values).alias("new"))
+    changed = F.col("new").isNotNull()
+    replaced = {c: F.when(changed, F.col(f"new.{c}")).otherwise(F.col(c)) for c in values}
+    if stamp is not None and UPDATED in target.columns:
+        replaced[UPDATED] = F.when(changed, stamp).otherwise(F.col(UPDATED))
+    shown = [replaced[c].alias(c) if c in replaced else c for c in target.columns]
+    return target.join(new, list(keys), "left").select(*shown)
+
+
 def upsert(
     warehouse: Warehouse, table: str, source: DataFrame, stamp: Column | None = None,
     order: tuple[str, ...] | None = None,
@@ -154,9 +159,14 @@ def _upsert_partitions(warehouse: Warehouse, spec, source: DataFrame, stamp, scr
         counts[row["action"]] += row["n"]
     touched = sorted({row[part] for row in rows if row["action"] in (INSERT, UPDATE)})
     if touched:
-        changed = tags.where(F.col("action").isin(INSERT, UPDATE)).select(*keys, "action")
-        changes = source.where(F.col(part).isin(touched)).join(changed, keys)
         current = target.where(F.col(part).isin(touched))
-        result = scratch.stage(apply_changes(current, changes, spec.primary_key, stamp), "result")
-        warehouse.overwrite_partitions(spec.name, result)
+        rows = source.where(F.col(part).isin(touched))
+
+        def changed(action: str) -> DataFrame:
+            return rows.join(tags.where(F.col("action") == action).select(*keys), keys, "left_semi")
+
+        # Staged, so that their size decides whether the target has to be shuffled.
+        updates = scratch.stage(changed(UPDATE), "updates") if counts[UPDATE] else None
+        new = apply_changes(current, updates, changed(INSERT), spec.primary_key, stamp)
+        warehouse.overwrite_partitions(spec.name, scratch.stage(new, "result"))
     return counts

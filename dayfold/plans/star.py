@@ -10,13 +10,13 @@ from dayfold.functions import dates, text
 
 
 def union_country_ids(covid: DataFrame, weather: DataFrame) -> DataFrame:
-    """Distinct country ids of both staging tables, each reduced on its own first."""
-    return covid.select("country_id").distinct().union(weather.select("country_id").distinct()).distinct()
+    """Distinct country ids of both staging tables: one shuffle of what each task has left."""
+    return covid.select("country_id").union(weather.select("country_id")).distinct()
 
 
 def union_dates(covid: DataFrame, weather: DataFrame) -> DataFrame:
     """Distinct dates of both staging tables."""
-    return covid.select("date").distinct().union(weather.select("date").distinct()).distinct()
+    return covid.select("date").union(weather.select("date")).distinct()
 
 
 def used_countries(countries: DataFrame, covid: DataFrame, weather: DataFrame) -> DataFrame:

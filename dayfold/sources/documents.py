@@ -81,9 +81,14 @@ def landed_docs(warehouse, source: str | None = None, first=None, last=None) ->
 
 
 def unseen(docs: DataFrame, ledger: DataFrame) -> DataFrame:
-    """Documents not in the ledger yet; a text that changed under its name is new."""
+    """Documents not in the ledger yet; a text that changed under its name is new.
+
+    The ledger is reduced to the documents at hand first: while those are few,
+    it is scanned but not shuffled.
+    """
     key = ["file_path", "modified"]
-    return docs.join(ledger.select(*key), key, "left_anti")
+    seen = ledger.select(*key).join(docs.select(*key), key, "left_semi")
+    return docs.join(seen, key, "left_anti")
 
 
 def name_parts(docs: DataFrame) -> DataFrame:

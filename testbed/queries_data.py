@@ -246,7 +246,7 @@ query(
 )(lambda v: star.union_country_ids(v.covid_staging(), v.weather_raw()))
 
 query("union_dates", "date:s", "SELECT date FROM all_dates", "all_dates")(
-    lambda v: star.union_dates(v.order_dates(), v.ship_dates())
+    lambda v: star.union_dates(v.order_days(), v.ship_days())
 )
 
 # Expressions
@@ -270,7 +270,7 @@ query(
 DATE_COLUMNS = "date_id:i date:s year:i month:i day:i day_of_week:s is_weekend:b"
 
 query("date_parts", DATE_COLUMNS, "SELECT * FROM dim_date", "dim_date")(
-    lambda v: dates.date_parts(star.union_dates(v.order_dates(), v.ship_dates()))
+    lambda v: dates.date_parts(star.union_dates(v.order_days(), v.ship_days()))
 )
 
 query(

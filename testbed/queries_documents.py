@@ -40,7 +40,10 @@ def new_warehouse(v: Views, purpose: str) -> Warehouse:
 
 
 def _month_files(v: Views):
-    """All covid documents, one text file per month, scanned whole."""
+    """All covid documents, one text file per month, scanned whole.
+
+    A month holds one document per country and day, however many orders there are.
+    """
     path = scratch_dir(v.spark, "raw-files")
     docs = v.covid_documents().select(F.date_format("batch_date", "yyyyMM").alias("month"), "value")
     docs.repartition("month").write.partitionBy("month").text(path)
@@ -513,7 +516,7 @@ def _merge_dim_date(v: Views):
         "hash_value", F.when(F.col("is_weekend"), text.row_hash(F.col("date_id"), F.lit("old")))
         .otherwise(F.col("hash_value"))
     )
-    days = star.date_dimension(star.union_dates(v.order_dates(), v.ship_dates()))
+    days = star.date_dimension(star.union_dates(v.order_days(), v.ship_days()))
     return upsert.merge_result(earlier, days, schemas.DIM_DATE.primary_key)
 
 

@@ -233,15 +233,20 @@ class Views:
     def dim_country(self) -> DataFrame:
         return star.country_dimension(self.country())
 
+    def order_days(self) -> DataFrame:
+        return self.table("orders").select(F.to_date("o_orderdate").alias("date"))
+
+    def ship_days(self) -> DataFrame:
+        return self.table("lineitem").select(F.to_date("l_shipdate").alias("date"))
+
     def order_dates(self) -> DataFrame:
-        return self.table("orders").select(F.to_date("o_orderdate").alias("date")).distinct()
+        return self.order_days().distinct()
 
     def ship_dates(self) -> DataFrame:
-        return self.table("lineitem").select(F.to_date("l_shipdate").alias("date")).distinct()
+        return self.ship_days().distinct()
 
-    def dim_date(self, both: bool = False) -> DataFrame:
-        days = self.order_dates()
-        return star.date_dimension(days.union(self.ship_dates()).distinct() if both else days)
+    def dim_date(self) -> DataFrame:
+        return star.date_dimension(self.order_dates())
 
     def dim_weather_code(self) -> DataFrame:
         """Every code a line item can make, so every code of the facts: one column is read."""

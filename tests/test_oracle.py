@@ -1,5 +1,7 @@
 """Every query with SQL against DuckDB, on the given tables and on skewed ones."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -8,9 +10,15 @@ from testbed.compare import connect, differences
 
 SF = "/root/testdata/sf0.001"
 QUERIES = entry.queries()
-# The jobs are followed step by step in test_jobs; here they would take minutes.
-JOBS = {"job_load", "job_run", "job_land", "stream_raw_docs", "land_raw_docs"}
-COMPARED = [name for name, query in QUERIES.items() if query.sql is not None and name not in JOBS]
+# All queries are compared by ``python -m testbed.compare``; these are the ones
+# that no other test covers. ALL_QUERIES=1 compares all of them here.
+SAMPLE = """
+    validate_country lookup_code_description used_countries star_join_covid star_join_weather country_summary
+    code_frequency heatmap_range histogram_2d union_dates date_parts merge_dim_country merge_dim_date
+    merge_dim_weather_code merge_counts merge_audit_stamps plan_requests parse_file_name valid_file_name
+    coerce_numbers transform_ledger consume_once check_table scan_codebook scan_raw_docs overwrite_staging
+""".split()
+COMPARED = [n for n, q in QUERIES.items() if q.sql is not None] if os.environ.get("ALL_QUERIES") else SAMPLE
 
 
 @pytest.fixture(scope="module")
