@@ -21,7 +21,8 @@ class Scratch:
 
     Staging cuts the lineage, survives lost executors, and gives the optimizer
     the real size of the rows, which is what decides about broadcasting them.
-    The folder is removed when the run is over.
+    The folder is removed when the run is over, and kept when it failed: the
+    new rows of a table that was being replaced are in it.
     """
 
     def __init__(self, spark: SparkSession, path: str):
@@ -41,8 +42,9 @@ class Scratch:
     def __enter__(self) -> Scratch:
         return self
 
-    def __exit__(self, *_) -> None:
-        self.close()
+    def __exit__(self, error, *_) -> None:
+        if error is None:
+            self.close()
 
 
 NAME = re.compile(r"^[a-z_][a-z0-9_]*$")
