@@ -34,9 +34,9 @@ from pyspark.sql import functions as F
 from dayfold.llm.arrays import SHINGLE, Words, distinct_per_text, mix, slices, windows
 from dayfold.llm.common import components, pack, starts_of, stored, unpack
 
-CELLS = 1 << 22  # counters of the sketch; 4 MB as classes, whatever the input
+MOST_BITS = 26  # the sketch has a counter for about 16 shingles, and never more than 2**26 (64 MB as classes)
 SKETCH_PARTS = 64
-GLUE = 16  # a prefix shingle in more sets than this joins them by a star, not by pairs
+GLUE = 64  # a prefix shingle in more sets than this joins them by a star, not by pairs
 TILE = 2_000  # sets in one side of a trie join
 TILE_SHINGLES = 1_500_000  # shingles in one side of a trie join, unless one set has more
 SHINGLES_PER_BUCKET = 3_000_000
@@ -64,20 +64,25 @@ def required(n: np.ndarray | int, percent: int):
 
 def depth(n: np.ndarray | int):
     """How many common prefix shingles are asked for: more for larger sets, so that chance overlaps fall away."""
-    return 1 + n // 20
+    return 1 + n // 8
 
 
-def with_sets(docs: DataFrame) -> DataFrame:
+def sketch_bits(docs: DataFrame) -> int:
+    chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
+    return min(max(int(chars // 100).bit_length(), 20), MOST_BITS)
+
+
+def with_sets(docs: DataFrame, bits: int) -> DataFrame:
     """(doc_id, n_shingles, node) per row, and rows (part, cells) with the counts of the sketch."""
 
     def read(frames):
-        counts = np.zeros(CELLS, np.uint8)
+        counts = np.zeros(1 << bits, np.uint8)
         for frame in frames:
             ids, texts = frame["doc_id"], frame["text"].tolist()
             for a, b in slices(texts):
                 values, first = sets_of(texts[a:b])
-                cells, seen = np.unique(values >> np.uint64(42), return_counts=True)
-                counts[cells] = np.minimum(counts[cells] + np.minimum(seen, 255), 255)
+                cells, seen = np.unique(values >> np.uint64(64 - bits), return_counts=True)
+                counts[cells] = np.minimum(counts[cells] + np.minimum(seen, 255), 255)  # sums in 64 bits
                 yield pd.DataFrame({
                     "doc_id": ids.iloc[a:b].astype("Int64"), "n_shingles": np.diff(first), "node": set_hashes(values, first),
                     "part": None, "cells": None,
@@ -93,27 +98,32 @@ def with_sets(docs: DataFrame) -> DataFrame:
     )
 
 
-def rarity(sketch: DataFrame) -> np.ndarray:
+def rarity(sketch: DataFrame, bits: int) -> np.ndarray:
     """Class of every cell: 0 for cells near the mean, one more for each doubling."""
 
     def total(rows: pd.DataFrame) -> pd.DataFrame:
-        counts = np.zeros(CELLS // SKETCH_PARTS, np.int64)
+        counts = np.zeros((1 << bits) // SKETCH_PARTS, np.uint32)
         for cells in rows["cells"]:
             counts += np.frombuffer(zlib.decompress(cells), np.uint8)
         return pd.DataFrame({"part": rows["part"].iloc[:1], "cells": [counts.tobytes()]})
 
-    # SKETCH_PARTS rows of CELLS / SKETCH_PARTS counters, whatever the input.
-    rows = sketch.groupBy("part").applyInPandas(total, "part int, cells binary").collect()
-    counts = np.zeros((SKETCH_PARTS, CELLS // SKETCH_PARTS), np.int64)
+        # Quarters of a power of two: a byte per cell is small enough for the driver.
+        level = np.round(4 * np.log2(np.maximum(counts, 1))).astype(np.uint8)
+        return pd.DataFrame({"part": rows["part"].iloc[:1], "cells": [level.tobytes()], "sum": [int(counts.sum())]})
+
+    # SKETCH_PARTS rows, together a byte per cell.
+    rows = sketch.groupBy("part").applyInPandas(total, "part int, cells binary, sum long").collect()
+    level = np.zeros((SKETCH_PARTS, (1 << bits) // SKETCH_PARTS), np.uint8)
     for row in rows:
-        counts[row["part"]] = np.frombuffer(row["cells"], np.int64)
-    level = np.log2(np.maximum(counts.ravel(), 1) / max(counts.mean() * 2, 2.0))
-    return np.clip(np.ceil(level), 0, 60).astype(np.uint8)
+        level[row["part"]] = np.frombuffer(row["cells"], np.uint8)
+    usual = np.log2(max(2 * sum(row["sum"] for row in rows) / (1 << bits), 2.0))
+    return np.clip(np.ceil(level.ravel() / np.float32(4) - np.float32(usual)), 0, 60).astype(np.uint8)
 
 
 def ordered(values: np.ndarray, classes: np.ndarray) -> np.ndarray:
     """The key of the global order: class first, then hash."""
-    return (classes[values >> np.uint64(42)].astype(np.uint64) << np.uint64(58)) | (values >> np.uint64(6))
+    shift = np.uint64(65 - len(classes).bit_length())
+    return (classes[values >> shift].astype(np.uint64) << np.uint64(58)) | (values >> np.uint64(6))
 
 
 def prefix_entries(docs: DataFrame, classes, n_buckets: int, percent: int) -> DataFrame:
@@ -349,11 +359,12 @@ def block_links(docs: DataFrame, members: DataFrame, classes, n_tasks: int, perc
 def ngram_jaccard_join(docs: DataFrame, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id) for each row of ``docs`` (doc_id, text; other columns are ignored)."""
     docs = docs.select("doc_id", "text")
-    both = stored(with_sets(docs), "sets")
+    bits = sketch_bits(docs)
+    both = stored(with_sets(docs, bits), "sets")
     rows = both.where("part IS NULL").select("doc_id", "n_shingles", "node")
     nodes = rows.where("node <> 0 AND doc_id IS NOT NULL").groupBy("node").agg(
         F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"))
-    classes = docs.sparkSession.sparkContext.broadcast(rarity(both.where("part IS NOT NULL").select("part", "cells")))
+    classes = docs.sparkSession.sparkContext.broadcast(rarity(both.where("part IS NOT NULL").select("part", "cells"), bits))
     total = rows.agg(F.sum("n_shingles")).first()[0] or 0
 
     entries = prefix_entries(docs.where("doc_id IS NOT NULL"), classes, 1 + total // SHINGLES_PER_BUCKET, percent)
