@@ -105,8 +105,6 @@ def rarity(sketch: DataFrame, bits: int) -> np.ndarray:
         counts = np.zeros((1 << bits) // SKETCH_PARTS, np.uint32)
         for cells in rows["cells"]:
             counts += np.frombuffer(zlib.decompress(cells), np.uint8)
-        return pd.DataFrame({"part": rows["part"].iloc[:1], "cells": [counts.tobytes()]})
-
         # Quarters of a power of two: a byte per cell is small enough for the driver.
         level = np.round(4 * np.log2(np.maximum(counts, 1))).astype(np.uint8)
         return pd.DataFrame({"part": rows["part"].iloc[:1], "cells": [level.tobytes()], "sum": [int(counts.sum())]})
