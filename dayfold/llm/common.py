@@ -6,6 +6,7 @@ import uuid
 
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +29,29 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def compressed(docs: DataFrame) -> DataFrame:
+    """doc_id, lang, source, node (hash of the text) and body, the text in Zstandard: half the bytes to shuffle.
+
+    Joins of bodies carry a merge hint: what is joined to them grows with the corpus, and
+    the plan is the same at every size.
+    """
+    lang, source = (F.col(c) if c in docs.columns else F.lit(None).cast("string").alias(c) for c in ("lang", "source"))
+
+    def read(frames):
+        packer = zstandard.ZstdCompressor(level=1)
+        for frame in frames:
+            frame["body"] = [None if t is None else packer.compress(t.encode("utf-8", "surrogatepass")) for t in frame["text"]]
+            yield frame[["doc_id", "lang", "source", "node", "body"]].astype({"doc_id": "Int64", "node": "Int64"})
+
+    rows = docs.select("doc_id", lang, source, F.xxhash64("text").alias("node"), "text")
+    return rows.mapInPandas(read, "doc_id long, lang string, source string, node long, body binary")
+
+
+def restored(bodies) -> list[str | None]:
+    """The texts of compressed bodies."""
+    return [None if x is None else zstandard.decompress(x).decode("utf-8", "surrogatepass") for x in bodies]
+
+
 # Packed rows: many small records that go to the same bucket travel as one row of
 # binary columns, since a row per record would cost Spark several times the bytes.
 

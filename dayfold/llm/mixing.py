@@ -69,11 +69,11 @@ def mixed(docs: DataFrame, weights=WEIGHTS, most: int = MOST, seed: int = 11) ->
     rows = stored(sized(docs), "sizes")
     goal = targets(rows, weights, most)
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    goal = goal.withColumn("copies", F.floor(ratio)).withColumn("p", ratio - F.floor(ratio)).withColumn(
+    goal = goal.withColumnRenamed("source", "of_source").withColumn("copies", F.floor(ratio)).withColumn("p", ratio - F.floor(ratio)).withColumn(
         "rest", F.round(F.col("target") - F.col("copies") * F.col("source_size")).cast("long"))
     u = ((F.xxhash64(F.lit(seed), "doc_id").bitwiseAND((1 << 52) - 1)) + 0.5) / float(1 << 52)
-    ranked = rows.join(goal, rows.source.eqNullSafe(goal.source)).select(
-        "doc_id", rows.source, "size", "source_size", "target", "copies", "p", "rest", u.alias("u")
+    ranked = rows.join(goal, F.col("source").eqNullSafe(F.col("of_source"))).select(
+        "doc_id", "source", "size", "source_size", "target", "copies", "p", "rest", u.alias("u")
     ).withColumn("rank", F.when(F.col("p") > 0, (F.col("u") / (1 - F.col("u"))) / (F.col("p") / (1 - F.col("p")))))
     # rank * odds of p is the odds of u, so these bins of u are bins of the rank inside a source.
     odds = F.col("rank") * F.col("p") / (1 - F.col("p"))
@@ -83,7 +83,7 @@ def mixed(docs: DataFrame, weights=WEIGHTS, most: int = MOST, seed: int = 11) ->
     bins = sums.withColumn("before", F.coalesce(F.sum("words").over(up_to), F.lit(0)))
     cut = bins.where("before < rest AND before + words >= rest").select(
         F.col("source").alias("cut_source"), F.col("bin").alias("cut_bin"), "before")
-    placed = ranked.join(cut, ranked.source.eqNullSafe(cut.cut_source), "left")
+    placed = ranked.join(cut, F.col("source").eqNullSafe(F.col("cut_source")), "left")
     inside = placed.where("bin = cut_bin")
     in_order = Window.partitionBy("source", "bin").orderBy("rank", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
     ahead = F.col("before") + F.coalesce(F.sum("size").over(in_order), F.lit(0))
@@ -99,3 +99,17 @@ def mixed(docs: DataFrame, weights=WEIGHTS, most: int = MOST, seed: int = 11) ->
 def mixture(docs: DataFrame) -> DataFrame:
     """The columns of the mixing report: what every document contributes."""
     return mixed(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def mixed_texts(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` with size, source_size, target and taken beside the text.
+
+    The report is joined back by doc_id. Rows that share a doc_id are told apart by source
+    and size, so they get their own numbers where these differ.
+    """
+    report = mixed(docs).groupBy("doc_id", "source", "size").agg(
+        F.max("source_size").alias("source_size"), F.max("target").alias("target"), F.max("taken").alias("taken"))
+    report = report.withColumnsRenamed({"doc_id": "of_id", "source": "of_source", "size": "of_size"})
+    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
+    same = (F.col("doc_id").eqNullSafe(F.col("of_id")) & F.col("source").eqNullSafe(F.col("of_source")) & (F.col("size") == F.col("of_size")))
+    return docs.withColumn("size", size).join(report, same, "left").drop("of_id", "of_source", "of_size")

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dayfold.llm.arrays import SHINGLE, Words, distinct_per_text, mix, slices, windows
-from dayfold.llm.common import components, pack, starts_of, stored, unpack
+from dayfold.llm.common import components, compressed, pack, restored, starts_of, stored, unpack
 
 MOST_BITS = 26  # the sketch has a counter for about 16 shingles, and never more than 2**26 (64 MB as classes)
 SKETCH_PARTS = 64
@@ -315,7 +315,7 @@ def block_links(docs: DataFrame, members: DataFrame, classes, n_tasks: int, perc
 
     def read(frames):
         for frame in frames:
-            texts = frame["text"].tolist()
+            texts = restored(frame["body"])
             for a, b in slices(texts):
                 values, first = sets_of(texts[a:b])
                 key, nodes = ordered(values, classes.value), set_hashes(values, first)
@@ -343,7 +343,8 @@ def block_links(docs: DataFrame, members: DataFrame, classes, n_tasks: int, perc
             out.append(np.array(links, np.int64).reshape(-1, 2))
         return pd.DataFrame(np.concatenate(out), columns=["a", "b"])
 
-    sets = docs.select("doc_id", "text").join(members, "doc_id").mapInPandas(
+    bodies = compressed(docs.where("doc_id IS NOT NULL AND text IS NOT NULL")).select("doc_id", "body")
+    sets = bodies.join(members.hint("merge"), "doc_id").mapInPandas(
         read, "node long, block long, tiles int, tile int, shingles binary"
     )
     # A set meets every tile of its block once: the pairs of tiles (i, j) its own tile is part of.

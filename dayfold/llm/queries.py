@@ -2,14 +2,76 @@
 
 from __future__ import annotations
 
-from dayfold.llm import ngram_join
+from pyspark.sql import functions as F
+
+from dayfold.llm import (
+    decontamination,
+    fingerprint,
+    language,
+    licenses,
+    mixing,
+    ngram_join,
+    passages,
+    run_index,
+    toxicity,
+    url_filter,
+)
 from dayfold.llm.common import documents
 from dayfold.llm.registry import QUERIES, SQL, query
 
-
 __all__ = ["QUERIES", "SQL"]
 
 
+def table(spark, sf_dir, name):
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+@query("op1_run_index_dedup")
+def op1(spark, sf_dir):
+    return run_index.run_index_dedup(documents(spark, sf_dir))
+
+
+@query("op2_pareto_mixing")
+def op2(spark, sf_dir):
+    return mixing.mixture(documents(spark, sf_dir))
+
+
+@query("op3_closed_syncmers")
+def op3(spark, sf_dir):
+    return fingerprint.with_edits(documents(spark, sf_dir))
+
+
 @query("op4_ngram_join")
 def op4(spark, sf_dir):
     return ngram_join.ngram_jaccard_join(documents(spark, sf_dir))
+
+
+@query("op5_license_scan")
+def op5(spark, sf_dir):
+    return licenses.licenses(documents(spark, sf_dir))
+
+
+@query("op6_compact_windows")
+def op6(spark, sf_dir):
+    return passages.passage_dedup(documents(spark, sf_dir)).select(
+        "doc_id", "n_words", "n_removed", F.size("spans").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op7_template_decontamination")
+def op7(spark, sf_dir):
+    return decontamination.decontamination(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
+@query("op8_url_templates")
+def op8(spark, sf_dir):
+    return url_filter.url_filter(table(spark, sf_dir, "pages"))
+
+
+@query("op9_language_field")
+def op9(spark, sf_dir):
+    return language.language(documents(spark, sf_dir))
+
+
+@query("op10_toxicity_machine")
+def op10(spark, sf_dir):
+    return toxicity.toxicity(documents(spark, sf_dir), table(spark, sf_dir, "labels"))

@@ -218,6 +218,19 @@ def scored(docs: DataFrame, machine: Machine) -> DataFrame:
     return docs.select("doc_id", "text").mapInPandas(read, "doc_id long, score double")
 
 
+def kept(docs: DataFrame, machine: Machine) -> DataFrame:
+    """The rows of ``docs``, all columns, that score below THRESHOLD. Nothing is shuffled."""
+    model = docs.sparkSession.sparkContext.broadcast(machine)
+
+    @F.pandas_udf("double")
+    def score(texts: pd.Series) -> pd.Series:
+        texts = [t if isinstance(t, str) else None for t in texts]
+        parts = [model.value.scores(texts[a:b]) for a, b in slices(texts)]
+        return pd.Series(np.concatenate(parts) if parts else np.zeros(0))
+
+    return docs.where(score("text") < THRESHOLD)
+
+
 def part_of(column, folds: int):
     """crc32 of the id as text, modulo ``folds``."""
     return F.crc32(column.cast("string")) % folds
