@@ -10,11 +10,15 @@ from dayfold.sources import documents
 OPENED, COMPLETED = 0, 1
 
 
-def current_state(events: DataFrame, key: str = "id", order: str = "seq") -> DataFrame:
-    """The latest event of each record; aggregates before it shuffles."""
-    rest = [c for c in events.columns if c != key]
-    picked = events.groupBy(key).agg(F.max_by(F.struct(*rest), F.col(order)).alias("state"))
-    return picked.select(key, "state.*")
+def current_state(events: DataFrame, keys: tuple[str, ...] = ("id",), order: str = "seq") -> DataFrame:
+    """The latest event of each record; aggregates before it shuffles.
+
+    ``keys`` name the record itself beside its id: an id is a hash, and two
+    records with one hash stay two.
+    """
+    rest = [c for c in events.columns if c not in keys]
+    picked = events.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.col(order)).alias("state"))
+    return picked.select(*keys, "state.*")
 
 
 def call_events(calls: DataFrame) -> DataFrame:
@@ -59,8 +63,11 @@ def import_events(landed: DataFrame, imports: DataFrame, today: Column) -> DataF
     """Opened and completed events of the landed files.
 
     ``landed`` has source, country_id, batch_date, start_time, file_name and
-    row_count; ``imports`` is the history, as states or as events.
+    row_count; ``imports`` is the history, as states or as events. The day of
+    the run is part of the order, so a file imported again on a later day ends
+    in that day's state.
     """
+    run = F.coalesce(F.datediff(today, F.lit("1970-01-01").cast("date")) * 2, F.lit(0))
     files = landed.select(
         F.xxhash64("source", "country_id", "batch_date", "start_time").alias("id"),
         "batch_date", "country_id",
@@ -70,11 +77,11 @@ def import_events(landed: DataFrame, imports: DataFrame, today: Column) -> DataF
     )
     dated = with_created_date(files, imports, today)
     opened = F.struct(
-        F.lit(OPENED).alias("seq"), F.lit(None).cast("date").alias("file_created_date"),
+        (run + OPENED).cast("int").alias("seq"), F.lit(None).cast("date").alias("file_created_date"),
         F.lit(None).cast("date").alias("file_last_modified_date"), F.lit(None).cast("int").alias("row_count"),
     )
     completed = F.struct(
-        F.lit(COMPLETED).alias("seq"), F.col("created_date").alias("file_created_date"),
+        (run + COMPLETED).cast("int").alias("seq"), F.col("created_date").alias("file_created_date"),
         today.alias("file_last_modified_date"), F.col("rows").cast("int").alias("row_count"),
     )
     return dated.select(

@@ -201,6 +201,8 @@ def ledger_rows(judged: DataFrame) -> DataFrame:
         "reason",
         "file_path",
         "modified",
+        "source",
+        F.when(F.col("status") == PROCESSED, F.col("date")).cast("date").alias("data_day"),
     )
 
 

@@ -21,7 +21,7 @@ def top_per_group(rows: DataFrame, group: list[str], *order: Column) -> DataFram
 def rank_desc(rows: DataFrame, value: str, name: str) -> DataFrame:
     """RANK over all rows, largest integer first, without one task for all rows.
 
-    Equal values share a rank, so only the distinct values need an order. They
+    Nulls come last and share a rank. Equal values share a rank, so only the distinct values need an order. They
     are split by their high bits: a window over the groups of high bits counts
     what lies above a group, a window inside each group counts what lies above
     a value. With 16 low bits a group holds at most 65,536 values, and for a
@@ -36,7 +36,7 @@ def rank_desc(rows: DataFrame, value: str, name: str) -> DataFrame:
     )
     ranks = (
         counted.withColumn("_inside", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
-        .join(groups, "_high")
-        .select(value, (F.col("_above") + F.col("_inside") + 1).alias(name))
+        .join(groups.withColumnRenamed("_high", "_group"), F.col("_high").eqNullSafe(F.col("_group")))
+        .select(F.col(value).alias("_ranked"), (F.col("_above") + F.col("_inside") + 1).alias(name))
     )
-    return rows.join(ranks, value)
+    return rows.join(ranks, F.col(value).eqNullSafe(F.col("_ranked"))).drop("_ranked")

@@ -7,6 +7,7 @@ not matched: insert; rows without a source row stay.
 from __future__ import annotations
 
 from collections import Counter
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -45,7 +46,7 @@ def merge_result(target: DataFrame, source: DataFrame, keys: tuple[str, ...], st
     action = (
         F.when(F.col("new").isNull(), KEPT)
         .when(F.col("old").isNull(), INSERT)
-        .when(F.col(f"old.{HASH}") != F.col(f"new.{HASH}"), UPDATE)
+        .when(~F.col(f"old.{HASH}").eqNullSafe(F.col(f"new.{HASH}")), UPDATE)
         .otherwise(UNCHANGED)
     )
     tagged = both.withColumn("action", action)
@@ -72,13 +73,14 @@ def tag_changes(target: DataFrame, source: DataFrame, keys: tuple[str, ...]) ->
     source's keys by a semi join whose build side is the source: while the
     source is below the broadcast threshold, no target row is shuffled.
     """
-    known = target.select(*keys, F.col(HASH).alias("old_hash")).join(source.select(*keys), list(keys), "left_semi")
+    known = target.select(*keys, F.col(HASH).alias("old_hash"), F.lit(True).alias("there"))
+    known = known.join(source.select(*keys), list(keys), "left_semi")
     action = (
-        F.when(F.col("old_hash").isNull(), INSERT)
-        .when(F.col("old_hash") != F.col(HASH), UPDATE)
+        F.when(F.col("there").isNull(), INSERT)
+        .when(~F.col("old_hash").eqNullSafe(F.col(HASH)), UPDATE)
         .otherwise(UNCHANGED)
     )
-    return source.join(known, list(keys), "left").withColumn("action", action).drop("old_hash")
+    return source.join(known, list(keys), "left").withColumn("action", action).drop("old_hash", "there")
 
 
 def apply_changes(
@@ -114,22 +116,35 @@ def upsert(
     """Merges a source into a table of the warehouse; returns rows per action.
 
     The new rows are complete in scratch before the table is touched, and
-    without a change nothing is written. With ``order``, several source rows of
-    a key are reduced to the last one, and the others counted as dropped.
+    without a change nothing is written. Several source rows of a key are
+    reduced to the last one by ``order`` (without one, by their hash), and the
+    others counted as dropped. Rows without a part of their key cannot be
+    matched again, so they are refused and counted.
     """
     spec = schemas.TABLES[table]
-    if order:
-        source = latest_per_key(source, spec.primary_key, order)
+    keyed = reduce(Column.__and__, [F.col(k).isNotNull() for k in spec.primary_key])
+    source = latest_per_key(source, spec.primary_key, order or (HASH,))
     with warehouse.scratch(table) as scratch:
         # Staged first: its plan runs once, and its size is then known to the optimizer.
-        source = scratch.stage(source, "source")
+        staged = scratch.stage(source, "source")
         write = _upsert_partitions if spec.partition_by else _upsert_whole
-        counts = write(warehouse, spec, source, stamp, scratch)
-        if order:
-            counts["dropped"] = source.agg(F.sum("dropped")).first()[0] or 0
+        counts = write(warehouse, spec, staged.where(keyed), stamp, scratch)
+        left_out = staged.agg(
+            F.sum(F.when(keyed, F.col("dropped"))).alias("dropped"), F.sum(F.when(~keyed, F.col("dropped") + 1)).alias("refused")
+        ).first()
+        if left_out["dropped"] or order:
+            counts["dropped"] = left_out["dropped"] or 0
+        if left_out["refused"]:
+            counts["refused"] = left_out["refused"]
     return counts
 
 
+def in_parts(column: str, values: list) -> Column:
+    """Whether a partition column has one of the values; null is a value like any other."""
+    known = F.col(column).isin([v for v in values if v is not None])
+    return F.coalesce(known, F.lit(False)) | F.col(column).isNull() if None in values else known
+
+
 def _upsert_whole(warehouse: Warehouse, spec, source: DataFrame, stamp, scratch) -> Counter:
     """Rewrites the table: one join, staged with its actions."""
     target = warehouse.read(spec.name)
@@ -149,7 +164,7 @@ def _upsert_partitions(warehouse: Warehouse, spec, source: DataFrame, stamp, scr
     keys, part = list(spec.primary_key), spec.partition_by
     # A month list: bounded by the calendar, so it may pass the driver.
     months = [row[0] for row in source.select(part).distinct().collect()]
-    target = warehouse.read(spec.name).where(F.col(part).isin(months))
+    target = warehouse.read(spec.name).where(in_parts(part, months))
     narrow = source.select(*keys, part, HASH)
     tags = scratch.stage(tag_changes(target, narrow, spec.primary_key).drop(HASH), "tags")
 
@@ -157,10 +172,12 @@ def _upsert_partitions(warehouse: Warehouse, spec, source: DataFrame, stamp, scr
     counts = Counter()
     for row in rows:
         counts[row["action"]] += row["n"]
-    touched = sorted({row[part] for row in rows if row["action"] in (INSERT, UPDATE)})
+    grown = {row[part] for row in rows if row["action"] == INSERT}
+    rewritten = {row[part] for row in rows if row["action"] == UPDATE}
+    touched = sorted(grown | rewritten, key=lambda v: (v is None, v))
     if touched:
-        current = target.where(F.col(part).isin(touched))
-        rows = source.where(F.col(part).isin(touched))
+        current = target.where(in_parts(part, touched))
+        rows = source.where(in_parts(part, touched))
 
         def changed(action: str) -> DataFrame:
             return rows.join(tags.where(F.col("action") == action).select(*keys), keys, "left_semi")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dayfold import schemas
+from dayfold.functions import dates
 from dayfold.operators import ledgers, outcomes, quality, responses, upsert
 from dayfold.plans import star
 from dayfold.sources import documents, parameters
@@ -18,6 +19,7 @@ from dayfold.sources.warehouse import Scratch, Warehouse
 
 CALL_EVENTS = "api_call_events"
 IMPORT_EVENTS = "import_events"
+REFUSED_RESPONSES = "refused_responses"
 STEPS = ("extract", "transform", "load")
 
 
@@ -34,6 +36,21 @@ def _events(warehouse: Warehouse, events: str, spec: schemas.TableSpec) -> DataF
     return warehouse.spark.createDataFrame([], schema)
 
 
+def start_date(spark, day: str | None = None) -> date:
+    """The day a run is for: the given one, else the default batch date."""
+    if day is not None:
+        return date.fromisoformat(day)
+    return spark.range(1).select(dates.default_batch_date(F.lit(None).cast("string"), F.current_date())).first()[0]
+
+
+def add_countries(warehouse: Warehouse, candidates: DataFrame) -> DataFrame:
+    """Adds valid candidates to the stored countries; returns the refused ones with their reasons."""
+    with warehouse.scratch("countries") as scratch:
+        added, refused = parameters.append_countries(warehouse.read("country"), candidates)
+        warehouse.overwrite("country", scratch.stage(added, "country"))
+    return refused
+
+
 def plan(warehouse: Warehouse, first: date, last: date) -> DataFrame:
     """The requests to make for a range of days."""
     return parameters.plan_requests(
@@ -46,20 +63,28 @@ def land(warehouse: Warehouse, envelopes: DataFrame, run_time: datetime) -> Coun
 
     The classified responses are staged once; the ledgers and the landed
     documents are projections of them. Running it again adds events with the
-    same ids, so states stay as they are.
+    same ids, so states stay as they are. Responses of an unknown country or
+    source have no ledger to stand in: they are kept in ``refused_responses``
+    with a reason, and counted.
     """
     countries = warehouse.read("country").select(F.col("id").alias("country_id"), "code")
     apis = warehouse.read("api_info").select(F.col("id").alias("api_id"), "api_name")
     calls = (
         responses.classify(envelopes)
         .withColumn("api_name", documents.api_name_of(F.col("source")))
-        .join(apis, "api_name")
-        .join(countries, "country_id")
+        .join(apis, "api_name", "left")
+        .join(countries, "country_id", "left")
         .withColumn("file_name", documents.file_name_of(F.col("source"), F.col("code"), F.col("batch_date")))
         .drop("body", "http_status", "api_name")
     )
     with warehouse.scratch("land") as scratch:
-        calls = scratch.stage(calls, "calls")
+        answers = scratch.stage(calls, "calls")
+        unknown = F.when(F.col("api_id").isNull(), "unknown source").when(F.col("code").isNull(), "unknown country")
+        calls = answers.where(unknown.isNull())
+        refused = answers.withColumn("reason", unknown).where("reason IS NOT NULL")
+        n_refused = refused.count()
+        if n_refused:
+            warehouse.append(REFUSED_RESPONSES, refused)
         warehouse.append(CALL_EVENTS, ledgers.call_events(calls))
 
         answered = calls.where(F.col("code_response").isNotNull())
@@ -74,7 +99,10 @@ def land(warehouse: Warehouse, envelopes: DataFrame, run_time: datetime) -> Coun
             "source", "batch_date", "file_name", F.concat(folder, "file_name").alias("file_path"),
             stamp_of(run_time).alias("modified"), "value",
         )
-        return land_raw_docs(warehouse, docs)
+        counts = land_raw_docs(warehouse, docs)
+        if n_refused:
+            counts["refused"] += n_refused
+        return counts
 
 
 def land_raw_docs(warehouse: Warehouse, docs: DataFrame) -> Counter:
@@ -91,13 +119,15 @@ def land_raw_docs(warehouse: Warehouse, docs: DataFrame) -> Counter:
 def api_import_log(warehouse: Warehouse) -> DataFrame:
     """State of the calls."""
     events = _events(warehouse, CALL_EVENTS, schemas.API_IMPORT_LOG)
-    return ledgers.current_state(events).select(*schemas.API_IMPORT_LOG.columns)
+    record = ("id", "country_id", "api_id", "start_time")
+    return ledgers.current_state(events, record).select(*schemas.API_IMPORT_LOG.columns)
 
 
 def import_log(warehouse: Warehouse) -> DataFrame:
     """State of the imported files."""
     events = _events(warehouse, IMPORT_EVENTS, schemas.IMPORT_LOG)
-    return ledgers.current_state(events).select(*schemas.IMPORT_LOG.columns)
+    record = ("id", "batch_date", "country_id", "import_directory_name", "import_file_name")
+    return ledgers.current_state(events, record).select(*schemas.IMPORT_LOG.columns)
 
 
 @dataclass(frozen=True)
@@ -123,7 +153,9 @@ def transform_source(
 
     The judged documents are staged once and feed the staging table, the ledger
     and the areas, so a document is parsed once and what the ledger says is what
-    was staged. Of two documents for one country and day the later one counts.
+    was staged. Of two documents for one country and day the later one counts,
+    also when they come in different runs: rows that the ledger has a later
+    document for are left out, and counted with the others.
     """
     spec = STAGING[source]
     judged = outcomes.judge_documents(docs, source, warehouse.read("country"), codebook)
@@ -132,14 +164,28 @@ def transform_source(
     judged = scratch.stage(judged.select(*keep, *spec.columns), "judged")
 
     rows = outcomes.staged(judged, spec, extra=list(upsert.PLACE))
-    latest = scratch.stage(upsert.latest_per_key(rows, spec.primary_key, upsert.PLACE), "staging")
-    warehouse.overwrite(spec.name, latest.select(*spec.columns))
+    latest = scratch.stage(upsert.latest_per_key(rows, spec.primary_key, upsert.PLACE), "latest")
+    current = scratch.stage(_not_superseded(latest, handled(warehouse).where(F.col("source") == source)), "staging")
+    warehouse.overwrite(spec.name, current.where("newest").select(*spec.columns))
 
     counts = {r["status"]: r["count"] for r in judged.groupBy("status").count().collect()}
-    dropped = latest.agg(F.sum("dropped")).first()[0] or 0
+    dropped = current.agg(F.sum(F.col("dropped") + F.when(F.col("newest"), 0).otherwise(1))).first()[0] or 0
     return Transformed(counts.get(outcomes.PROCESSED, 0), counts.get(outcomes.ERROR, 0), dropped, judged, scratch)
 
 
+def _not_superseded(rows: DataFrame, ledger: DataFrame) -> DataFrame:
+    """Adds whether no handled document of the same country and day is later.
+
+    The ledger is reduced to the keys at hand before it is aggregated.
+    """
+    keys = rows.select("country_id", F.col("date").alias("data_day"))
+    known = ledger.where(F.col("data_day").isNotNull()).join(keys, ["country_id", "data_day"], "left_semi")
+    place = F.struct(*upsert.PLACE)
+    known = known.groupBy("country_id", F.col("data_day").alias("date")).agg(F.max(place).alias("known"))
+    newest = F.col("known").isNull() | (place >= F.col("known"))
+    return rows.join(known, ["country_id", "date"], "left").withColumn("newest", newest).drop("known")
+
+
 def record(warehouse: Warehouse, transformed: Transformed) -> None:
     """Documents to the ledger and to the area of their outcome; ends the run.
 
@@ -160,7 +206,7 @@ def routed_documents(warehouse: Warehouse) -> DataFrame:
 
 _LEDGER = (
     "id bigint, batch_date date, country_id bigint, processed_directory_name string, processed_file_name string, "
-    "row_count int, status string, reason string, file_path string, modified timestamp_ntz"
+    "row_count int, status string, reason string, file_path string, modified timestamp_ntz, source string, data_day date"
 )
 
 
@@ -172,11 +218,12 @@ def handled(warehouse: Warehouse) -> DataFrame:
 
 
 def document_ledger(warehouse: Warehouse) -> DataFrame:
-    """The ledger with the reason and path of each document, one row per id.
+    """The ledger with the reason and path of each document, one row per path and time.
 
-    A repeated run appends the same ids again; they are folded here.
+    A repeated run appends the same rows again; they are folded here, by what
+    they are and not by the hash in their id.
     """
-    return handled(warehouse).dropDuplicates(["id"])
+    return handled(warehouse).dropDuplicates(["file_path", "modified"])
 
 
 def transform_log(warehouse: Warehouse) -> DataFrame:
@@ -242,7 +289,8 @@ def run(
     if "transform" in steps:
         ledger = handled(warehouse)
         if first is not None and last is not None:
-            ledger = ledger.where(F.col("batch_date").between(first, last))
+            # Badly named documents have no day, and were handled all the same.
+            ledger = ledger.where(F.col("batch_date").between(first, last) | F.col("batch_date").isNull())
         new = {
             source: documents.unseen(documents.landed_docs(warehouse, source, first, last), ledger)
             for source in documents.SOURCES

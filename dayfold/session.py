@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -41,15 +40,12 @@ def scratch_dir(spark: SparkSession, purpose: str, default: str | None = None) -
 
     The folder comes from ``spark.checkpoint.dir`` (or a checkpoint directory
     set on the context), else from ``default``, which must be as shared as the
-    tables are. A machine-local folder is only used under a local master.
+    tables are, else from the session's warehouse folder, which is.
     """
     base = (
         spark.conf.get("spark.checkpoint.dir", None)
         or spark.sparkContext.getCheckpointDir()
         or default
+        or spark.conf.get("spark.sql.warehouse.dir")
     )
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="dayfold-")
     return f"{base.rstrip('/')}/dayfold/{purpose}-{uuid.uuid4().hex}"

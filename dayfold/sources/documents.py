@@ -56,11 +56,17 @@ def scan_raw_docs(spark: SparkSession, directory: str, source: str, stream: bool
         F.lit(source).alias("source"),
         F.col("path").alias("file_path"),
         F.col("_metadata.file_name").alias("file_name"),
-        F.to_timestamp_ntz(F.date_format("modificationTime", "yyyy-MM-dd HH:mm:ss.SSS")).alias("modified"),
+        _utc(F.col("modificationTime")).alias("modified"),
         F.try_validate_utf8(F.col("content").cast("string")).alias("value"),
     )
 
 
+def _utc(instant: Column) -> Column:
+    """An instant as a UTC time without zone, whatever zone the session has."""
+    seconds = (F.unix_millis(instant) / F.lit(1000)).cast("decimal(18,6)")
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)
+
+
 def landed_rows(docs: DataFrame) -> DataFrame:
     """Documents in the shape of the landed table, with the hash of their text."""
     return docs.select(

@@ -12,37 +12,83 @@ ALL_COUNTRIES = "All countries"
 
 # The daily variables asked of the weather source, in the order
 # they stand in the request.
-WEATHER_VARIABLES = """
-    weather_code temperature_2m_mean surface_pressure_mean
-    relative_humidity_2m_mean temperature_2m_max temperature_2m_min
-    apparent_temperature_max apparent_temperature_min rain_sum
-    showers_sum snowfall_sum precipitation_sum precipitation_hours
-    precipitation_probability_max sunrise sunset daylight_duration
-    uv_index_max sunshine_duration uv_index_clear_sky_max
-    wind_speed_10m_max wind_gusts_10m_max wind_direction_10m_dominant
-    shortwave_radiation_sum et0_fao_evapotranspiration
-    apparent_temperature_mean cape_mean cape_max
-    cape_min cloud_cover_mean cloud_cover_max cloud_cover_min
-    dew_point_2m_mean dew_point_2m_max dew_point_2m_min
-    surface_pressure_max surface_pressure_min updraft_max
-    visibility_mean visibility_min visibility_max
-    winddirection_10m_dominant wind_gusts_10m_mean
-    wind_speed_10m_mean wind_speed_10m_min wind_gusts_10m_min
-    soil_temperature_7_to_28cm_mean soil_temperature_28_to_100cm_mean
-    soil_temperature_0_to_7cm_mean soil_temperature_0_to_100cm_mean
-    soil_moisture_7_to_28cm_mean soil_moisture_28_to_100cm_mean
-    soil_moisture_0_to_7cm_mean soil_moisture_0_to_10cm_mean
-    soil_moisture_0_to_100cm_mean vapour_pressure_deficit_max
-    wet_bulb_temperature_2m_min wet_bulb_temperature_2m_max
-    wet_bulb_temperature_2m_mean pressure_msl_min
-    pressure_msl_max pressure_msl_mean
-    snowfall_water_equivalent_sum relative_humidity_2m_min
-    relative_humidity_2m_max precipitation_probability_min
-    precipitation_probability_mean leaf_wetness_probability_mean
-    growing_degree_days_base_0_limit_50 et0_fao_evapotranspiration_sum
-""".split()
+WEATHER_VARIABLES = (
+    "weather_code",
+    "temperature_2m_mean",
+    "surface_pressure_mean",
+    "relative_humidity_2m_mean",
+    "temperature_2m_max",
+    "temperature_2m_min",
+    "apparent_temperature_max",
+    "apparent_temperature_min",
+    "rain_sum",
+    "showers_sum",
+    "snowfall_sum",
+    "precipitation_sum",
+    "precipitation_hours",
+    "precipitation_probability_max",
+    "sunrise",
+    "sunset",
+    "daylight_duration",
+    "uv_index_max",
+    "sunshine_duration",
+    "uv_index_clear_sky_max",
+    "wind_speed_10m_max",
+    "wind_gusts_10m_max",
+    "wind_direction_10m_dominant",
+    "shortwave_radiation_sum",
+    "et0_fao_evapotranspiration",
+    "apparent_temperature_mean",
+    "cape_mean",
+    "cape_max",
+    "cape_min",
+    "cloud_cover_mean",
+    "cloud_cover_max",
+    "cloud_cover_min",
+    "dew_point_2m_mean",
+    "dew_point_2m_max",
+    "dew_point_2m_min",
+    "surface_pressure_max",
+    "surface_pressure_min",
+    "updraft_max",
+    "visibility_mean",
+    "visibility_min",
+    "visibility_max",
+    "winddirection_10m_dominant",
+    "wind_gusts_10m_mean",
+    "wind_speed_10m_mean",
+    "wind_speed_10m_min",
+    "wind_gusts_10m_min",
+    "soil_temperature_7_to_28cm_mean",
+    "soil_temperature_28_to_100cm_mean",
+    "soil_temperature_0_to_7cm_mean",
+    "soil_temperature_0_to_100cm_mean",
+    "soil_moisture_7_to_28cm_mean",
+    "soil_moisture_28_to_100cm_mean",
+    "soil_moisture_0_to_7cm_mean",
+    "soil_moisture_0_to_10cm_mean",
+    "soil_moisture_0_to_100cm_mean",
+    "vapour_pressure_deficit_max",
+    "wet_bulb_temperature_2m_min",
+    "wet_bulb_temperature_2m_max",
+    "wet_bulb_temperature_2m_mean",
+    "pressure_msl_min",
+    "pressure_msl_max",
+    "pressure_msl_mean",
+    "snowfall_water_equivalent_sum",
+    "relative_humidity_2m_min",
+    "relative_humidity_2m_max",
+    "precipitation_probability_min",
+    "precipitation_probability_mean",
+    "leaf_wetness_probability_mean",
+    "growing_degree_days_base_0_limit_50",
+    "et0_fao_evapotranspiration_sum",
+)
 WEATHER_TIMEZONE = "Europe/Berlin"
 
+# A plain number: casts in SQL also take type suffixes, as in 12.5d.
+NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+
 
 def country_rows(countries: DataFrame) -> DataFrame:
     """The whole parameter table, in its declared columns and types."""
@@ -72,7 +118,7 @@ def check_candidates(candidates: DataFrame) -> DataFrame:
     """
     trimmed = candidates.select(
         F.trim("code").alias("code"), F.trim("name").alias("name"),
-        *[F.trim(c).try_cast("double").alias(c) for c in ("latitude", "longitude")],
+        *[F.when(F.trim(c).rlike(NUMBER), F.trim(c)).try_cast("double").alias(c) for c in ("latitude", "longitude")],
     )
     typed = trimmed.select(
         F.xxhash64("code", "name", "latitude", "longitude").alias("id"), "code", "name",

@@ -106,8 +106,8 @@ def _codes_used(v: Views):
 
 
 def _summary_and_code(v: Views):
-    """The weather facts are read twice, so they are stored, as a warehouse would hold them."""
-    weather = v.stored(v.weather_fact(), "weather")
+    """Summary and most frequent code of each country, one plan."""
+    weather = v.weather_fact()
     joined = ask.join_two_facts(v.covid_fact(), weather, v.dim_country(), v.dim_date())
     used = ask.code_frequency(weather, v.dim_weather_code(), v.dim_country())
     return ask.summary_with_code(ask.country_summary(joined), ask.most_frequent_code(used))

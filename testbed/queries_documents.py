@@ -431,12 +431,24 @@ def _stamped(fact):
     return fact.withColumns({"createdAt": old, "updatedAt": old})
 
 
+def _upserted(v: Views, table: str, before, source):
+    """The counts of an upsert into a stored table, and the table with what happened to each row.
+
+    Every source row comes twice, as a careless source may send it. What
+    happened is read off the stamps.
+    """
+    warehouse = new_warehouse(v, "merge")
+    warehouse.overwrite_partitions(table, _stamped(before).select(*warehouse.read(table).columns))
+    counts = upsert.upsert(warehouse, table, source.unionByName(source), jobs.stamp_of(RUN))
+    rows = warehouse.read(table)
+    action = F.when(F.col("createdAt") == jobs.stamp_of(RUN), upsert.INSERT).when(
+        F.col("updatedAt") == jobs.stamp_of(RUN), upsert.UPDATE).otherwise(upsert.UNCHANGED)
+    return counts, rows.withColumn("action", action)
+
+
 def _merge_covid(v: Views):
-    return upsert.merge_result(
-        _stamped(v.covid_fact(F.col("o_orderstatus") != "P")),
-        star.covid_fact(v.covid_staging(), v.dim_country(), v.dim_date()),
-        schemas.FACT_COVID.primary_key, jobs.stamp_of(RUN),
-    )
+    source = star.covid_fact(v.covid_staging(), v.dim_country(), v.dim_date())
+    return _upserted(v, "fact_covid_data", v.covid_fact(F.col("o_orderstatus") != "P"), source)[1]
 
 
 COVID_MERGE = _merged(
@@ -461,10 +473,7 @@ query(
 
 def _merge_weather(v: Views):
     source = star.weather_fact(v.weather_raw(), v.dim_country(), star.date_dimension(v.ship_dates()))
-    return upsert.merge_result(
-        _stamped(v.weather_fact(F.col("l_returnflag") != "R")), source, schemas.FACT_WEATHER.primary_key,
-        jobs.stamp_of(RUN),
-    )
+    return _upserted(v, "fact_weather_data", v.weather_fact(F.col("l_returnflag") != "R"), source)
 
 
 WEATHER_MERGE = _merged(
@@ -475,12 +484,19 @@ WEATHER_MERGE = _merged(
 query(
     "merge_fact_weather", f"country_id:i date_id:i {WEATHER_COLUMNS} hash_value:s action:s", WEATHER_MERGE,
     "weather_fact_before weather_fact",
-)(_merge_weather)
+)(lambda v: _merge_weather(v)[1])
+
+
+def _merge_counts(v: Views):
+    """What the upsert reports, without the source rows it left out."""
+    counts = _merge_weather(v)[0]
+    return v.spark.createDataFrame([(k, n) for k, n in counts.items() if k != "dropped"], "action string, n long")
+
 
 query(
     "merge_counts", "action:s n:i", f"SELECT action, COUNT(*) AS n FROM ({WEATHER_MERGE}) GROUP BY action",
     "weather_fact_before weather_fact",
-)(lambda v: upsert.merge_counts(_merge_weather(v)))
+)(_merge_counts)
 
 
 def _merge_dim_country(v: Views):
@@ -606,10 +622,11 @@ query(
 
 
 def _stream(v: Views):
-    """Landed documents picked up as a stream."""
+    """Landed documents picked up as a stream, in several micro-batches."""
     warehouse = new_warehouse(v, "stream")
     jobs.land_raw_docs(warehouse, v.covid_documents())
-    docs = raw_docs.landed_stream(warehouse, "c")
+    files = warehouse.read(schemas.LANDED.name).select(F.input_file_name()).distinct().count()
+    docs = raw_docs.landed_stream(warehouse, "c", files_per_batch=max(1, files // 2))
     stream = raw_docs.stream_documents(
         warehouse, docs, "c", scratch_dir(v.spark, "stream-checkpoint"), clock=lambda: RUN
     )

@@ -8,15 +8,17 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from dayfold.operators import upsert
 from dayfold.plans import data_questions, jobs, star
+from testbed.registry import QUERIES
 from testbed.views import Views
 
 SF = "/root/testdata/sf0.001"
 # These write when called; their plans are those of the steps they are made of.
 WRITING = {
     "job_load", "job_run", "job_land", "job_transform_covid", "job_transform_weather", "stream_raw_docs",
-    "land_raw_docs", "scan_raw_docs", "scan_codebook", "route_documents", "overwrite_staging", "left_join_scalar",
+    "merge_fact_covid", "merge_fact_weather", "merge_audit_stamps", "merge_counts",
+    "land_raw_docs", "scan_raw_docs", "scan_codebook", "route_documents", "overwrite_staging",
 }
-LAZY = [name for name in entry.queries() if name not in WRITING]
+LAZY = [name for name in QUERIES if name not in WRITING]
 
 
 def plan_of(frame):
