@@ -13,6 +13,7 @@ from dayfold.llm import (
     ngram_join,
     passages,
     run_index,
+    sql,
     toxicity,
     url_filter,
 )
@@ -26,7 +27,7 @@ def table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-@query("op1_run_index_dedup")
+@query("op1_run_index_dedup", sql.RUN_INDEX_DEDUP)
 def op1(spark, sf_dir):
     return run_index.run_index_dedup(documents(spark, sf_dir))
 
@@ -41,7 +42,7 @@ def op3(spark, sf_dir):
     return fingerprint.with_edits(documents(spark, sf_dir))
 
 
-@query("op4_ngram_join")
+@query("op4_ngram_join", sql.NGRAM_JOIN)
 def op4(spark, sf_dir):
     return ngram_join.ngram_jaccard_join(documents(spark, sf_dir))
 

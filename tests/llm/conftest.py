@@ -1,0 +1,6 @@
+import sys
+from pathlib import Path
+
+sys.path.insert(0, str(Path(__file__).resolve().parent))
+
+from llm_tables import corpus  # noqa: E402, F401
