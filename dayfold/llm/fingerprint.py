@@ -36,13 +36,13 @@ def anchors(points: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarr
     """Hashes of the closed syncmers of each text, and the text each is in."""
     counts = np.diff(first)
     values = points.astype(np.uint64)
-    inner = np.zeros(max(len(values) - S + 1, 0), np.uint64)
-    for j in range(S):
-        inner = inner * np.uint64(0x9E3779B97F4A7C15) + values[j:len(values) - S + 1 + j] + np.uint64(1)
-    inner = mix(inner, 1)
     span = K - S + 1  # s-mers in a k-mer
     n = len(values) - K + 1
     if n > 0:
+        inner = np.zeros(len(values) - S + 1, np.uint64)
+        for j in range(S):
+            inner = inner * np.uint64(0x9E3779B97F4A7C15) + values[j:len(values) - S + 1 + j] + np.uint64(1)
+        inner = mix(inner, 1)
         # Smallest s-mer of every window by doubling, over a span that is no power of two.
         least, width = inner, 1
         while width * 2 <= span:

@@ -261,6 +261,8 @@ def train(docs: DataFrame, eligible) -> Field | None:
 
     # TRAIN_ROWS pieces of TRAIN_WORDS words.
     rows = training_rows(docs, eligible).mapInPandas(read, "doc_id long, piece string, lang string").toPandas()
+    if not len(rows):
+        return None
     rows = rows[rows["piece"].map(lambda x: bool(_LETTER.search(x)))].sort_values(["doc_id", "lang", "piece"])
     if not len(rows):
         return None
