@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+import zlib
 
 import numpy as np
 import pandas as pd
@@ -10,6 +11,8 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dayfold.llm.arrays import mix
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir``; where it is unset (tests), one below the warehouse."""
@@ -52,6 +55,54 @@ def restored(bodies) -> list[str | None]:
     return [None if x is None else zstandard.decompress(x).decode("utf-8", "surrogatepass") for x in bodies]
 
 
+SIEVE_BITS = 25  # 4 MB of bits, whatever the number of nodes
+
+
+def sieve(nodes: DataFrame, name: str = "node"):
+    """A condition on a node that holds for all nodes of the table and for few others.
+
+    A Bloom filter of fixed size with one hash. It only keeps texts that no join can match
+    from being shuffled; when it fills up it lets more through and no result changes.
+    """
+    size = 1 << SIEVE_BITS
+
+    def read(frames):
+        bits = np.zeros(size // 8, np.uint8)
+        for frame in frames:
+            at = _sieve_place(frame[name].to_numpy(np.int64))
+            np.bitwise_or.at(bits, at >> 3, (1 << (at & 7)).astype(np.uint8))
+        yield pd.DataFrame({"lot": [int(bits.sum() % 16)], "bits": [zlib.compress(bits.tobytes(), 1)]})
+
+    def merge(rows: pd.DataFrame) -> pd.DataFrame:
+        bits = np.zeros(size // 8, np.uint8)
+        for x in rows["bits"]:
+            bits |= np.frombuffer(zlib.decompress(x), np.uint8)
+        return pd.DataFrame({"lot": rows["lot"].iloc[:1], "bits": [zlib.compress(bits.tobytes(), 1)]})
+
+    kind = "lot int, bits binary"
+    total = np.zeros(size // 8, np.uint8)
+    # At most 16 rows of fixed size.
+    for row in nodes.select(name).mapInPandas(read, kind).groupBy("lot").applyInPandas(merge, kind).collect():
+        total |= np.frombuffer(zlib.decompress(row["bits"]), np.uint8)
+    shared = nodes.sparkSession.sparkContext.broadcast(total)
+
+    @F.pandas_udf("boolean")
+    def held(node: pd.Series) -> pd.Series:
+        at = _sieve_place(node.to_numpy(np.int64))
+        return pd.Series(((shared.value[at >> 3] >> (at & 7).astype(np.uint8)) & 1).astype(bool))
+
+    # Nulls would make the numbers of a batch inexact, and xxhash64 gives null texts a number too.
+    return lambda column: held(F.coalesce(column, F.lit(0)))
+
+
+def _sieve_place(nodes: np.ndarray) -> np.ndarray:
+    return (mix_node(nodes) >> np.uint64(64 - SIEVE_BITS)).astype(np.int64)
+
+
+def mix_node(nodes: np.ndarray) -> np.ndarray:
+    return mix(nodes.astype(np.int64).view(np.uint64), 12)
+
+
 # Packed rows: many small records that go to the same bucket travel as one row of
 # binary columns, since a row per record would cost Spark several times the bytes.
 
