@@ -2,8 +2,8 @@
 
 1. Equal texts are one text, held by the smallest doc_id; its copies go entirely.
 2. Anchors are the smallest hashes of 16-byte strings among the 35 inside each 50-byte
-   window, so two equal windows have the same anchor at the same place. Anchors that two
-   texts share send the windows around them to one bucket: by the first text that has the
+   window, so two equal windows have the same anchor at the same place, and the same 17
+   bytes before or behind it. Anchors that two texts share so send the windows around them to one bucket: by the first text that has the
    anchor, or by the anchor itself where more than ``HOT`` texts share it. All equal
    windows meet, whatever else a bucket holds.
 3. A bucket's distinct pieces are sorted by their suffixes and transformed (Burrows-Wheeler,
@@ -34,12 +34,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dayfold.llm.arrays import as_bytes, mix, slices, span_hashes
-from dayfold.llm.common import compressed, pack, starts_of, stored, unpack
+from dayfold.llm.common import compressed, pack, sieve, starts_of, stored, unpack
 from dayfold.llm.passages import sliding
 
 LENGTH = 50
 ANCHOR = 16
 AROUND = LENGTH - ANCHOR + 1  # anchors in a window
+SIDE = (LENGTH - ANCHOR) // 2
 DEPTH = 64
 CHUNK = 448  # places streamed in one go; DEPTH more bytes to warm up
 HOT = 200
@@ -71,23 +72,52 @@ def anchor_entries(docs: DataFrame, n_buckets: int) -> DataFrame:
             for a, b in slices(texts):
                 data, first = as_bytes(texts[a:b])
                 value, text, place = anchors(data, first)
+                sides = side_hashes(data, first, text, place)
                 ids, nodes = (frame[c].iloc[a:b].to_numpy(np.int64) for c in ("doc_id", "node"))
                 yield pack((mix(value, 5) % np.uint64(n_buckets)).astype(np.int32), {
-                    "value": value, "node": nodes[text], "doc": ids[text], "place": (place - first[text]).astype(np.int32),
+                    # Inside a bucket 32 bits tell anchors apart well enough.
+                    "value": (value >> np.uint64(32)).astype(np.uint32), "left": sides[0], "right": sides[1],
+                    "node": nodes[text], "doc": ids[text], "place": (place - first[text]).astype(np.int32),
                 })
 
-    return docs.mapInPandas(read, "bucket int, value binary, node binary, doc binary, place binary")
+    return docs.mapInPandas(read, "bucket int, value binary, left binary, right binary, node binary, doc binary, place binary")
+
+
+def side_hashes(data: np.ndarray, first: np.ndarray, text: np.ndarray, place: np.ndarray) -> list[np.ndarray]:
+    """A byte of hash of the SIDE bytes before and after each anchor; 0 where the text ends before."""
+    out = []
+    for low in (place - SIDE, place + ANCHOR):
+        whole = (low >= first[text]) & (low + SIDE <= first[text + 1])
+        side = np.zeros(len(place), np.uint8)
+        side[whole] = 1 + span_hashes(data, low[whole], low[whole] + SIDE) % np.uint64(255)
+        out.append(side)
+    return out
+
+
+def met_elsewhere(value: np.ndarray, side: np.ndarray, node: np.ndarray) -> np.ndarray:
+    """Whether another text has the same anchor with the same side."""
+    order = np.lexsort((node, side, value))
+    start = starts_of(value[order], side[order])
+    size = np.diff(np.r_[start, len(order)])
+    fresh = np.zeros(len(order), np.int64)
+    fresh[starts_of(value[order], side[order], node[order])] = 1
+    texts = np.add.reduceat(fresh, start) if len(start) else size
+    out = np.zeros(len(order), bool)
+    out[order] = np.repeat(texts > 1, size) & (side[order] > 0)
+    return out
 
 
 def routes(entries: DataFrame, n_buckets: int) -> DataFrame:
     """(node, places, routes): where each text's shared anchors are and which bucket key they have."""
 
     def meet(rows: pd.DataFrame) -> pd.DataFrame:
-        value, node, doc, place = unpack(rows, value="u8", node="i8", doc="i8", place="i4")
+        value, left, right, node, doc, place = unpack(rows, value="u4", left="u1", right="u1", node="i8", doc="i8", place="i4")
         names, of = np.unique(node, return_inverse=True)
         least = np.full(len(names), np.iinfo(np.int64).max)
         np.minimum.at(least, of, doc)
         order = np.flatnonzero(doc == least[of])
+        # Equal windows reach SIDE bytes beyond the anchor on one side at least.
+        order = order[met_elsewhere(value[order], left[order], node[order]) | met_elsewhere(value[order], right[order], node[order])]
         order = order[np.lexsort((node[order], doc[order], value[order]))]
         value, node, place = value[order], node[order], place[order]
         start = starts_of(value)
@@ -97,7 +127,7 @@ def routes(entries: DataFrame, n_buckets: int) -> DataFrame:
         fresh[starts_of(value, node)] = 1
         texts = np.add.reduceat(fresh[:-1], start) if len(start) else size
         shared = np.repeat(texts, size) > 1
-        key = np.where(np.repeat(texts, size) > HOT, value, mix(node[head].view(np.uint64), 9))[shared]
+        key = np.where(np.repeat(texts, size) > HOT, mix(value.astype(np.uint64), int(rows["bucket"].iloc[0]) + 10), mix(node[head].view(np.uint64), 9))[shared]
         node, place = node[shared], place[shared]
         return pack((mix(node.view(np.uint64), 6) % np.uint64(n_buckets)).astype(np.int32), {"node": node, "place": place, "route": key})
 
@@ -314,8 +344,18 @@ def run_index_dedup(docs: DataFrame) -> DataFrame:
     keyed = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", F.xxhash64("text").alias("node"), "text")
     chars = keyed.agg(F.sum(F.length("text"))).first()[0] or 0
     n_buckets = 1 + chars // CHARS_PER_BUCKET
-    first = stored(keyed.groupBy("node").agg(F.min("doc_id").alias("first_id")), "first")
+    first = stored(keyed.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("texts")), "first")
     routed = routes(anchor_entries(keyed, n_buckets), n_buckets)
-    bodies = compressed(docs)
-    parts = pieces(bodies, first, routed, 1 + chars // BYTES_PER_BUCKET)
-    return without(bodies, first, stored(marks(parts), "marks"))
+    routed = stored(routed, "routes")
+    # Only texts with shared anchors, marks or copies take part in a shuffle.
+    node = F.xxhash64("text")
+    shared = sieve(routed)
+    bodies = compressed(docs.where(F.col("text").isNotNull() & shared(node)))
+    marked = stored(marks(pieces(bodies, first, routed, 1 + chars // BYTES_PER_BUCKET)), "marks")
+    touched = sieve(marked.select("node").union(first.where("texts > 1").select("node")).distinct())
+    concerned = F.coalesce(F.col("text").isNotNull() & touched(node), F.lit(False))
+    text = F.coalesce("text", F.lit(""))
+    whole = docs.where(~concerned).select(
+        "doc_id", F.octet_length(text).cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"),
+        F.lit(0).cast("long").alias("n_spans"), F.sha2(text, 256).alias("kept_sha256"))
+    return without(compressed(docs.where(concerned)), first.drop("texts"), marked).unionByName(whole)
