@@ -156,7 +156,7 @@ def test_passages_that_an_earlier_text_has_are_cut(spark, corpus):
         assert row["n_removed"] == 60
         assert row["kept"] == before + after.lstrip(" ")
     for k in range(1, 6):
-        assert out[30 + k][0]["n_removed"] >= 70  # up to the changed words at the edges
+        assert out[30 + k][0]["n_removed"] >= 50  # the best run that is alike enough
 
 
 def test_passages_of_fewer_words_stay(spark):
