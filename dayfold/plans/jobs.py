@@ -37,10 +37,8 @@ def _events(warehouse: Warehouse, events: str, spec: schemas.TableSpec) -> DataF
 
 
 def start_date(spark, day: str | None = None) -> date:
-    """The day a run is for: the given one, else the default batch date."""
-    if day is not None:
-        return date.fromisoformat(day)
-    return spark.range(1).select(dates.default_batch_date(F.lit(None).cast("string"), F.current_date())).first()[0]
+    """The day a run is for: the given one if it is valid, else the default batch date."""
+    return spark.range(1).select(dates.default_batch_date(F.lit(day).cast("string"), F.current_date())).first()[0]
 
 
 def add_countries(warehouse: Warehouse, candidates: DataFrame) -> DataFrame:
@@ -143,6 +141,7 @@ class Transformed:
 
 STAGING = {"w": schemas.WEATHER_STAGING, "c": schemas.COVID_STAGING}
 DOCUMENT_LEDGER = "transform_documents"
+STARTED = "started_documents"
 ROUTED = "routed_documents"
 
 
@@ -158,6 +157,8 @@ def transform_source(
     document for are left out, and counted with the others.
     """
     spec = STAGING[source]
+    begun = docs.select("source", "file_path", "file_name", "modified", F.lit(outcomes.ONGOING).alias("status"))
+    warehouse.append(STARTED, begun)
     judged = outcomes.judge_documents(docs, source, warehouse.read("country"), codebook)
     keep = ["source", "file_path", "file_name", "modified", "batch_date", "status", "row_count", "reason", "value"]
     scratch = warehouse.scratch(f"transform-{source}")
@@ -217,6 +218,17 @@ def handled(warehouse: Warehouse) -> DataFrame:
     return warehouse.spark.read.schema(_LEDGER).parquet(warehouse.path(DOCUMENT_LEDGER))
 
 
+_STARTED = "source string, file_path string, file_name string, modified timestamp_ntz, status string"
+
+
+def ongoing(warehouse: Warehouse) -> DataFrame:
+    """Documents that a run began and did not record: what a broken run leaves behind."""
+    if not warehouse.exists(STARTED):
+        return warehouse.spark.createDataFrame([], _STARTED)
+    begun = warehouse.spark.read.schema(_STARTED).parquet(warehouse.path(STARTED)).distinct()
+    return begun.join(handled(warehouse).select("file_path", "modified"), ["file_path", "modified"], "left_anti")
+
+
 def document_ledger(warehouse: Warehouse) -> DataFrame:
     """The ledger with the reason and path of each document, one row per path and time.
 
@@ -259,10 +271,30 @@ def load(warehouse: Warehouse, run_time: datetime) -> dict[str, Counter]:
         "fact_weather_data": star.weather_fact(weather, dim_country, dim_date),
     }
     for table, rows in facts.items():
+        check_rows(warehouse, table, rows)
         counts[table] = upsert.upsert(warehouse, table, rows, stamp)
     return counts
 
 
+class BrokenRules(ValueError):
+    """Rows break declared rules of their table; nothing of it was written."""
+
+
+def check_rows(warehouse: Warehouse, table: str, rows: DataFrame) -> None:
+    """Refuses rows that break what their table declares, before they are published.
+
+    Several rows of a key are no breach here: the upsert keeps one and counts the others.
+    """
+    spec = schemas.TABLES[table]
+    parents = {key.parent: warehouse.read(key.parent) for key in spec.foreign_keys}
+    for name in (upsert.CREATED, upsert.UPDATED):
+        if name in spec.columns and name not in rows.columns:
+            rows = rows.withColumn(name, F.lit(None).cast("timestamp_ntz"))
+    found = [r for r in quality.check_table(spec, rows.dropDuplicates(list(spec.primary_key)), parents).collect()]
+    if found:
+        raise BrokenRules(f"{table}: {'; '.join(str(tuple(r)) for r in found)}")
+
+
 def broken_rules(warehouse: Warehouse, table: str) -> DataFrame:
     """The declared rules that rows of a table break, with row counts."""
     spec = schemas.TABLES[table]
@@ -273,9 +305,15 @@ def broken_rules(warehouse: Warehouse, table: str) -> DataFrame:
 def run(
     warehouse: Warehouse, run_time: datetime, steps: tuple[str, ...] = STEPS,
     envelopes: DataFrame | None = None, codebook: DataFrame | None = None,
-    first: date | None = None, last: date | None = None,
+    first: date | None = None, last: date | None = None, day: str | None = None,
+    raw: dict[str, str] | None = None, countries: DataFrame | None = None,
 ) -> dict:
-    """Any of the steps, in order. Transform reads landed documents not handled yet.
+    """Any of the steps, in order. Transform reads documents not handled yet.
+
+    They come from the landed table, or with ``raw`` (folder by source) from the
+    files below folders. ``day`` limits a run to one day of landed documents, an
+    invalid one to the default day. ``countries`` are candidates that are stored
+    before anything else.
 
     Documents are recorded after the load, if there is one: a run that broke off
     before reads them again, and finds what it had loaded unchanged.
@@ -284,6 +322,10 @@ def run(
     if unknown:
         raise ValueError(f"unknown steps: {sorted(unknown)}")
     done = {}
+    if day is not None:
+        first = last = start_date(warehouse.spark, day)
+    if countries is not None:
+        done["refused_countries"] = add_countries(warehouse, countries)
     if "extract" in steps:
         done["extract"] = land(warehouse, envelopes, run_time)
     if "transform" in steps:
@@ -291,10 +333,12 @@ def run(
         if first is not None and last is not None:
             # Badly named documents have no day, and were handled all the same.
             ledger = ledger.where(F.col("batch_date").between(first, last) | F.col("batch_date").isNull())
-        new = {
-            source: documents.unseen(documents.landed_docs(warehouse, source, first, last), ledger)
+        given = {
+            source: documents.scan_raw_docs(warehouse.spark, raw[source], source) if raw
+            else documents.landed_docs(warehouse, source, first, last)
             for source in documents.SOURCES
         }
+        new = {source: documents.unseen(docs, ledger) for source, docs in given.items()}
         done["transform"] = transform(warehouse, new["w"], new["c"], codebook)
     if "load" in steps:
         done["load"] = load(warehouse, run_time)
