@@ -42,75 +42,61 @@ class TableSpec:
         return self.schema.fieldNames()
 
 
-_TYPES = {
-    t.simpleString(): t
-    for t in (
-        T.LongType(), T.IntegerType(), T.StringType(), T.DateType(), T.TimestampNTZType(), T.BooleanType(),
-        T.DecimalType(9, 6), T.DecimalType(7, 2), T.DecimalType(6, 2), T.DecimalType(5, 2),
-    )
-}
-
-
-def _schema(text: str) -> T.StructType:
-    """``name type`` per line; a trailing ``!`` marks NOT NULL. Needs no session."""
-    fields = []
-    for line in text.strip().splitlines():
-        name, kind = line.split()
-        fields.append(T.StructField(name, _TYPES[kind.rstrip("!")], not kind.endswith("!")))
-    return T.StructType(fields)
+LONG, INT, TEXT = T.LongType(), T.IntegerType(), T.StringType()
+DAY, TIME, FLAG = T.DateType(), T.TimestampNTZType(), T.BooleanType()
 
 
 COUNTRY = TableSpec(
     "country",
-    _schema("""
-        id bigint!
-        code string!
-        name string!
-        latitude decimal(9,6)!
-        longitude decimal(9,6)!
-    """),
+    T.StructType([
+        T.StructField("id", LONG, False),
+        T.StructField("code", TEXT, False),
+        T.StructField("name", TEXT, False),
+        T.StructField("latitude", T.DecimalType(9, 6), False),
+        T.StructField("longitude", T.DecimalType(9, 6), False),
+    ]),
     primary_key=("id",),
     max_length={"code": 10, "name": 100},
 )
 
 API_INFO = TableSpec(
     "api_info",
-    _schema("""
-        id bigint!
-        api_name string!
-        api_base_url string!
-    """),
+    T.StructType([
+        T.StructField("id", LONG, False),
+        T.StructField("api_name", TEXT, False),
+        T.StructField("api_base_url", TEXT, False),
+    ]),
     primary_key=("id",),
     max_length={"api_name": 100, "api_base_url": 255},
 )
 
 API_IMPORT_LOG = TableSpec(
     "api_import_log",
-    _schema("""
-        id bigint!
-        country_id bigint!
-        api_id bigint!
-        start_time timestamp_ntz!
-        end_time timestamp_ntz
-        code_response int
-        error_message string
-    """),
+    T.StructType([
+        T.StructField("id", LONG, False),
+        T.StructField("country_id", LONG, False),
+        T.StructField("api_id", LONG, False),
+        T.StructField("start_time", TIME, False),
+        T.StructField("end_time", TIME, True),
+        T.StructField("code_response", INT, True),
+        T.StructField("error_message", TEXT, True),
+    ]),
     primary_key=("id",),
     foreign_keys=(ForeignKey("country_id", "country", "id"), ForeignKey("api_id", "api_info", "id")),
 )
 
 IMPORT_LOG = TableSpec(
     "import_log",
-    _schema("""
-        id bigint!
-        batch_date date!
-        country_id bigint!
-        import_directory_name string
-        import_file_name string
-        file_created_date date
-        file_last_modified_date date
-        row_count int
-    """),
+    T.StructType([
+        T.StructField("id", LONG, False),
+        T.StructField("batch_date", DAY, False),
+        T.StructField("country_id", LONG, False),
+        T.StructField("import_directory_name", TEXT, True),
+        T.StructField("import_file_name", TEXT, True),
+        T.StructField("file_created_date", DAY, True),
+        T.StructField("file_last_modified_date", DAY, True),
+        T.StructField("row_count", INT, True),
+    ]),
     primary_key=("id",),
     max_length={"import_directory_name": 100, "import_file_name": 100},
     foreign_keys=(ForeignKey("country_id", "country", "id"),),
@@ -118,32 +104,32 @@ IMPORT_LOG = TableSpec(
 
 TRANSFORM_LOG = TableSpec(
     "transform_log",
-    _schema("""
-        id bigint!
-        batch_date date
-        country_id bigint
-        processed_directory_name string
-        processed_file_name string
-        row_count int
-        status string!
-    """),
+    T.StructType([
+        T.StructField("id", LONG, False),
+        T.StructField("batch_date", DAY, True),
+        T.StructField("country_id", LONG, True),
+        T.StructField("processed_directory_name", TEXT, True),
+        T.StructField("processed_file_name", TEXT, True),
+        T.StructField("row_count", INT, True),
+        T.StructField("status", TEXT, False),
+    ]),
     primary_key=("id",),
     max_length={"processed_directory_name": 100, "processed_file_name": 100, "status": 50},
 )
 
 WEATHER_STAGING = TableSpec(
     "weather_data_import",
-    _schema("""
-        country_id bigint!
-        date date!
-        weather_code string!
-        weather_description string!
-        mean_temperature decimal(5,2)!
-        mean_surface_pressure decimal(6,2)!
-        precipitation_sum decimal(5,2)!
-        relative_humidity decimal(5,2)!
-        wind_speed decimal(5,2)!
-    """),
+    T.StructType([
+        T.StructField("country_id", LONG, False),
+        T.StructField("date", DAY, False),
+        T.StructField("weather_code", TEXT, False),
+        T.StructField("weather_description", TEXT, False),
+        T.StructField("mean_temperature", T.DecimalType(5, 2), False),
+        T.StructField("mean_surface_pressure", T.DecimalType(6, 2), False),
+        T.StructField("precipitation_sum", T.DecimalType(5, 2), False),
+        T.StructField("relative_humidity", T.DecimalType(5, 2), False),
+        T.StructField("wind_speed", T.DecimalType(5, 2), False),
+    ]),
     primary_key=("country_id", "date"),
     max_length={"weather_code": 10, "weather_description": 255},
     foreign_keys=(ForeignKey("country_id", "country", "id"),),
@@ -151,74 +137,74 @@ WEATHER_STAGING = TableSpec(
 
 COVID_STAGING = TableSpec(
     "covid_data_import",
-    _schema("""
-        country_id bigint!
-        date date!
-        confirmed_cases int!
-        deaths int!
-        recovered int!
-    """),
+    T.StructType([
+        T.StructField("country_id", LONG, False),
+        T.StructField("date", DAY, False),
+        T.StructField("confirmed_cases", INT, False),
+        T.StructField("deaths", INT, False),
+        T.StructField("recovered", INT, False),
+    ]),
     primary_key=("country_id", "date"),
     foreign_keys=(ForeignKey("country_id", "country", "id"),),
 )
 
 DIM_COUNTRY = TableSpec(
     "dim_country",
-    _schema("""
-        country_id bigint!
-        country_code string!
-        country_name string!
-        latitude decimal(9,6)!
-        longitude decimal(9,6)!
-        hash_value string!
-    """),
+    T.StructType([
+        T.StructField("country_id", LONG, False),
+        T.StructField("country_code", TEXT, False),
+        T.StructField("country_name", TEXT, False),
+        T.StructField("latitude", T.DecimalType(9, 6), False),
+        T.StructField("longitude", T.DecimalType(9, 6), False),
+        T.StructField("hash_value", TEXT, False),
+    ]),
     primary_key=("country_id",),
     max_length={"country_code": 10, "country_name": 100, "hash_value": 64},
 )
 
 DIM_DATE = TableSpec(
     "dim_date",
-    _schema("""
-        date_id bigint!
-        date date!
-        year int!
-        month int!
-        day int!
-        day_of_week string!
-        is_weekend boolean!
-        hash_value string!
-    """),
+    T.StructType([
+        T.StructField("date_id", LONG, False),
+        T.StructField("date", DAY, False),
+        T.StructField("year", INT, False),
+        T.StructField("month", INT, False),
+        T.StructField("day", INT, False),
+        T.StructField("day_of_week", TEXT, False),
+        T.StructField("is_weekend", FLAG, False),
+        T.StructField("hash_value", TEXT, False),
+    ]),
     primary_key=("date_id",),
     max_length={"hash_value": 64},
 )
 
 DIM_WEATHER_CODE = TableSpec(
     "dim_weather_code",
-    _schema("""
-        weather_code string!
-        description string!
-        hash_value string!
-    """),
+    T.StructType([
+        T.StructField("weather_code", TEXT, False),
+        T.StructField("description", TEXT, False),
+        T.StructField("hash_value", TEXT, False),
+    ]),
     primary_key=("weather_code",),
     max_length={"weather_code": 10, "hash_value": 64},
 )
 
 FACT_WEATHER = TableSpec(
     "fact_weather_data",
-    _schema("""
-        id bigint!
-        country_id bigint!
-        date_id bigint!
-        weather_code string
-        mean_temperature decimal(5,2)
-        mean_surface_pressure decimal(7,2)
-        precipitation_sum decimal(5,2)
-        relative_humidity decimal(5,2)
-        wind_speed decimal(5,2)
-        createdAt timestamp_ntz
-        updatedAt timestamp_ntz
-        hash_value string!
-    """),
+    T.StructType([
+        T.StructField("id", LONG, False),
+        T.StructField("country_id", LONG, False),
+        T.StructField("date_id", LONG, False),
+        T.StructField("weather_code", TEXT, True),
+        T.StructField("mean_temperature", T.DecimalType(5, 2), True),
+        T.StructField("mean_surface_pressure", T.DecimalType(7, 2), True),
+        T.StructField("precipitation_sum", T.DecimalType(5, 2), True),
+        T.StructField("relative_humidity", T.DecimalType(5, 2), True),
+        T.StructField("wind_speed", T.DecimalType(5, 2), True),
+        T.StructField("createdAt", TIME, True),
+        T.StructField("updatedAt", TIME, True),
+        T.StructField("hash_value", TEXT, False),
+    ]),
     primary_key=("country_id", "date_id"),
     max_length={"weather_code": 10, "hash_value": 64},
     foreign_keys=(
@@ -231,17 +217,17 @@ FACT_WEATHER = TableSpec(
 
 FACT_COVID = TableSpec(
     "fact_covid_data",
-    _schema("""
-        id bigint!
-        country_id bigint!
-        date_id bigint!
-        confirmed_cases int
-        deaths int
-        recovered int
-        createdAt timestamp_ntz
-        updatedAt timestamp_ntz
-        hash_value string!
-    """),
+    T.StructType([
+        T.StructField("id", LONG, False),
+        T.StructField("country_id", LONG, False),
+        T.StructField("date_id", LONG, False),
+        T.StructField("confirmed_cases", INT, True),
+        T.StructField("deaths", INT, True),
+        T.StructField("recovered", INT, True),
+        T.StructField("createdAt", TIME, True),
+        T.StructField("updatedAt", TIME, True),
+        T.StructField("hash_value", TEXT, False),
+    ]),
     primary_key=("country_id", "date_id"),
     max_length={"hash_value": 64},
     foreign_keys=(
@@ -254,30 +240,30 @@ FACT_COVID = TableSpec(
 # One row per landed document, many documents per file.
 LANDED = TableSpec(
     "landed_documents",
-    _schema("""
-        source string!
-        batch_date date!
-        file_name string!
-        file_path string!
-        modified timestamp_ntz!
-        value string
-        hash_value string!
-    """),
+    T.StructType([
+        T.StructField("source", TEXT, False),
+        T.StructField("batch_date", DAY, False),
+        T.StructField("file_name", TEXT, False),
+        T.StructField("file_path", TEXT, False),
+        T.StructField("modified", TIME, False),
+        T.StructField("value", TEXT, True),
+        T.StructField("hash_value", TEXT, False),
+    ]),
     primary_key=("file_path",),
     partition_by="month_id",
 )
 
 # A raw response as a downloader leaves it; http_status is null when the
 # transport failed and no response came.
-ENVELOPE = _schema("""
-    source string!
-    country_id bigint!
-    batch_date date!
-    start_time timestamp_ntz!
-    end_time timestamp_ntz
-    http_status int
-    body string
-""")
+ENVELOPE = T.StructType([
+    T.StructField("source", TEXT, False),
+    T.StructField("country_id", LONG, False),
+    T.StructField("batch_date", DAY, False),
+    T.StructField("start_time", TIME, False),
+    T.StructField("end_time", TIME, True),
+    T.StructField("http_status", INT, True),
+    T.StructField("body", TEXT, True),
+])
 
 TABLES = {
     t.name: t
