@@ -29,6 +29,7 @@ from dayfold.llm.common import stored
 
 WEIGHTS = (1, 2, 3)
 MOST = 3
+SEED = 11
 BINS = 1 << 14
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -64,14 +65,15 @@ def targets(rows: DataFrame, weights=WEIGHTS, most: int = MOST) -> DataFrame:
     )
 
 
-def mixed(docs: DataFrame, weights=WEIGHTS, most: int = MOST, seed: int = 11) -> DataFrame:
+def mixed(docs: DataFrame, weights=WEIGHTS, most: int = MOST, seed: int = SEED) -> DataFrame:
     """(doc_id, source, size, source_size, target, p, taken) for every row of ``docs``."""
     rows = stored(sized(docs), "sizes")
     goal = targets(rows, weights, most)
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     goal = goal.withColumnRenamed("source", "of_source").withColumn("copies", F.floor(ratio)).withColumn("p", ratio - F.floor(ratio)).withColumn(
         "rest", F.round(F.col("target") - F.col("copies") * F.col("source_size")).cast("long"))
-    u = ((F.xxhash64(F.lit(seed), "doc_id").bitwiseAND((1 << 52) - 1)) + 0.5) / float(1 << 52)
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+    u = (F.conv(F.substring(digest, 1, 13), 16, 10).cast("long") + 0.5) / float(1 << 52)
     ranked = rows.join(goal, F.col("source").eqNullSafe(F.col("of_source"))).select(
         "doc_id", "source", "size", "source_size", "target", "copies", "p", "rest", u.alias("u")
     ).withColumn("rank", F.when(F.col("p") > 0, (F.col("u") / (1 - F.col("u"))) / (F.col("p") / (1 - F.col("p")))))

@@ -32,7 +32,7 @@ def op1(spark, sf_dir):
     return run_index.run_index_dedup(documents(spark, sf_dir))
 
 
-@query("op2_pareto_mixing")
+@query("op2_pareto_mixing", sql.pareto_mixing(mixing.WEIGHTS, mixing.MOST, mixing.SEED))
 def op2(spark, sf_dir):
     return mixing.mixture(documents(spark, sf_dir))
 
@@ -47,7 +47,7 @@ def op4(spark, sf_dir):
     return ngram_join.ngram_jaccard_join(documents(spark, sf_dir))
 
 
-@query("op5_license_scan")
+@query("op5_license_scan", sql.license_scan(licenses.BASE, licenses.MORE, licenses.GAP, licenses.LEAST))
 def op5(spark, sf_dir):
     return licenses.licenses(documents(spark, sf_dir))
 
@@ -63,7 +63,8 @@ def op7(spark, sf_dir):
     return decontamination.decontamination(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
 
 
-@query("op8_url_templates")
+@query("op8_url_templates", sql.url_templates(
+    url_filter.RULES, url_filter.DEPTH, url_filter.FAN, url_filter.SHARE, url_filter.PRIOR, url_filter.BLOCK))
 def op8(spark, sf_dir):
     return url_filter.url_filter(table(spark, sf_dir, "pages"))
 

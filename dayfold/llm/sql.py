@@ -61,3 +61,157 @@ SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles,
        least(d.doc_id, coalesce((SELECT min(y) FROM reach WHERE reach.x = d.doc_id), d.doc_id)) AS component_id
 FROM documents d LEFT JOIN sizes ON sizes.doc_id = d.doc_id
 """
+
+
+def license_scan(base, more, gap: int, least: float) -> str:
+    """Pairs of words joined to template places, votes per diagonal as bits, neighbouring diagonals merged."""
+    rows = []
+    for number, (phrase, label, is_base) in enumerate([(p, x, "true") for p, x in base] + [(p, x, "false") for p, x in more]):
+        words = phrase.split(" ")
+        rows += [
+            f"({number}, '{label}', {is_base}, {len(words) - 1}, {i}, '{words[i]} {words[i + 1]}')" for i in range(len(words) - 1)
+        ]
+    return f"""
+WITH templates(template, label, is_base, pairs, spot, gram) AS (VALUES {", ".join(rows)}
+), worded AS (
+  SELECT doc_id, md5(coalesce(text, '')) AS k,
+         regexp_extract_all(translate(coalesce(text, ''), {LETTERS}), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+  FROM documents
+), grams AS (
+  SELECT DISTINCT doc_id, k, i - 1 AS place, w[i] || ' ' || w[i + 1] AS gram
+  FROM (SELECT doc_id, k, w, unnest(range(1, greatest(len(w), 1))) AS i FROM worded)
+), voted AS (
+  SELECT doc_id, k, template, label, is_base, pairs, place - spot AS diagonal, bit_or(1::BIGINT << spot) AS mask
+  FROM grams JOIN templates USING (gram) GROUP BY ALL
+), places AS (
+  SELECT doc_id, k, count(*) AS n_base, min(diagonal) AS first_word, max(diagonal) AS last_word,
+         array_to_string(list_sort(list(DISTINCT label)), ',') AS base_labels
+  FROM voted WHERE is_base AND bit_count(mask) = pairs GROUP BY doc_id, k
+), opened AS (
+  SELECT *, coalesce(diagonal - lag(diagonal) OVER (PARTITION BY doc_id, k, template ORDER BY diagonal) > {gap}, true) AS opens
+  FROM voted
+), numbered AS (
+  SELECT *, sum(opens::INT) OVER (PARTITION BY doc_id, k, template ORDER BY diagonal) AS span FROM opened
+), merged AS (
+  SELECT doc_id, k, label, bit_count(bit_or(mask)) / pairs AS similarity
+  FROM numbered GROUP BY doc_id, k, template, label, pairs, span
+), found AS (
+  SELECT doc_id, k, array_to_string(list_sort(list(DISTINCT label)), ',') AS labels, max(similarity) AS score
+  FROM merged WHERE similarity >= {least} GROUP BY doc_id, k
+)
+SELECT w.doc_id, CAST(len(w.w) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base,
+       CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, CAST(coalesce(score, 0) AS DOUBLE) AS score
+FROM worded w LEFT JOIN places p ON p.doc_id = w.doc_id AND p.k = w.k LEFT JOIN found f ON f.doc_id = w.doc_id AND f.k = w.k
+"""
+
+
+def url_templates(rules, depth: int, fan: int, share: float, prior: float, block: float) -> str:
+    """Rules by length, then templates level by level, smoothed purities and merged branches."""
+    cases = " ".join(
+        f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}') THEN {{rule: '{h + p}', verdict: '{v}'}}"
+        for h, p, v in sorted(rules, key=lambda r: -len(r[0] + r[1]))
+    )
+    names = [f"s{i}" for i in range(depth)]
+    # The last segment holds the rest of the path.
+    cut = ", ".join(
+        f"CASE WHEN plain = '' THEN NULL WHEN len(c) > {depth} AND {i} = {depth - 1} THEN array_to_string(c[{depth}:], '/') ELSE c[{i + 1}] END AS s{i}"
+        for i in range(depth)
+    )
+    levels, tree = "", "nodes"
+    for i, s in enumerate(names):
+        levels += f""", kinds{i} AS (
+  SELECT host, t, {s}, sum(n) AS k FROM {tree} WHERE {s} IS NOT NULL GROUP BY ALL
+), rare{i} AS (
+  SELECT host, t, {s} FROM kinds{i} JOIN (SELECT host, t, count(*) AS fan, sum(k) AS everything FROM kinds{i} GROUP BY ALL) p USING (host, t)
+  WHERE fan > {fan} AND k < {share} * everything
+), tree{i} AS (
+  SELECT x.* EXCLUDE (t), CASE WHEN x.{s} IS NULL THEN x.t ELSE x.t || '/' || if(r.{s} IS NULL, x.{s}, '*') END AS t
+  FROM {tree} x LEFT JOIN rare{i} r ON r.host = x.host AND r.t = x.t AND r.{s} = x.{s}
+)"""
+        tree = f"tree{i}"
+
+    def purity(base):
+        return f"((blocked + {prior} * {base}) / (labelled + {prior}))"
+
+    same = " AND ".join(f"r.{s} IS NOT DISTINCT FROM j.{s}" for s in names)
+    return f"""
+WITH rests AS (
+  SELECT page_id, coalesce(CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) END, '') AS rest FROM pages
+), hosts AS (
+  SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), {LETTERS}) AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM rests
+), fitted AS (
+  SELECT *, CASE {cases} END AS fit, regexp_replace(regexp_replace(path, '[0-9]+', '#', 'g'), '^/+|/+$', '', 'g') AS plain FROM hosts
+), splits AS (
+  SELECT *, string_split_regex(plain, '/+') AS c FROM fitted
+), urls AS (
+  SELECT page_id, host, path, fit.rule AS rule, fit.verdict AS verdict, {cut} FROM splits
+), nodes AS (
+  SELECT host, {", ".join(names)}, count(*) AS n, count(rule) AS labelled, count(*) FILTER (WHERE verdict = 'block') AS blocked, '' AS t
+  FROM urls GROUP BY host, {", ".join(names)}
+){levels}, single AS (
+  SELECT host, t, sum(labelled) AS labelled, sum(blocked) AS blocked,
+         CASE WHEN len(string_split(host, '.')) > 2 THEN array_to_string(string_split(host, '.')[-2:], '.') ELSE host END AS domain
+  FROM {tree} GROUP BY host, t
+), by_host AS (
+  SELECT host, domain, sum(labelled) AS labelled, sum(blocked) AS blocked FROM single GROUP BY ALL
+), by_domain AS (
+  SELECT domain, sum(labelled) AS labelled, sum(blocked) AS blocked FROM by_host GROUP BY ALL
+), base AS (
+  SELECT {purity("0.5")} AS base FROM (SELECT sum(labelled) AS labelled, sum(blocked) AS blocked FROM by_domain)
+), domain_purities AS (
+  SELECT domain, {purity("base")} AS domain_purity FROM by_domain, base
+), host_purities AS (
+  SELECT host, {purity("domain_purity")} AS host_purity FROM by_host JOIN domain_purities USING (domain)
+), scored AS (
+  SELECT *, regexp_extract(t, '^(.*)/[^/]*$', 1) || '/~' || regexp_extract(t, '(\\.[a-z]+)?$', 1) || ' '
+            || CAST(CAST(floor({purity("host_purity")} * 10) AS BIGINT) AS VARCHAR) AS merged
+  FROM single JOIN host_purities USING (host)
+), merged AS (
+  SELECT host, merged, {purity("host_purity")} AS score
+  FROM (SELECT host, merged, any_value(host_purity) AS host_purity, sum(labelled) AS labelled, sum(blocked) AS blocked
+        FROM scored GROUP BY host, merged)
+), judged AS (
+  SELECT x.host, {", ".join("x." + s for s in names)}, scored.merged, merged.score
+  FROM {tree} x JOIN scored ON scored.host = x.host AND scored.t = x.t JOIN merged ON merged.host = x.host AND merged.merged = scored.merged
+)
+SELECT r.page_id, r.host, r.path, r.rule, coalesce(r.verdict, if(score >= {block}, 'block', 'allow')) AS verdict,
+       j.merged AS template, CAST(score AS DOUBLE) AS score
+FROM urls r LEFT JOIN judged j ON r.host = j.host AND {same}
+"""
+
+
+def pareto_mixing(weights, most: int, seed: int) -> str:
+    """Water level over sources in the order of cap by weight, and running words in the order of Pareto ranks."""
+    weight = "[" + ", ".join(f"{float(w)}" for w in weights) + "]"
+    return f"""
+WITH sized AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size FROM documents
+), sources AS (
+  SELECT source, sum(size) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS turn FROM sized GROUP BY source
+), capped AS (
+  SELECT *, {weight}[turn % {len(weights)} + 1] AS weight, source_size * {float(most)}::DOUBLE AS cap FROM sources
+), levels AS (
+  SELECT *, (sum(source_size) OVER () - coalesce(sum(cap) OVER turns, 0)) / (sum(weight) OVER () - coalesce(sum(weight) OVER turns, 0)) AS level
+  FROM capped WINDOW turns AS (ORDER BY cap / weight, turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), final AS (
+  SELECT arg_min(level, (cap / weight, turn)) AS level FROM levels WHERE cap / weight >= level
+), goals AS (
+  SELECT source, source_size, least(cap, coalesce(weight * final.level, cap)) AS target,
+         CASE WHEN source_size > 0 THEN least(cap, coalesce(weight * final.level, cap)) / source_size ELSE 0 END AS ratio
+  FROM levels, final
+), ranked AS (
+  SELECT s.doc_id, s.source, size, source_size, target, floor(ratio) AS copies, ratio - floor(ratio) AS p,
+         CAST(round(target - floor(ratio) * source_size) AS BIGINT) AS rest,
+         (CAST('0x' || substr(md5('{seed}:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 13) AS BIGINT) + 0.5) / {float(1 << 52)}::DOUBLE AS u
+  FROM sized s JOIN goals g ON s.source IS NOT DISTINCT FROM g.source
+), placed AS (
+  SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY (u / (1 - u)) / (p / (1 - p)), doc_id, size
+                                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM ranked
+)
+SELECT doc_id, size, CAST(source_size AS BIGINT) AS source_size, target,
+       CAST(copies * size + CASE WHEN p > 0 THEN greatest(0, least(size, rest - before)) ELSE 0 END AS BIGINT) AS taken
+FROM placed
+"""

@@ -7,7 +7,8 @@ from llm_tables import words
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from dayfold.llm.queries import QUERIES
+from dayfold.llm.queries import QUERIES, SQL
+from testbed.compare import connect, differences
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -56,3 +57,9 @@ def test_stages_on_empty_documents(spark, folder):
         docs = stage(spark, docs, folder)
         assert docs.collect() == []
         assert name == "mixing" or docs.columns == corpus_pipeline.COLUMNS
+
+
+@pytest.mark.parametrize("name", sorted(n for n in QUERIES if n in SQL))
+def test_queries_equal_their_sql(spark, name):
+    at = "/root/testdata/sf0.001"
+    assert differences(spark, connect(at), QUERIES[name], at, SQL[name]) is None
