@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dayfold.session import SETTINGS
 from testbed.oracle_views import with_views
 from testbed.views import Views
 
@@ -24,6 +25,9 @@ class Query:
     sql: str | None
 
     def __call__(self, spark: SparkSession, sf_dir: str) -> DataFrame:
+        # A session that the package did not build gets the settings it relies on.
+        for key, value in SETTINGS.items():
+            spark.conf.set(key, value)
         rows = self.plan(Views(spark, sf_dir))
         return rows.select(*[F.col(c).cast(TYPES[t][0]).alias(c) for c, t in self.columns.items()])
 
