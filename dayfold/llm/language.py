@@ -23,8 +23,6 @@ and a null doc_id is kept (held_out null).
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -39,10 +37,13 @@ BUCKETS = 1 << 16
 BLOCK = 64
 RUN = 12  # words of one document before a training sequence goes on with another
 ROUNDS = 80
-_LETTER = re.compile(r"[^\W\d_]")
 UNKNOWN = "und"
 
 
+def has_letter(text: str | None) -> bool:
+    return text is not None and any(map(str.isalpha, text))
+
+
 def lowered(texts) -> list[str]:
     return ["" if t is None else t.lower() for t in texts]
 
@@ -263,7 +264,7 @@ def train(docs: DataFrame, eligible) -> Field | None:
     rows = training_rows(docs, eligible).mapInPandas(read, "doc_id long, piece string, lang string").toPandas()
     if not len(rows):
         return None
-    rows = rows[rows["piece"].map(lambda x: bool(_LETTER.search(x)))].sort_values(["doc_id", "lang", "piece"])
+    rows = rows[rows["piece"].map(has_letter)].sort_values(["doc_id", "lang", "piece"])
     if not len(rows):
         return None
     languages = sorted(rows["lang"].unique())
@@ -281,7 +282,7 @@ def predicted(docs: DataFrame, field: Field | None) -> DataFrame:
             for a, b in slices(texts):
                 part = texts[a:b]
                 names, score = np.full(b - a, UNKNOWN, object), np.zeros(b - a)
-                known = np.array([t is not None and _LETTER.search(t) is not None for t in part], bool)
+                known = np.array([has_letter(t) for t in part], bool)
                 if field is not None and known.any():
                     chain = Chain(part)
                     share = field.marginals(field.potentials(chain), chain.first) * chain.lettered[:, None]

@@ -232,7 +232,7 @@ def test_language_of_code_switched_and_odd_texts(spark):
     rng = random.Random(12)
     tongue = {"de": "schtu", "fr": "éaelu", "en": "wythio"}
     rows = [(i, words(rng, 40, tongue[x], 7), x, "s") for i in range(240) for x in [rng.choice(list(tongue))]]
-    odd = [(1000, None, "en", "s"), (1001, "", "en", "s"), (1002, "12 34 ...", "en", "s"), (1003, words(rng, 9000, tongue["fr"]), None, None),
+    odd = [(1000, None, "en", "s"), (1001, "", "en", "s"), (1002, "12 34 \u00b2 \u00bd ...", "en", "s"), (1003, words(rng, 9000, tongue["fr"]), None, None),
            (1004, words(rng, 30, tongue["de"]) + " " + words(rng, 90, tongue["fr"]), "fr", "s"), (None, "schtu", None, None)]
     got = {r["doc_id"]: r for r in language.language(frame(spark, rows + odd)).collect()}
     held = [(i, x) for i, _, x, _ in rows if got[i]["held_out"]]
