@@ -44,8 +44,8 @@ SIDE = (LENGTH - ANCHOR) // 2
 DEPTH = 64
 CHUNK = 448  # places streamed in one go; DEPTH more bytes to warm up
 HOT = 200
-CHARS_PER_BUCKET = 20_000_000
-BYTES_PER_BUCKET = 3_000_000
+CHARS_PER_BUCKET = 8_000_000
+BYTES_PER_BUCKET = 1_000_000
 END = 0xFF  # no byte of UTF-8
 
 
@@ -185,11 +185,13 @@ class RunIndex:
         for j in range(8):
             word[:n + DEPTH - 8] = (word[:n + DEPTH - 8] << np.uint64(8)) | self.text[j:n + DEPTH - 8 + j]
         rank = _ranks(word)
+        del word
         for step in (8, 16):
             rank = _ranks(_paired(rank, step))
         same = _ranks(_paired(rank, LENGTH - 32))  # 32 bytes and the 32 that end at LENGTH
         rank = _ranks(_paired(rank, 32))
-        rows = np.argsort(rank[:n], kind="stable")
+        rows = np.argsort(rank[:n], kind="stable").astype(np.int32)
+        del rank
         before = self.text[rows - 1]
         before[rows == 0] = END
         self.start = np.flatnonzero(np.r_[True, before[1:] != before[:-1]])
@@ -262,19 +264,22 @@ class RunIndex:
 def _ranks(keys: np.ndarray) -> np.ndarray:
     """Dense ranks in the order of the keys."""
     order = np.argsort(keys)
-    new = np.ones(len(keys), np.int64)
-    new[:1] = 0
-    new[1:] = keys[order[1:]] != keys[order[:-1]]
-    out = np.empty(len(keys), np.int64)
-    out[order] = np.cumsum(new)
+    sorted_keys = keys[order]
+    new = np.zeros(len(keys), bool)
+    new[1:] = sorted_keys[1:] != sorted_keys[:-1]
+    del sorted_keys
+    out = np.empty(len(keys), np.int32)
+    out[order] = np.cumsum(new, dtype=np.int32)
     return out
 
 
 def _paired(rank: np.ndarray, step: int) -> np.ndarray:
     """Key of the rank here and the rank ``step`` places on (beyond the end: the last one)."""
-    on = np.full(len(rank), rank[-1])
-    on[:-step] = rank[step:]
-    return (rank.astype(np.uint64) << np.uint64(32)) | on.astype(np.uint64)
+    key = rank.astype(np.uint64)
+    key <<= np.uint64(32)
+    key[:-step] |= rank[step:].astype(np.uint64)
+    key[-step:] |= np.uint64(rank[-1])
+    return key
 
 
 def marks(bucketed: DataFrame) -> DataFrame:
