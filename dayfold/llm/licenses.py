@@ -72,8 +72,8 @@ def votes(docs: DataFrame, base=BASE, more=MORE) -> DataFrame:
     )
     grams = worded(docs).select("doc_id", "text_key", F.posexplode(pairs).alias("place", "text_gram")).withColumn(
         "text_hash", F.xxhash64("text_gram"))
-    # The templates are constants of a few dozen rows: Spark knows their size and sends them to every task.
-    known = templates(docs.sparkSession, base, more)
+    # The templates are constants of a few dozen rows, which every task gets.
+    known = F.broadcast(templates(docs.sparkSession, base, more))
     hits = grams.join(known, (F.col("text_hash") == F.col("hash")) & (F.col("text_gram") == F.col("gram")))
     return hits.groupBy(
         "doc_id", "text_key", "template", "label", "is_base", "pairs", (F.col("place") - F.col("at")).alias("diagonal")
