@@ -207,5 +207,8 @@ def ledger_rows(judged: DataFrame) -> DataFrame:
 
 
 def routed(judged: DataFrame) -> DataFrame:
-    """Documents with the area they go to, to be written partitioned by it."""
-    return judged.select("status", "source", "file_name", "file_path", "modified", "reason", "value")
+    """Documents with the area they go to, to be written partitioned by it.
+
+    An area lists documents; their texts stay where they were landed.
+    """
+    return judged.select("status", "source", "file_name", "file_path", "modified", "reason")

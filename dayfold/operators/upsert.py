@@ -7,6 +7,7 @@ not matched: insert; rows without a source row stay.
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -92,10 +93,15 @@ def apply_changes(
     even that without any.
     """
     kept = target if updates is None else _with_updates(target, updates, keys, stamp)
+    return kept.unionByName(new_rows(target.columns, inserts, stamp))
+
+
+def new_rows(columns: list[str], inserts: DataFrame, stamp: Column | None) -> DataFrame:
+    """Rows to be inserted, in the columns of their table."""
     for name in (CREATED, UPDATED):
-        if name in target.columns:
+        if name in columns:
             inserts = inserts.withColumn(name, stamp if stamp is not None else F.lit(None).cast("timestamp_ntz"))
-    return kept.unionByName(inserts.select(*target.columns))
+    return inserts.select(*columns)
 
 
 def _with_updates(target: DataFrame, updates: DataFrame, keys: tuple[str, ...], stamp: Column | None) -> DataFrame:
@@ -111,7 +117,7 @@ def _with_updates(target: DataFrame, updates: DataFrame, keys: tuple[str, ...],
 
 def upsert(
     warehouse: Warehouse, table: str, source: DataFrame, stamp: Column | None = None,
-    order: tuple[str, ...] | None = None,
+    order: tuple[str, ...] | None = None, verify: Callable[[DataFrame], None] | None = None,
 ) -> Counter:
     """Merges a source into a table of the warehouse; returns rows per action.
 
@@ -119,7 +125,8 @@ def upsert(
     without a change nothing is written. Several source rows of a key are
     reduced to the last one by ``order`` (without one, by their hash), and the
     others counted as dropped. Rows without a part of their key cannot be
-    matched again, so they are refused and counted.
+    matched again, so they are refused and counted. ``verify`` sees the rows,
+    one per key, before anything is written, and may raise.
     """
     spec = schemas.TABLES[table]
     keyed = reduce(Column.__and__, [F.col(k).isNotNull() for k in spec.primary_key])
@@ -127,6 +134,8 @@ def upsert(
     with warehouse.scratch(table) as scratch:
         # Staged first: its plan runs once, and its size is then known to the optimizer.
         staged = scratch.stage(source, "source")
+        if verify is not None:
+            verify(staged.where(keyed).drop("dropped"))
         write = _upsert_partitions if spec.partition_by else _upsert_whole
         counts = write(warehouse, spec, staged.where(keyed), stamp, scratch)
         left_out = staged.agg(
@@ -156,10 +165,11 @@ def _upsert_whole(warehouse: Warehouse, spec, source: DataFrame, stamp, scratch)
 
 
 def _upsert_partitions(warehouse: Warehouse, spec, source: DataFrame, stamp, scratch) -> Counter:
-    """Rewrites the partitions with a change.
+    """Rewrites the partitions with an update, and appends to those with inserts only.
 
     The tags hold keys and actions only, so that wide values are not written a
-    second time.
+    second time. An append that broke off is finished by the next run, which
+    finds what is there unchanged.
     """
     keys, part = list(spec.primary_key), spec.partition_by
     # A month list: bounded by the calendar, so it may pass the driver.
@@ -174,16 +184,18 @@ def _upsert_partitions(warehouse: Warehouse, spec, source: DataFrame, stamp, scr
         counts[row["action"]] += row["n"]
     grown = {row[part] for row in rows if row["action"] == INSERT}
     rewritten = {row[part] for row in rows if row["action"] == UPDATE}
-    touched = sorted(grown | rewritten, key=lambda v: (v is None, v))
-    if touched:
-        current = target.where(in_parts(part, touched))
-        rows = source.where(in_parts(part, touched))
 
-        def changed(action: str) -> DataFrame:
-            return rows.join(tags.where(F.col("action") == action).select(*keys), keys, "left_semi")
+    def changed(action: str, parts: set) -> DataFrame:
+        rows = source.where(in_parts(part, list(parts)))
+        return rows.join(tags.where(F.col("action") == action).select(*keys), keys, "left_semi")
 
+    if rewritten:
+        current = target.where(in_parts(part, list(rewritten)))
         # Staged, so that their size decides whether the target has to be shuffled.
-        updates = scratch.stage(changed(UPDATE), "updates") if counts[UPDATE] else None
-        new = apply_changes(current, updates, changed(INSERT), spec.primary_key, stamp)
+        updates = scratch.stage(changed(UPDATE, rewritten), "updates")
+        new = apply_changes(current, updates, changed(INSERT, rewritten), spec.primary_key, stamp)
         warehouse.overwrite_partitions(spec.name, scratch.stage(new, "result"))
+    if grown - rewritten:
+        added = new_rows(target.columns, changed(INSERT, grown - rewritten), stamp)
+        warehouse.append_partitions(spec.name, added)
     return counts

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections import Counter
 from dataclasses import dataclass
 from datetime import date, datetime
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -158,7 +159,7 @@ def transform_source(
     """
     spec = STAGING[source]
     begun = docs.select("source", "file_path", "file_name", "modified", F.lit(outcomes.ONGOING).alias("status"))
-    warehouse.append(STARTED, begun)
+    warehouse.append(STARTED, begun, "source")
     judged = outcomes.judge_documents(docs, source, warehouse.read("country"), codebook)
     keep = ["source", "file_path", "file_name", "modified", "batch_date", "status", "row_count", "reason", "value"]
     scratch = warehouse.scratch(f"transform-{source}")
@@ -196,7 +197,7 @@ def record(warehouse: Warehouse, transformed: Transformed) -> None:
     judged = transformed.judged
     routed = outcomes.routed(judged)
     routed.write.mode("append").partitionBy("status", "source").parquet(warehouse.path(ROUTED))
-    warehouse.append(DOCUMENT_LEDGER, outcomes.ledger_rows(judged))
+    warehouse.append(DOCUMENT_LEDGER, outcomes.ledger_rows(judged), "source")
     transformed.scratch.close()
 
 
@@ -205,6 +206,12 @@ def routed_documents(warehouse: Warehouse) -> DataFrame:
     return warehouse.spark.read.parquet(warehouse.path(ROUTED)).dropDuplicates(["status", "file_path", "modified"])
 
 
+def routed_texts(warehouse: Warehouse) -> DataFrame:
+    """Documents by area with their landed text (null where it came straight from a raw folder)."""
+    texts = documents.landed_docs(warehouse).select("file_path", "modified", "value")
+    return routed_documents(warehouse).join(texts, ["file_path", "modified"], "left")
+
+
 _LEDGER = (
     "id bigint, batch_date date, country_id bigint, processed_directory_name string, processed_file_name string, "
     "row_count int, status string, reason string, file_path string, modified timestamp_ntz, source string, data_day date"
@@ -271,8 +278,7 @@ def load(warehouse: Warehouse, run_time: datetime) -> dict[str, Counter]:
         "fact_weather_data": star.weather_fact(weather, dim_country, dim_date),
     }
     for table, rows in facts.items():
-        check_rows(warehouse, table, rows)
-        counts[table] = upsert.upsert(warehouse, table, rows, stamp)
+        counts[table] = upsert.upsert(warehouse, table, rows, stamp, verify=partial(check_rows, warehouse, table))
     return counts
 
 
@@ -283,14 +289,14 @@ class BrokenRules(ValueError):
 def check_rows(warehouse: Warehouse, table: str, rows: DataFrame) -> None:
     """Refuses rows that break what their table declares, before they are published.
 
-    Several rows of a key are no breach here: the upsert keeps one and counts the others.
+    ``rows`` hold one row per key, as the upsert has them.
     """
     spec = schemas.TABLES[table]
     parents = {key.parent: warehouse.read(key.parent) for key in spec.foreign_keys}
     for name in (upsert.CREATED, upsert.UPDATED):
         if name in spec.columns and name not in rows.columns:
             rows = rows.withColumn(name, F.lit(None).cast("timestamp_ntz"))
-    found = [r for r in quality.check_table(spec, rows.dropDuplicates(list(spec.primary_key)), parents).collect()]
+    found = [r for r in quality.check_table(spec, rows, parents).collect()]
     if found:
         raise BrokenRules(f"{table}: {'; '.join(str(tuple(r)) for r in found)}")
 
@@ -329,7 +335,7 @@ def run(
     if "extract" in steps:
         done["extract"] = land(warehouse, envelopes, run_time)
     if "transform" in steps:
-        ledger = handled(warehouse)
+        ledger = handled(warehouse)  # partitioned by source, and read for one source at a time
         if first is not None and last is not None:
             # Badly named documents have no day, and were handled all the same.
             ledger = ledger.where(F.col("batch_date").between(first, last) | F.col("batch_date").isNull())
@@ -338,7 +344,7 @@ def run(
             else documents.landed_docs(warehouse, source, first, last)
             for source in documents.SOURCES
         }
-        new = {source: documents.unseen(docs, ledger) for source, docs in given.items()}
+        new = {source: documents.unseen(docs, ledger.where(F.col("source") == source)) for source, docs in given.items()}
         done["transform"] = transform(warehouse, new["w"], new["c"], codebook)
     if "load" in steps:
         done["load"] = load(warehouse, run_time)

@@ -85,8 +85,14 @@ class Warehouse:
         """Replaces all rows; the rows must not be read from the table itself."""
         rows.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(self.path(table))
 
-    def append(self, table: str, rows: DataFrame) -> None:
-        rows.write.mode("append").parquet(self.path(table))
+    def append(self, table: str, rows: DataFrame, partition_by: str | None = None) -> None:
+        writer = rows.write.mode("append")
+        (writer.partitionBy(partition_by) if partition_by else writer).parquet(self.path(table))
+
+    def append_partitions(self, table: str, rows: DataFrame) -> None:
+        """Adds rows to the partitions they belong to; what is there is not read."""
+        column = schemas.TABLES[table].partition_by
+        rows.hint("rebalance", F.col(column)).write.mode("append").partitionBy(column).parquet(self.path(table))
 
     def overwrite_partitions(self, table: str, rows: DataFrame) -> None:
         """Replaces only the partitions that occur in the rows.

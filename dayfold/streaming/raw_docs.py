@@ -10,6 +10,7 @@ from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from dayfold import schemas
@@ -48,7 +49,7 @@ def stream_documents(
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        new = documents.unseen(batch, jobs.handled(warehouse))
+        new = documents.unseen(batch, jobs.handled(warehouse).where(F.col("source") == source))
         done = jobs.transform_source(warehouse, new, source, codebook() if codebook else None)
         jobs.load(warehouse, clock())
         jobs.record(warehouse, done)
