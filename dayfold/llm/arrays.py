@@ -10,7 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 
-SLICE_CHARS = 1_500_000
+SLICE_CHARS = 600_000
 SHINGLE = 5
 
 _WORD_BASE = np.uint64(0x9E3779B97F4A7C15)
