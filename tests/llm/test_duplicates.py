@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 from dayfold.llm import ngram_join, passages, run_index
-from llm_tables import frame, words
+from llm_tables import corpus, frame, words  # noqa: F401
 
 
 def owners(rows):

@@ -6,7 +6,7 @@ import re
 
 import numpy as np
 import pytest
-from llm_tables import frame, words
+from llm_tables import corpus, frame, words  # noqa: F401
 from pyspark.sql import functions as F
 
 from dayfold.llm import decontamination, fingerprint, language, licenses, mixing, toxicity, url_filter
