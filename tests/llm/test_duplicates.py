@@ -174,6 +174,41 @@ def test_a_passage_in_many_texts_stays_in_the_first_only(spark):
     assert got[0] == 0 and all(70 <= got[i] <= 72 for i in range(1, 80))
 
 
+@pytest.mark.parametrize("n", [52, 60, 90])
+def test_a_run_with_a_word_replaced_in_the_middle_is_alike(n):
+    text = words(random.Random(n), n + 40, "abcdefghij", 9).split()
+    changed = [*text[:20 + n // 2], "zz", *text[21 + n // 2:]]
+    values, other = (passages.Tokens([" ".join(x)]).values for x in (changed[20:20 + n], text))
+    assert passages.verified(values, other) == (0, n - 5)
+
+
+def test_runs_are_alike_as_brute_force_says():
+    """The longest run from a common token to a common one over all pairs of ends; tokens are distinct."""
+    rng = np.random.default_rng(4)
+    for _ in range(150):
+        other = rng.permutation(200)[:rng.integers(40, 120)].astype(np.uint64)
+        values, k = [], 0
+        while k < len(other):
+            move = rng.random()
+            values += [other[k]] if move < 0.85 else [np.uint64(1000 + k)] * (move < 0.95)
+            k += 1
+        values = np.array(values, np.uint64)
+        at = {x: p for p, x in enumerate(other.tolist())}
+        own = [i for i, x in enumerate(values.tolist()) if x in at]
+        best = 0
+        for x, i in enumerate(own):
+            for y, j in enumerate(own[x:], x):
+                a, b, o = j - i + 1, at[int(values[j])] - at[int(values[i])] + 1, y - x + 1
+                best = max(best, a if 100 * o >= 80 * (a + b - o) else 0)
+        got = passages.longest_alike(*passages.aligned(values, other))
+        assert (got[1] - got[0] + 1 if got else 0) == (best if best >= passages.WIDTH else 0)
+
+
+def test_passages_with_changed_words_are_cut(spark, corpus):
+    got = {r["doc_id"]: r["n_removed"] for r in passages.passage_dedup(frame(spark, corpus)).collect()}
+    assert all(got[30 + k] >= 70 for k in range(1, 5)) and got[35] >= 50
+
+
 @pytest.mark.parametrize("operator", [run_index.run_index_dedup, ngram_join.ngram_jaccard_join, passages.passage_dedup])
 def test_an_empty_table_gives_an_empty_result(spark, operator):
     assert operator(frame(spark, [])).collect() == []
