@@ -209,6 +209,20 @@ def test_passages_with_changed_words_are_cut(spark, corpus):
     assert all(got[30 + k] >= 70 for k in range(1, 5)) and got[35] >= 50
 
 
+def test_all_alike_runs_of_a_candidate_are_cut(spark):
+    rng = random.Random(15)
+    parts = [words(rng, n, "abcdefghij", 9) for n in (60, 55, 120)]
+    new = [words(rng, 50, "klmnop", 9) for _ in range(2)]
+    rows = [(1, " ".join(parts), "en", "s"), (2, f"{parts[0]} {new[0]} {parts[1]} {new[1]} {parts[2]}", "en", "s")]
+    values, other = (passages.Tokens([t]).values for _, t, *_ in rows[::-1])
+    assert passages.verified_runs(values, other) == [(0, 55), (110, 160), (215, 330)]
+    got = {r["doc_id"]: r for r in passages.passage_dedup(frame(spark, rows)).collect()}
+    assert got[1]["n_removed"] == 0 and got[2]["kept"].split() == " ".join(new).split()
+    near = [(1, " ".join(parts[:2]), "en", "s"), (2, f"{parts[0]} {words(rng, 10, 'klmnop', 9)} {parts[1]}", "en", "s")]
+    got = {r["doc_id"]: r for r in passages.passage_dedup(frame(spark, near)).collect()}
+    assert not set(got[2]["kept"].split()) & set(near[0][1].split())
+
+
 @pytest.mark.parametrize("operator", [run_index.run_index_dedup, ngram_join.ngram_jaccard_join, passages.passage_dedup])
 def test_an_empty_table_gives_an_empty_result(spark, operator):
     assert operator(frame(spark, [])).collect() == []
