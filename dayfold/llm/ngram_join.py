@@ -290,15 +290,24 @@ def links_within(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     spread = np.bincount(np.searchsorted(trie.vocabulary, np.concatenate(sets)))
     weight = [int(spread[np.searchsorted(trie.vocabulary, x)].sum()) for x in sets]
     todo = sorted(range(len(sets)), key=lambda i: (-weight[i], i))
+    passed = []
     for i in todo:
-        # Whatever is outside the largest group probes all sets, so the largest group itself need not.
         largest = max(groups.members.values(), key=len) if i == todo[0] or len(links) != seen else largest
         seen = len(links)
-        if len(largest) == len(sets):
-            break
         if groups.root[i] == groups.root[largest[0]] and len(largest) > 1:
+            passed.append(i)
             continue
         links += [(i, j) for j in trie.linked(sets[i], percent).tolist() if groups.join(i, j)]
+    # Which group is largest changes: sets passed by earlier probe now. What stays outside the
+    # largest group has probed all sets, so that one group itself need not.
+    while len(groups.members) > 1:
+        largest = groups.root[max(groups.members.values(), key=len)[0]]
+        outside = [i for i in passed if groups.root[i] != largest]
+        if not outside:
+            break
+        passed = [i for i in passed if groups.root[i] == largest]
+        for i in outside:
+            links += [(i, j) for j in trie.linked(sets[i], percent).tolist() if groups.join(i, j)]
     return links
 
 

@@ -125,6 +125,21 @@ def test_ngram_join_of_chains_of_near_copies(spark, monkeypatch, settings):
     assert sorted(map(tuple, got)) == sorted(joined(rows))
 
 
+@pytest.mark.parametrize("n", [60, 150])
+def test_long_chains_of_equal_weights_are_one_group(n):
+    """Text k holds the words 8k to 8k + 103 of a running text: neighbours are 0.85 alike, next but one 0.72."""
+    def parted(sets):
+        groups = ngram_join.Groups(n)
+        for i, j in ngram_join.links_within(sets, 80):
+            groups.join(i, j)
+        return len(groups.members)
+
+    for seed in range(40):
+        rng = np.random.default_rng(seed)
+        running = rng.integers(1, 2**62, 8 * n + 100).astype(np.uint64)
+        assert parted([np.sort(running[8 * k:8 * k + 100]) for k in rng.permutation(n)]) == 1
+
+
 def test_trie_finds_all_links():
     rng = np.random.default_rng(1)
     pool = np.arange(1, 60, dtype=np.uint64)
