@@ -238,6 +238,40 @@ def test_all_alike_runs_of_a_candidate_are_cut(spark):
     assert not set(got[2]["kept"].split()) & set(near[0][1].split())
 
 
+def test_exact_passages_are_cut_whatever_else_has_their_lines(spark):
+    """The first text holds only a line of the passage that later ones share, or parts of it in other places."""
+    rng = random.Random(16)
+    rows, passage = [], {}
+    for k in range(60):
+        shared, line = words(rng, 60, "abcdefghij", 9).split(), rng.randint(25, 49)
+        at = rng.choice([0, 60 - line])
+        for x, held in enumerate([shared[at:at + line], shared, shared[at:at + line], shared]):
+            rows.append((10 * k + x, f"{words(rng, 30, 'klmnop', 9)} {' '.join(held)} {words(rng, 30, 'klmnop', 9)}", "en", "s"))
+        passage[10 * k + 3] = shared
+    got = {r["doc_id"]: r for r in passages.passage_dedup(frame(spark, rows)).collect()}
+    for i, r in got.items():
+        assert r["n_removed"] == (60 if i in passage else 0)
+        assert not set(passage.get(i, ())) & set(r["kept"].split())
+
+
+def test_exact_passages_equal_brute_force(spark):
+    rng = random.Random(17)
+    parts = [words(rng, n, "abcdefghij", 9) for n in (20, 30, 49, 50, 51, 70)]
+    rows = [(i, " ".join(rng.choice([*parts, words(rng, 5, "klmnop", 9)]) for _ in range(rng.randint(1, 7))), "en", "s") for i in range(60)]
+    first, texts = {}, {}
+    for i, t, *_ in rows:
+        w = t.split()
+        for k in range(len(w) - 49):
+            first.setdefault(tuple(w[k:k + 50]), t)
+    for i, t, *_ in rows:
+        w = t.split()
+        gone = {x for k in range(len(w) - 49) if first[tuple(w[k:k + 50])] != t for x in range(k, k + 50)}
+        texts[i] = (len(gone), gone)
+    for r in passages.passage_dedup(frame(spark, rows)).collect():
+        cut = {x for a, b in r["spans"] for x in range(a, b)}
+        assert texts[r["doc_id"]][1] <= cut
+
+
 @pytest.mark.parametrize("operator", [run_index.run_index_dedup, ngram_join.ngram_jaccard_join, passages.passage_dedup])
 def test_an_empty_table_gives_an_empty_result(spark, operator):
     assert operator(frame(spark, [])).collect() == []
