@@ -15,12 +15,12 @@ text that is that window as a whole.
 
 A bit map of fixed size, filled from the benchmark, keeps document windows that cannot
 match from being shuffled; whatever passes is joined by Spark on the whole hash. Occurrences
-are grouped per document, so an item that is in a third of all documents makes no hot group
+are grouped per text, so an item that is in a third of all documents makes no hot group
 beyond the join, which Spark splits.
 
 Null and empty texts have no windows, a null benchmark text neither; an empty benchmark
-contaminates nothing. Rows with a repeated doc_id (or a null one) are one document, which
-is contaminated if any of them is. Items with a repeated item_id are one item.
+contaminates nothing. Rows with a repeated doc_id (or a null one) are told apart by their
+text: each text is judged by itself. Items with a repeated item_id are one item.
 """
 
 from __future__ import annotations
@@ -108,26 +108,27 @@ class Windows:
     def slots(self, i: int) -> bytes:
         return self.value[self.start[i]:self.stop[i]].tobytes()
 
-    def rows(self, ids, keep: np.ndarray, name: str) -> pd.DataFrame:
+    def rows(self, ids, keys, keep: np.ndarray, name: str) -> pd.DataFrame:
         keep = np.flatnonzero(keep)
         return pd.DataFrame({
-            name: ids.iloc[self.text[keep]].to_numpy(), "hash": self.hashes[keep].view(np.int64), "place": self.place[keep],
+            name: ids.iloc[self.text[keep]].to_numpy(), "text_key": keys.iloc[self.text[keep]].to_numpy(), "hash": self.hashes[keep].view(np.int64), "place": self.place[keep],
             "tokens": (self.first[1:] - self.first[:-1])[self.text[keep]], "slots": [self.slots(i) for i in keep],
         })
 
 
 def window_rows(table: DataFrame, id_name: str, name: str, wanted=None) -> DataFrame:
-    """(name, hash, place, tokens, slots) of all good windows, or of those that ``wanted`` may hold."""
+    """(name, text_key, hash, place, tokens, slots) of all good windows, or of those that ``wanted`` may hold."""
 
     def read(frames):
         for frame in frames:
-            texts, ids = frame["text"].tolist(), frame[id_name].astype("Int64")
+            texts, ids, keys = frame["text"].tolist(), frame[id_name].astype("Int64"), frame["text_key"]
             for a, b in slices(texts):
                 w = Windows(texts[a:b])
                 keep = w.good if wanted is None else w.good & wanted.value[w.hashes >> np.uint64(64 - BITS)]
-                yield w.rows(ids.iloc[a:b], keep, name).astype({name: "Int64"})
+                yield w.rows(ids.iloc[a:b], keys.iloc[a:b], keep, name).astype({name: "Int64"})
 
-    return table.select(id_name, "text").mapInPandas(read, f"{name} long, hash long, place int, tokens int, slots binary")
+    return table.select(id_name, F.xxhash64("text").alias("text_key"), "text").mapInPandas(
+        read, f"{name} long, text_key long, hash long, place int, tokens int, slots binary")
 
 
 def bit_map(items: DataFrame) -> np.ndarray:
@@ -153,7 +154,7 @@ def consistent(item: np.ndarray, doc: np.ndarray) -> bool:
 
 
 def occurrences(hits: pd.DataFrame) -> pd.DataFrame:
-    """Occurrences in one document: hits have item_id, place, item_place, tokens, slots, item_slots."""
+    """Occurrences in one text: hits have doc_id, text_key, item_id, place, item_place, tokens, slots, item_slots."""
     out = []
     hits = hits.assign(diagonal=hits["place"] - hits["item_place"]).drop_duplicates(["item_id", "diagonal", "item_place"])
     for (item, diagonal), rows in hits.groupby(["item_id", "diagonal"], dropna=False):
@@ -165,27 +166,32 @@ def occurrences(hits: pd.DataFrame) -> pd.DataFrame:
         item_values = np.frombuffer(b"".join(rows["item_slots"]), np.uint64)
         values = np.frombuffer(b"".join(rows["slots"]), np.uint64)
         if len(item_values) == len(values) and consistent(item_values, values):
-            out.append((hits["doc_id"].iloc[0], item, diagonal, covered, total))
-    return pd.DataFrame(out, columns=["doc_id", "item_id", "place", "covered", "tokens"]).astype({"doc_id": "Int64", "item_id": "Int64"})
+            out.append((hits["doc_id"].iloc[0], hits["text_key"].iloc[0], item, diagonal, covered, total))
+    return pd.DataFrame(out, columns=["doc_id", "text_key", "item_id", "place", "covered", "tokens"]).astype({"doc_id": "Int64", "item_id": "Int64"})
 
 
 def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(doc_id, item_id, place, covered, tokens): every occurrence of an item in a document."""
-    items = window_rows(benchmark, "item_id", "item_id").dropDuplicates(["item_id", "hash", "place"])
+    """(doc_id, text_key, item_id, place, covered, tokens): every occurrence of an item in a text."""
+    items = window_rows(benchmark, "item_id", "item_id").drop("text_key").dropDuplicates(["item_id", "hash", "place"])
     wanted = docs.sparkSession.sparkContext.broadcast(bit_map(items))
     found = window_rows(docs, "doc_id", "doc_id", wanted).drop("tokens").join(
         items.withColumnsRenamed({"place": "item_place", "slots": "item_slots"}), "hash")
-    return found.groupBy("doc_id").applyInPandas(
-        occurrences, "doc_id long, item_id long, place int, covered int, tokens int")
+    return found.groupBy("doc_id", "text_key").applyInPandas(
+        occurrences, "doc_id long, text_key long, item_id long, place int, covered int, tokens int")
+
+
+def same_row(doc_id, text_key, found: DataFrame):
+    """Rows are told apart by doc_id (null is a value) and text."""
+    return doc_id.eqNullSafe(found.found_id) & (text_key == found.found_key)
 
 
 def decontamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, contaminated, n_items, items) of every row; items are ids, sorted, comma-joined."""
-    found = matches(docs, benchmark).groupBy("doc_id").agg(
+    found = matches(docs, benchmark).groupBy(F.col("doc_id").alias("found_id"), F.col("text_key").alias("found_key")).agg(
         F.countDistinct("item_id").alias("n_items"), F.array_sort(F.collect_set("item_id")).alias("ids"))
-    found = found.select(F.col("doc_id").alias("id"), "n_items", F.concat_ws(",", F.col("ids").cast("array<string>")).alias("items"))
-    rows = docs.select("doc_id")
-    return rows.join(found, rows.doc_id.eqNullSafe(found.id), "left").select(
+    found = found.select("found_id", "found_key", "n_items", F.concat_ws(",", F.col("ids").cast("array<string>")).alias("items"))
+    rows = docs.select("doc_id", F.xxhash64("text").alias("text_key"))
+    return rows.join(found, same_row(rows.doc_id, rows.text_key, found), "left").select(
         "doc_id", (F.coalesce("n_items", F.lit(0)) > 0).alias("contaminated"),
         F.coalesce("n_items", F.lit(0)).alias("n_items"), F.coalesce("items", F.lit("")).alias("items"),
     )
@@ -193,5 +199,5 @@ def decontamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that no item contaminates."""
-    bad = matches(docs, benchmark).select(F.col("doc_id").alias("bad_id")).distinct()
-    return docs.join(bad, docs.doc_id.eqNullSafe(bad.bad_id), "left_anti")
+    bad = matches(docs, benchmark).select(F.col("doc_id").alias("found_id"), F.col("text_key").alias("found_key")).distinct()
+    return docs.join(bad, same_row(docs.doc_id, F.xxhash64(docs.text), bad), "left_anti")

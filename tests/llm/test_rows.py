@@ -170,6 +170,18 @@ def test_decontamination(spark, corpus):
     assert decontamination.decontamination(frame(spark, []), items).collect() == []
 
 
+def test_each_text_of_an_id_is_judged_by_itself(spark):
+    rng = random.Random(14)
+    texts = [f"{words(rng, 20)}. So {ITEM}", words(rng, 30), None, ""]
+    rows = [(i, t, "en", "s") for i in (1, None) for t in texts] + [(1, texts[0], "en", "s")]
+    items = spark.createDataFrame([(1, "So " + ITEM)], "item_id long, text string")
+    got = decontamination.decontamination(frame(spark, rows), items).collect()
+    assert sorted((repr(r["doc_id"]), r["contaminated"]) for r in got) == sorted(
+        (repr(i), t == texts[0]) for i, t, *_ in rows)
+    kept = decontamination.clean(frame(spark, rows), items).collect()
+    assert sorted(repr((r["doc_id"], r["text"])) for r in kept) == sorted(repr((i, t)) for i, t, *_ in rows if t != texts[0])
+
+
 def judged(url):
     rest = url.split("://", 1)[1] if url is not None and "://" in url else ""
     host = re.sub("[A-Z]", lambda m: m[0].lower(), re.match(r"[^/?#]*", rest)[0])
