@@ -3,15 +3,17 @@
 Texts become sequences of typed tokens: numbers are ``<number>``, a unit after a number is
 ``<unit>``, a capitalised word inside a sentence is ``<name>``, all other words are
 lower-cased. Windows of ``WINDOW`` tokens with at least ``LITERALS`` plain words are hashed
-and joined between benchmark and documents. Matches of one item and one diagonal (place in
+and joined between benchmark and documents; so are all windows of the lower-cased words
+themselves, so that copies count that are dense in numbers or names or in other letter case. Matches of one item and one diagonal (place in
 the document minus place in the item) are one occurrence. Its slots have to be consistent:
 the same value of the item always stands against the same value of the document and the
 other way round, so a question asked again with other numbers and names is caught, and a
 chance sequence of numbers is not.
 
 A document is contaminated by an item if an occurrence covers ``RUN`` tokens, or half of an
-item too short for that. Items of fewer than ``WINDOW`` tokens are one window and match a
-text that is that window as a whole.
+item too short for that. Items of fewer than ``WINDOW`` tokens are one window: with
+``LITERALS`` tokens or more they are looked for in every text, shorter ones match a text that
+is that window as a whole (a word or two inside a text is no question asked again).
 
 A bit map of fixed size, filled from the benchmark, keeps document windows that cannot
 match from being shuffled; whatever passes is joined by Spark on the whole hash. Occurrences
@@ -30,7 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dayfold.llm.arrays import _LOWER, as_bytes, slices, span_hashes, windows, word_spans
+from dayfold.llm.arrays import _LOWER, as_bytes, mix, slices, span_hashes, windows, word_spans
 
 WINDOW = 8
 LITERALS = 5
@@ -90,20 +92,32 @@ def tokens(texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 class Windows:
-    """Windows of a slice of texts: hash, text, place, and whether there are enough plain words."""
-
-    def __init__(self, texts):
-        token, self.value, self.first = tokens(texts)
-        self.hashes, run_first = windows(token, self.first, WINDOW)
+    """Windows of a slice of texts: hash, text, place, and whether they count.
+
+    Typed windows count if they have enough plain words; verbatim ones are windows of the
+    lower-cased words themselves, and all of them count. Without ``size``, windows have WINDOW
+    tokens and shorter texts are one; with it, they have ``size`` tokens and shorter texts have none.
+    """
+
+    def __init__(self, parts, verbatim: bool, size: int | None = None):
+        token, self.value, self.first = parts
+        if verbatim:
+            token = np.where(self.value == 0, token, self.value)
+        self.verbatim = verbatim
+        self.hashes, run_first = windows(token, self.first, size or WINDOW)
+        if verbatim:
+            self.hashes = mix(self.hashes, 21)
         runs = np.diff(run_first)
-        self.text = np.repeat(np.arange(len(texts)), runs)
+        self.text = np.repeat(np.arange(len(runs)), runs)
         self.place = np.arange(len(self.hashes)) - run_first[self.text]
         self.start = self.first[self.text] + self.place
-        self.stop = np.minimum(self.start + WINDOW, self.first[self.text + 1])
+        self.stop = np.minimum(self.start + (size or WINDOW), self.first[self.text + 1])
         plain = np.zeros(len(token) + 1, np.int64)
         np.cumsum(self.value == 0, out=plain[1:])
         literal = plain[self.stop] - plain[self.start]
-        self.good = literal >= np.minimum(LITERALS, self.stop - self.start)
+        self.good = np.full(len(literal), True) if verbatim else literal >= np.minimum(LITERALS, self.stop - self.start)
+        if size:
+            self.good &= self.stop - self.start == size
 
     def slots(self, i: int) -> bytes:
         return self.value[self.start[i]:self.stop[i]].tobytes()
@@ -112,23 +126,26 @@ class Windows:
         keep = np.flatnonzero(keep)
         return pd.DataFrame({
             name: ids.iloc[self.text[keep]].to_numpy(), "text_key": keys.iloc[self.text[keep]].to_numpy(), "hash": self.hashes[keep].view(np.int64), "place": self.place[keep],
-            "tokens": (self.first[1:] - self.first[:-1])[self.text[keep]], "slots": [self.slots(i) for i in keep],
+            "tokens": (self.first[1:] - self.first[:-1])[self.text[keep]], "slots": [self.slots(i) for i in keep], "verbatim": self.verbatim,
         })
 
 
-def window_rows(table: DataFrame, id_name: str, name: str, wanted=None) -> DataFrame:
-    """(name, text_key, hash, place, tokens, slots) of all good windows, or of those that ``wanted`` may hold."""
+def window_rows(table: DataFrame, id_name: str, name: str, wanted=None, sizes=()) -> DataFrame:
+    """(name, text_key, hash, place, tokens, slots, verbatim) of all windows that count, or of those that ``wanted`` may hold."""
 
     def read(frames):
         for frame in frames:
             texts, ids, keys = frame["text"].tolist(), frame[id_name].astype("Int64"), frame["text_key"]
             for a, b in slices(texts):
-                w = Windows(texts[a:b])
-                keep = w.good if wanted is None else w.good & wanted.value[w.hashes >> np.uint64(64 - BITS)]
-                yield w.rows(ids.iloc[a:b], keys.iloc[a:b], keep, name).astype({name: "Int64"})
+                parts = tokens(texts[a:b])
+                for verbatim in (False, True):
+                    for size in (None, *sizes):
+                        w = Windows(parts, verbatim, size)
+                        keep = w.good if wanted is None else w.good & wanted.value[w.hashes >> np.uint64(64 - BITS)]
+                        yield w.rows(ids.iloc[a:b], keys.iloc[a:b], keep, name).astype({name: "Int64"})
 
     return table.select(id_name, F.xxhash64("text").alias("text_key"), "text").mapInPandas(
-        read, f"{name} long, text_key long, hash long, place int, tokens int, slots binary")
+        read, f"{name} long, text_key long, hash long, place int, tokens int, slots binary, verbatim boolean")
 
 
 def bit_map(items: DataFrame) -> np.ndarray:
@@ -156,7 +173,9 @@ def consistent(item: np.ndarray, doc: np.ndarray) -> bool:
 def occurrences(hits: pd.DataFrame) -> pd.DataFrame:
     """Occurrences in one text: hits have doc_id, text_key, item_id, place, item_place, tokens, slots, item_slots."""
     out = []
-    hits = hits.assign(diagonal=hits["place"] - hits["item_place"]).drop_duplicates(["item_id", "diagonal", "item_place"])
+    # A verbatim window has the item's own words, whatever their letter case makes of them.
+    hits = hits.assign(diagonal=hits["place"] - hits["item_place"], slots=hits["slots"].where(~hits["verbatim"], hits["item_slots"]))
+    hits = hits.sort_values("verbatim", ascending=False, kind="stable").drop_duplicates(["item_id", "diagonal", "item_place"])
     for (item, diagonal), rows in hits.groupby(["item_id", "diagonal"], dropna=False):
         covered = np.unique((rows["item_place"].to_numpy()[:, None] + np.arange(WINDOW)).ravel())
         total = int(rows["tokens"].max())
@@ -174,8 +193,11 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, text_key, item_id, place, covered, tokens): every occurrence of an item in a text."""
     items = window_rows(benchmark, "item_id", "item_id").drop("text_key").dropDuplicates(["item_id", "hash", "place"])
     wanted = docs.sparkSession.sparkContext.broadcast(bit_map(items))
-    found = window_rows(docs, "doc_id", "doc_id", wanted).drop("tokens").join(
-        items.withColumnsRenamed({"place": "item_place", "slots": "item_slots"}), "hash")
+    # Items of LITERALS tokens up to WINDOW are looked for inside texts: at most three sizes.
+    short = F.col("tokens").between(LITERALS, WINDOW - 1)
+    sizes = sorted(row["tokens"] for row in items.where(short).select("tokens").distinct().collect())
+    found = window_rows(docs, "doc_id", "doc_id", wanted, sizes).drop("tokens").join(
+        items.withColumnsRenamed({"place": "item_place", "slots": "item_slots"}).drop("verbatim"), "hash")
     return found.groupBy("doc_id", "text_key").applyInPandas(
         occurrences, "doc_id long, text_key long, item_id long, place int, covered int, tokens int")
 

@@ -182,6 +182,26 @@ def test_each_text_of_an_id_is_judged_by_itself(spark):
     assert sorted(repr((r["doc_id"], r["text"])) for r in kept) == sorted(repr((i, t)) for i, t, *_ in rows if t != texts[0])
 
 
+def test_verbatim_copies_and_short_items_are_found(spark):
+    rng = random.Random(15)
+    dense = "What is 3 times 4? A 7 B 12 C 34 D 1"
+    names = "Anna Berta Carla Dora Emma Frida Gerda Hanna Ida Jana Karla Lisa Maria Nora"
+    short, numbers = "where do old rivers end", "5 6 7 8 9 10"
+    items = spark.createDataFrame(list(enumerate([dense, names, ITEM, short, numbers, "two words"])), "item_id long, text string")
+
+    def around(text):
+        return f"{words(rng, 20)}. {text}. {words(rng, 20)}"
+
+    found = {0: [around(dense), dense.upper()], 1: [around(names), around(names.lower())], 2: [around(ITEM.upper()), around(ITEM.lower())],
+             3: [around(short), around(short.title()), short], 4: [around(numbers)], 5: ["two words", "Two Words"]}
+    rows = [(10 * k + x, t, "en", "s") for k, texts in found.items() for x, t in enumerate(texts)]
+    clean = [dense.replace("3", "5").replace("34", "9"), around("two words"), around("6 5 7 8 9 10"), around("where do old rivers begin"),
+             around("Omar Paul Quin Rolf Sven Theo Udo Vito Will Xaver Yves Zeno Axel Bert")]
+    rows += [(100 + x, t, "en", "s") for x, t in enumerate(clean)]
+    got = {r["doc_id"]: r["items"] for r in decontamination.decontamination(frame(spark, rows), items).collect()}
+    assert got == {i: str(i // 10) if i < 100 else "" for i in got} and len(got) == len(rows)
+
+
 def judged(url):
     rest = url.split("://", 1)[1] if url is not None and "://" in url else ""
     host = re.sub("[A-Z]", lambda m: m[0].lower(), re.match(r"[^/?#]*", rest)[0])
