@@ -9,13 +9,16 @@ from dayfold.llm import (
     fingerprint,
     language,
     licenses,
+    merkle,
     mixing,
     ngram_join,
     passages,
     run_index,
+    simhash,
     sql,
     toxicity,
     url_filter,
+    vector_codes,
 )
 from dayfold.llm.common import documents
 from dayfold.llm.registry import QUERIES, SQL, query
@@ -77,3 +80,18 @@ def op9(spark, sf_dir):
 @query("op10_toxicity_machine")
 def op10(spark, sf_dir):
     return toxicity.toxicity(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
+@query("op11_vector_codes", sql.vector_codes(vector_codes.PARTS, vector_codes.ENTRIES, vector_codes.ROUNDS, vector_codes.SCALE))
+def op11(spark, sf_dir):
+    return vector_codes.vector_codes(table(spark, sf_dir, "embeddings")).drop("label")
+
+
+@query("op12_merkle_manifest", sql.MERKLE_MANIFEST)
+def op12(spark, sf_dir):
+    return merkle.merkle_manifest(documents(spark, sf_dir))
+
+
+@query("op13_simhash_index")
+def op13(spark, sf_dir):
+    return simhash.simhash_near_duplicates(documents(spark, sf_dir))

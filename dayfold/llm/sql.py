@@ -215,3 +215,95 @@ SELECT doc_id, size, CAST(source_size AS BIGINT) AS source_size, target,
        CAST(copies * size + CASE WHEN p > 0 THEN greatest(0, least(size, rest - before)) ELSE 0 END AS BIGINT) AS taken
 FROM placed
 """
+
+
+def vector_codes(parts: int, entries: int, rounds: int, scale: int) -> str:
+    """All distances of all parts to all entries, the least by distance and index, and floored means."""
+    nearest = """
+near{k} AS (
+  SELECT vec_id, label, p, v, arg_min(e, (apart, e)) AS e, min(apart) AS apart
+  FROM (SELECT x.*, y.e, list_sum([(x.v[i] - y.v[i]) * (x.v[i] - y.v[i]) FOR i IN range(1, len(x.v) + 1)]) AS apart
+        FROM parts x JOIN book{k} y USING (p)) GROUP BY vec_id, label, p, v
+)"""
+    moved = """
+book{k} AS (
+  SELECT b.p, b.e, coalesce(m.v, b.v) AS v FROM book{j} b LEFT JOIN (
+    SELECT p, e, list((s - (s % n + n) % n) // n ORDER BY i) AS v
+    FROM (SELECT p, e, i, CAST(sum(c) AS BIGINT) AS s, count(*) AS n
+          FROM (SELECT p, e, unnest(v) AS c, unnest(range(len(v))) AS i FROM near{j}) GROUP BY p, e, i) GROUP BY p, e
+  ) m ON m.p = b.p AND m.e = b.e
+)"""
+    steps = nearest.format(k=0) + "".join("," + moved.format(k=k, j=k - 1) + "," + nearest.format(k=k) for k in range(1, rounds + 1))
+    return f"""
+WITH kept AS (
+  SELECT vec_id, label, [CAST(floor({scale} * x) AS BIGINT) FOR x IN embedding] AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), parts AS (
+  SELECT vec_id, label, p, v[p * len(v) // {parts} + 1:(p + 1) * len(v) // {parts}] AS v
+  FROM (SELECT *, unnest(range({parts})) AS p FROM kept)
+), book0 AS (
+  SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e, v
+  FROM parts WHERE vec_id IN (SELECT vec_id FROM kept ORDER BY vec_id LIMIT {entries})
+), {steps.lstrip()}, coded AS (
+  SELECT vec_id, label, string_agg(printf('%02x', e), '' ORDER BY p) AS code, CAST(sum(apart) AS BIGINT) AS error
+  FROM near{rounds} GROUP BY vec_id, label
+), books AS (
+  SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM book{rounds}
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM coded, books
+"""
+
+
+# CRC-32 bit by bit; a tree per source, level by level; a path per leaf, folded level by level.
+_FIELD = "CASE WHEN {c} IS NULL THEN '-' ELSE octet_length(encode(CAST({c} AS VARCHAR))) || ':' || {c} END"
+_LEAF = "sha256(" + " || ".join(_FIELD.format(c=c) for c in ("doc_id", "source", "lang", "n_chars", "{t}")) + ")"
+MERKLE_MANIFEST = f"""
+WITH RECURSIVE marked AS (
+  SELECT *, list_reduce([CAST(4294967295 AS BIGINT)] || [CAST(ascii(x) AS BIGINT) FOR x IN string_split(CAST(doc_id AS VARCHAR), '')],
+    lambda crc, x: list_reduce([xor(crc, x)] || CAST(range(8) AS BIGINT[]), lambda c, i: xor(c // 2, (c % 2) * 3988292384))) AS crc
+  FROM documents
+), leaves AS (
+  SELECT doc_id, coalesce('s' || source, '') AS tree, {_LEAF.format(t="text")} AS leaf,
+         CASE WHEN xor(crc, 4294967295) % 2 = 0 THEN {_LEAF.format(t="replace(text, chr(10), '')")} ELSE {_LEAF.format(t="text")} END AS other
+  FROM marked
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY tree) AS n FROM leaves
+), up(tree, level, pos, n, h) AS (
+  SELECT tree, 0, pos, n, leaf FROM placed
+  UNION ALL
+  SELECT tree, level + 1, pos // 3, (max(n) + 2) // 3, sha256(string_agg(h, '' ORDER BY pos)) FROM up WHERE n > 1 GROUP BY tree, level, pos // 3
+), subroots AS (
+  SELECT tree, h AS subroot, row_number() OVER (ORDER BY encode(tree)) - 1 AS top, count(*) OVER () AS n_tops FROM up WHERE n = 1
+), tops(level, pos, n, h) AS (
+  SELECT 0, top, n_tops, subroot FROM subroots
+  UNION ALL
+  SELECT level + 1, pos // 3, (max(n) + 2) // 3, sha256(string_agg(h, '' ORDER BY pos)) FROM tops WHERE n > 1 GROUP BY level, pos // 3
+), nodes AS (
+  SELECT tree, level, pos, h FROM up WHERE n > 1
+  UNION ALL
+  SELECT ' ', level, pos, h FROM tops WHERE n > 1
+), steps AS (
+  SELECT x.tree, x.level, x.pos, coalesce(string_agg(y.h, '' ORDER BY y.pos) FILTER (y.pos < x.pos), '') AS l,
+         coalesce(string_agg(y.h, '' ORDER BY y.pos) FILTER (y.pos > x.pos), '') AS r
+  FROM nodes x JOIN nodes y ON y.tree = x.tree AND y.level = x.level AND y.pos // 3 = x.pos // 3 GROUP BY ALL
+), ways AS (
+  SELECT p.doc_id, p.tree, p.pos, s.level, l, r FROM placed p JOIN steps s ON s.tree = p.tree AND s.pos = p.pos // CAST(pow(3, s.level) AS BIGINT)
+  UNION ALL
+  SELECT p.doc_id, p.tree, p.pos, 1000 + s.level, l, r
+  FROM placed p JOIN subroots o ON o.tree = p.tree JOIN steps s ON s.tree = ' ' AND s.pos = o.top // CAST(pow(3, s.level) AS BIGINT)
+), paths AS (
+  SELECT tree, pos, sha256(string_agg(l || r, '' ORDER BY level)) AS proof, list(l ORDER BY level) AS ls, list(r ORDER BY level) AS rs
+  FROM ways GROUP BY tree, pos
+), fold(tree, pos, k, h) AS (
+  SELECT tree, pos, 1, other FROM placed
+  UNION ALL
+  SELECT f.tree, f.pos, k + 1, sha256(ls[k] || h || rs[k]) FROM fold f JOIN paths p ON p.tree = f.tree AND p.pos = f.pos WHERE k <= len(ls)
+), ends AS (
+  SELECT tree, pos, arg_max(h, k) AS folded_root FROM fold GROUP BY tree, pos
+), root AS (
+  SELECT h AS root FROM tops WHERE n = 1
+)
+SELECT doc_id, leaf, subroot, root, coalesce(proof, sha256('')) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM placed p JOIN subroots USING (tree) JOIN ends e ON e.tree = p.tree AND e.pos = p.pos
+     LEFT JOIN paths w ON w.tree = p.tree AND w.pos = p.pos, root
+"""
