@@ -14,7 +14,7 @@ DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
 
 def test_every_operation_has_a_query():
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "near_duplicates", "passages", "decontamination", "mixing"]
 
