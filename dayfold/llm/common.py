@@ -11,7 +11,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dayfold.llm.arrays import mix
+from dayfold.llm.arrays import give_back, mix
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -61,10 +61,25 @@ def restored(bodies) -> list[str | None]:
     return [None if x is None else zstandard.decompress(x).decode("utf-8", "surrogatepass") for x in bodies]
 
 
+_SHARED: dict = {}
+
+
+def shared(spark: SparkSession, purpose: str, value):
+    """A broadcast of bounded size. The executors' copies of the one before it for the same purpose are dropped.
+
+    Dropped copies are fetched again where a table that uses them is computed once more.
+    """
+    key = (spark.sparkContext.applicationId, purpose)
+    if key in _SHARED:
+        _SHARED[key].unpersist()
+    _SHARED[key] = spark.sparkContext.broadcast(value)
+    return _SHARED[key]
+
+
 SIEVE_BITS = 25  # 4 MB of bits, whatever the number of nodes
 
 
-def sieve(nodes: DataFrame, name: str = "node"):
+def sieve(nodes: DataFrame, purpose: str, name: str = "node"):
     """A condition on a node that holds for all nodes of the table and for few others.
 
     A Bloom filter of fixed size with one hash. It only keeps texts that no join can match
@@ -90,12 +105,12 @@ def sieve(nodes: DataFrame, name: str = "node"):
     # At most 16 rows of fixed size.
     for row in nodes.select(name).mapInPandas(read, kind).groupBy("lot").applyInPandas(merge, kind).collect():
         total |= np.frombuffer(zlib.decompress(row["bits"]), np.uint8)
-    shared = nodes.sparkSession.sparkContext.broadcast(total)
+    filled = shared(nodes.sparkSession, f"sieve-{purpose}", total)
 
     @F.pandas_udf("boolean")
     def held(node: pd.Series) -> pd.Series:
         at = _sieve_place(node.to_numpy(np.int64))
-        return pd.Series(((shared.value[at >> 3] >> (at & 7).astype(np.uint8)) & 1).astype(bool))
+        return pd.Series(((filled.value[at >> 3] >> (at & 7).astype(np.uint8)) & 1).astype(bool))
 
     # Nulls would make the numbers of a batch inexact, and xxhash64 gives null texts a number too.
     return lambda column: held(F.coalesce(column, F.lit(0)))
@@ -128,6 +143,7 @@ def pack(bucket: np.ndarray, columns: dict[str, np.ndarray]) -> pd.DataFrame:
 
 def unpack(rows: pd.DataFrame, **types: str) -> list[np.ndarray]:
     """The values of the named columns of all rows, as arrays of the given types."""
+    give_back()  # what the bucket before has freed
     return [np.frombuffer(b"".join(rows[name]), kind) for name, kind in types.items()]
 
 

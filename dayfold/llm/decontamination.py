@@ -6,8 +6,7 @@ lower-cased. Windows of ``WINDOW`` tokens with at least ``LITERALS`` plain words
 and joined between benchmark and documents; so are all windows of the lower-cased words
 themselves, so that copies count that are dense in numbers or names or in other letter case. Matches of one item and one diagonal (place in
 the document minus place in the item) are one occurrence. Its slots have to be consistent:
-the same value of the item always stands against the same value of the document and the
-other way round, so a question asked again with other numbers and names is caught, and a
+the same value of the item always stands against the same value of the document, so a question asked again with other numbers and names is caught, and a
 chance sequence of numbers is not.
 
 A document is contaminated by an item if an occurrence covers ``RUN`` tokens, or half of an
@@ -22,7 +21,8 @@ beyond the join, which Spark splits.
 
 Null and empty texts have no windows, a null benchmark text neither; an empty benchmark
 contaminates nothing. Rows with a repeated doc_id (or a null one) are told apart by their
-text: each text is judged by itself. Items with a repeated item_id are one item.
+text: each text is judged by itself. Items with a repeated item_id are one item, and so are
+items without an item_id, which is written ``-``.
 """
 
 from __future__ import annotations
@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dayfold.llm.arrays import _LOWER, as_bytes, mix, slices, span_hashes, windows, word_spans
+from dayfold.llm.common import shared
 
 WINDOW = 8
 LITERALS = 5
@@ -41,10 +42,11 @@ BITS = 22  # of the bit map: 4 MB, whatever the benchmark
 
 # Units that are typed when they follow a number.
 UNITS = (
-    "mm cm m km inch inches foot feet mile miles mg g kg t ton tons ounce ounces pound pounds ml l liter liters litre litres "
-    "s sec second seconds min minute minutes h hour hours day days week weeks month months year years "
-    "cent cents dollar dollars euro euros percent kmh mph degrees watt watts volt volts meter meters metre metres"
-).split(" ")
+    "mm", "cm", "m", "km", "inch", "inches", "foot", "feet", "mile", "miles", "mg", "g", "kg", "t", "ton", "tons", "ounce", "ounces",
+    "pound", "pounds", "ml", "l", "liter", "liters", "litre", "litres", "s", "sec", "second", "seconds", "min", "minute", "minutes",
+    "h", "hour", "hours", "day", "days", "week", "weeks", "month", "months", "year", "years", "cent", "cents", "dollar", "dollars",
+    "euro", "euros", "percent", "kmh", "mph", "degrees", "watt", "watts", "volt", "volts", "meter", "meters", "metre", "metres",
+)
 
 _WORD = np.zeros(256, bool)
 _WORD[48:58] = _WORD[65:91] = _WORD[97:123] = _WORD[128:] = True
@@ -164,10 +166,13 @@ def bit_map(items: DataFrame) -> np.ndarray:
 
 
 def consistent(item: np.ndarray, doc: np.ndarray) -> bool:
-    """Whether the slots stand one to one: every value of one side always meets the same of the other."""
+    """Whether every value of the item always stands against the same value of the document.
+
+    Not the other way round: two numbers of a question may both be asked again as the same one.
+    """
     used = item != 0
     pairs = set(zip(item[used].tolist(), doc[used].tolist(), strict=True))
-    return len(pairs) == len({a for a, _ in pairs}) == len({b for _, b in pairs})
+    return len(pairs) == len({a for a, _ in pairs})
 
 
 def occurrences(hits: pd.DataFrame) -> pd.DataFrame:
@@ -192,7 +197,7 @@ def occurrences(hits: pd.DataFrame) -> pd.DataFrame:
 def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, text_key, item_id, place, covered, tokens): every occurrence of an item in a text."""
     items = window_rows(benchmark, "item_id", "item_id").drop("text_key").dropDuplicates(["item_id", "hash", "place"])
-    wanted = docs.sparkSession.sparkContext.broadcast(bit_map(items))
+    wanted = shared(docs.sparkSession, "benchmark", bit_map(items))
     # Items of LITERALS tokens up to WINDOW are looked for inside texts: at most three sizes.
     short = F.col("tokens").between(LITERALS, WINDOW - 1)
     sizes = sorted(row["tokens"] for row in items.where(short).select("tokens").distinct().collect())
@@ -210,8 +215,9 @@ def same_row(doc_id, text_key, found: DataFrame):
 def decontamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, contaminated, n_items, items) of every row; items are ids, sorted, comma-joined."""
     found = matches(docs, benchmark).groupBy(F.col("doc_id").alias("found_id"), F.col("text_key").alias("found_key")).agg(
-        F.countDistinct("item_id").alias("n_items"), F.array_sort(F.collect_set("item_id")).alias("ids"))
-    found = found.select("found_id", "found_key", "n_items", F.concat_ws(",", F.col("ids").cast("array<string>")).alias("items"))
+        F.array_sort(F.collect_set("item_id")).cast("array<string>").alias("ids"), F.max(F.col("item_id").isNull()).alias("unnamed"))
+    ids = F.when(F.col("unnamed"), F.array_append("ids", F.lit("-"))).otherwise(F.col("ids"))
+    found = found.select("found_id", "found_key", F.size(ids).cast("long").alias("n_items"), F.concat_ws(",", ids).alias("items"))
     rows = docs.select("doc_id", F.xxhash64("text").alias("text_key"))
     return rows.join(found, same_row(rows.doc_id, rows.text_key, found), "left").select(
         "doc_id", (F.coalesce("n_items", F.lit(0)) > 0).alias("contaminated"),

@@ -106,12 +106,22 @@ def mixture(docs: DataFrame) -> DataFrame:
 def mixed_texts(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` with size, source_size, target and taken beside the text.
 
-    The report is joined back by doc_id. Rows that share a doc_id are told apart by source
-    and size, so they get their own numbers where these differ.
+    The report is joined back by doc_id, source and size. Rows that share these stand next to
+    each other in the ranking, so all take the same but where the target ends: there some take
+    the most, one what is left and the others the least. Only such rows (of one group per
+    source) are numbered, so that together they take what the report says.
     """
-    report = mixed(docs).groupBy("doc_id", "source", "size").agg(
-        F.max("source_size").alias("source_size"), F.max("target").alias("target"), F.max("taken").alias("taken"))
-    report = report.withColumnsRenamed({"doc_id": "of_id", "source": "of_source", "size": "of_size"})
+    report = stored(mixed(docs), "mix").groupBy("doc_id", "source", "size").agg(
+        F.max("source_size").alias("source_size"), F.max("target").alias("target"), F.max("taken").alias("most_taken"),
+        F.min("taken").alias("least_taken"), (F.sum("taken") - F.count("*") * F.min("taken")).alias("above"))
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    same = (F.col("doc_id").eqNullSafe(F.col("of_id")) & F.col("source").eqNullSafe(F.col("of_source")) & (F.col("size") == F.col("of_size")))
-    return docs.withColumn("size", size).join(report, same, "left").drop("of_id", "of_source", "of_size")
+    rows = docs.drop("size", "source_size", "target", "taken").withColumn("size", size)
+    same = (rows.doc_id.eqNullSafe(report.doc_id) & rows.source.eqNullSafe(report.source) & (rows["size"] == report["size"]))
+    both = rows.join(report, same, "left")
+    own = [rows[c] for c in rows.columns]
+    shown = [report.source_size, report.target]
+    alike = both.where(report.most_taken.eqNullSafe(report.least_taken)).select(*own, *shown, report.most_taken.alias("taken"))
+    turn = F.row_number().over(Window.partitionBy(rows.doc_id, rows.source, rows["size"]).orderBy(F.xxhash64(rows.text))) - 1
+    rest = F.greatest(F.lit(0), F.least(report.above - turn * (report.most_taken - report.least_taken), report.most_taken - report.least_taken))
+    parted = both.where(report.most_taken > report.least_taken).select(*own, *shown, (report.least_taken + rest).alias("taken"))
+    return alike.unionByName(parted)

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dayfold.llm.arrays import SHINGLE, Words, distinct_per_text, mix, slices, windows
-from dayfold.llm.common import components, compressed, pack, restored, starts_of, stored, unpack
+from dayfold.llm.common import components, compressed, pack, restored, shared, starts_of, stored, unpack
 
 MOST_BITS = 26  # the sketch has a counter for about 16 shingles, and never more than 2**26 (64 MB as classes)
 SKETCH_PARTS = 64
@@ -73,28 +73,28 @@ def sketch_bits(docs: DataFrame) -> int:
 
 
 def with_sets(docs: DataFrame, bits: int) -> DataFrame:
-    """(doc_id, n_shingles, node) per row, and rows (part, cells) with the counts of the sketch."""
+    """(doc_id, text_key, n_shingles, node) per row, and rows (part, cells) with the counts of the sketch."""
 
     def read(frames):
         counts = np.zeros(1 << bits, np.uint8)
         for frame in frames:
-            ids, texts = frame["doc_id"], frame["text"].tolist()
+            ids, keys, texts = frame["doc_id"], frame["text_key"], frame["text"].tolist()
             for a, b in slices(texts):
                 values, first = sets_of(texts[a:b])
                 cells, seen = np.unique(values >> np.uint64(64 - bits), return_counts=True)
                 counts[cells] = np.minimum(counts[cells] + np.minimum(seen, 255), 255)  # sums in 64 bits
                 yield pd.DataFrame({
-                    "doc_id": ids.iloc[a:b].astype("Int64"), "n_shingles": np.diff(first), "node": set_hashes(values, first),
+                    "doc_id": ids.iloc[a:b].astype("Int64"), "text_key": keys.iloc[a:b].astype("Int64"), "n_shingles": np.diff(first), "node": set_hashes(values, first),
                     "part": None, "cells": None,
                 })
         blank = [None] * SKETCH_PARTS
         yield pd.DataFrame({
-            "doc_id": blank, "n_shingles": blank, "node": blank, "part": range(SKETCH_PARTS),
+            "doc_id": blank, "text_key": blank, "n_shingles": blank, "node": blank, "part": range(SKETCH_PARTS),
             "cells": [zlib.compress(c.tobytes(), 1) for c in np.split(counts, SKETCH_PARTS)],
-        }).astype({"doc_id": "Int64", "n_shingles": "Int64", "node": "Int64"})
+        }).astype({"doc_id": "Int64", "text_key": "Int64", "n_shingles": "Int64", "node": "Int64"})
 
-    return docs.select("doc_id", "text").mapInPandas(
-        read, "doc_id long, n_shingles long, node long, part int, cells binary"
+    return docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text").mapInPandas(
+        read, "doc_id long, text_key long, n_shingles long, node long, part int, cells binary"
     )
 
 
@@ -364,15 +364,15 @@ def block_links(docs: DataFrame, members: DataFrame, classes, n_tasks: int, perc
     return tiled.groupBy("task").applyInPandas(join, "a long, b long")
 
 
-def ngram_jaccard_join(docs: DataFrame, percent: int = 80) -> DataFrame:
-    """(doc_id, n_shingles, component_id) for each row of ``docs`` (doc_id, text; other columns are ignored)."""
+def grouped_texts(docs: DataFrame, percent: int = 80) -> DataFrame:
+    """(doc_id, text_key, n_shingles, component_id) for each row of ``docs``; text_key is the 64-bit hash of the row's text."""
     docs = docs.select("doc_id", "text")
     bits = sketch_bits(docs)
     both = stored(with_sets(docs, bits), "sets")
-    rows = both.where("part IS NULL").select("doc_id", "n_shingles", "node")
+    rows = both.where("part IS NULL").select("doc_id", "text_key", "n_shingles", "node")
     nodes = rows.where("node <> 0 AND doc_id IS NOT NULL").groupBy("node").agg(
         F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"))
-    classes = docs.sparkSession.sparkContext.broadcast(rarity(both.where("part IS NOT NULL").select("part", "cells"), bits))
+    classes = shared(docs.sparkSession, "rarity", rarity(both.where("part IS NOT NULL").select("part", "cells"), bits))
     total = rows.agg(F.sum("n_shingles")).first()[0] or 0
 
     entries = prefix_entries(docs.where("doc_id IS NOT NULL"), classes, 1 + total // SHINGLES_PER_BUCKET, percent)
@@ -387,5 +387,20 @@ def ngram_jaccard_join(docs: DataFrame, percent: int = 80) -> DataFrame:
     linked = roots.join(smallest, "root").select("node", F.col("component_id").alias("linked"))
     own = nodes.select("node", F.col("doc_id").alias("least"))
     return rows.join(own, "node", "left").join(linked, "node", "left").select(
-        "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("linked", "least", "doc_id")).alias("component_id")
+        "doc_id", "text_key", "n_shingles",
+        F.when(F.col("doc_id").isNotNull(), F.coalesce("linked", "least", "doc_id")).alias("component_id")
     )
+
+
+def ngram_jaccard_join(docs: DataFrame, percent: int = 80) -> DataFrame:
+    """(doc_id, n_shingles, component_id) for each row of ``docs`` (doc_id, text; other columns are ignored)."""
+    return grouped_texts(docs, percent).drop("text_key")
+
+
+def representatives(docs: DataFrame, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` without those whose text is linked to one of a smaller doc_id.
+
+    Rows are told apart by doc_id and text, so an id keeps its texts that no earlier one is like.
+    """
+    gone = grouped_texts(docs, percent).where("component_id <> doc_id").select("doc_id", "text_key").distinct()
+    return docs.join(gone, (docs.doc_id == gone.doc_id) & (F.xxhash64(docs.text) == gone.text_key), "left_anti")

@@ -7,8 +7,11 @@ more are the compact windows: about two per WIDTH tokens, and every subsequence
 length lies in exactly one. Texts that share a passage share the min-hash of the passage
 under most hash functions, so
 
-1. windows of ``HASHES`` functions are gathered by hash (packed, map-side); in each group
-   every text is linked to the one with the smallest doc_id, never all pairs;
+1. windows of ``HASHES`` functions are gathered by hash (packed, map-side). A window carries
+   the min-hashes of the ``BESIDE`` tokens left and right of its token too. In each group, and
+   for each such min-hash among those of the group that have it too, a text is linked to the
+   one with the smallest doc_id, never to all: so an earlier text that only has some words of
+   a passage does not hide the one that has it whole;
 2. per text and earlier text the linked windows of the functions are joined as intervals:
    runs that at least ``ENOUGH`` functions cover are candidates;
 3. candidates are verified on the tokens themselves: aligned with the earlier passage, the
@@ -44,7 +47,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 WORDS = 50
 WIDTH = WORDS - SHINGLE + 1
 HASHES = 6
-ENOUGH = 4
+ENOUGH = 2
+BESIDE = 28  # tokens on each side of a window's token whose min-hashes go with it; two of them are half a passage
+SIDES = 2  # functions on each side
 PERCENT = 80
 CHARS_PER_BUCKET = 6_000_000
 REQUESTS_PER_ROW = 500
@@ -106,6 +111,27 @@ def compact_windows(tokens: Tokens, function: int, width: int = WIDTH):
     return hashes[place[wide]], place[wide], (place - left)[wide], (right - place)[wide]
 
 
+def beside(tokens: Tokens, place: np.ndarray) -> dict[str, np.ndarray]:
+    """Min-hashes of the BESIDE tokens that end and begin at each place, 0 where the text has fewer.
+
+    Inside a group 15 bits tell most of them apart; what meets by chance is verified away.
+    """
+    out = {}
+    for f in range(SIDES):
+        hashes = mix(tokens.values, 200 + f) | np.uint64(1)
+        least = sliding(hashes, BESIDE, np.minimum) if len(hashes) >= BESIDE else hashes[:0]
+        for side, start in (("l", place - BESIDE + 1), ("r", place)):
+            text = tokens.text[place] if len(place) else place
+            inside = (start >= tokens.first[text]) & (start + BESIDE <= tokens.first[text + 1])
+            value = np.zeros(len(place), np.uint16)
+            value[inside] = (least[start[inside]] >> np.uint64(48)).astype(np.uint16) | np.uint16(1)
+            out[f"{side}{f}"] = value
+    return out
+
+
+NEAR = [f"{side}{f}" for f in range(SIDES) for side in "lr"]
+
+
 def window_entries(docs: DataFrame, n_buckets: int) -> DataFrame:
     """Compact windows of all texts (doc_id, node, text), packed by bucket of their hash."""
 
@@ -123,19 +149,21 @@ def window_entries(docs: DataFrame, n_buckets: int) -> DataFrame:
                 yield pack((mix(value, 5) % np.uint64(n_buckets)).astype(np.int32), {
                     "value": (value >> np.uint64(32)).astype(np.uint32), "node": nodes[text], "doc": ids[text], "function": function,
                     "place": (place - tokens.first[text]).astype(np.int32), "left": left.astype(np.int32), "right": right.astype(np.int32),
+                    **beside(tokens, place),
                 })
 
+    near = ", ".join(f"{c} binary" for c in NEAR)
     return docs.mapInPandas(
-        read, "bucket int, value binary, node binary, doc binary, function binary, place binary, left binary, right binary"
+        read, f"bucket int, value binary, node binary, doc binary, function binary, place binary, left binary, right binary, {near}"
     )
 
 
 def linked_windows(entries: DataFrame, n_buckets: int) -> DataFrame:
-    """Windows linked to those of the text with the smallest doc_id, packed by bucket of the later text."""
+    """Windows linked to those of the texts with the smallest doc_ids, packed by bucket of the later text."""
 
     def meet(rows: pd.DataFrame) -> pd.DataFrame:
-        value, node, doc, function, place, left, right = unpack(
-            rows, value="u4", node="i8", doc="i8", function="u1", place="i4", left="i4", right="i4")
+        value, node, doc, function, place, left, right, *near = unpack(
+            rows, value="u4", node="i8", doc="i8", function="u1", place="i4", left="i4", right="i4", **dict.fromkeys(NEAR, "u2"))
         # Of equal texts the smallest doc_id stands for all.
         names, of = np.unique(node, return_inverse=True)
         least = np.full(len(names), np.iinfo(np.int64).max)
@@ -144,12 +172,25 @@ def linked_windows(entries: DataFrame, n_buckets: int) -> DataFrame:
         order = order[np.lexsort((place[order], node[order], doc[order], value[order]))]
         value, node, doc, function, place, left, right = (x[order] for x in (value, node, doc, function, place, left, right))
         start = starts_of(value)
-        head = np.repeat(start, np.diff(np.r_[start, len(value)]))
-        left, right = np.minimum(left, left[head]), np.minimum(right, right[head])
-        keep = np.flatnonzero((node != node[head]) & (left + right + 1 >= WIDTH))
-        return pack((mix(node[keep].view(np.uint64), 6) % np.uint64(n_buckets)).astype(np.int32), {
-            "node": node[keep], "earlier": node[head[keep]], "function": function[keep], "place": place[keep],
-            "left": left[keep], "right": right[keep], "shift": place[head[keep]] - place[keep],
+        heads = [np.repeat(start, np.diff(np.r_[start, len(value)]))]
+        for side in near:
+            side = side[order]
+            by = np.lexsort((side, value))  # stable: the first of those alike has the smallest doc_id
+            start = starts_of(value[by], side[by])
+            head = np.empty(len(by), np.int64)
+            head[by] = np.repeat(by[start], np.diff(np.r_[start, len(by)]))
+            heads.append(np.where(side > 0, head, heads[0]))
+        at, to = [], []
+        for k, head in enumerate(heads):
+            new = (node != node[head]) & (np.minimum(left, left[head]) + np.minimum(right, right[head]) + 1 >= WIDTH)
+            for other in heads[:k]:
+                new &= head != other
+            at.append(np.flatnonzero(new))
+            to.append(head[at[-1]])
+        at, to = np.concatenate(at), np.concatenate(to)
+        return pack((mix(node[at].view(np.uint64), 6) % np.uint64(n_buckets)).astype(np.int32), {
+            "node": node[at], "earlier": node[to], "function": function[at], "place": place[at],
+            "left": np.minimum(left[at], left[to]), "right": np.minimum(right[at], right[to]), "shift": place[to] - place[at],
         })
 
     return entries.groupBy("bucket").applyInPandas(
@@ -426,9 +467,9 @@ def passage_dedup(docs: DataFrame) -> DataFrame:
     exact = stored(exact_runs(exact_entries(keyed, 2 * n_buckets)), "exact")
     # Only texts that are quoted, that quote, or that have copies take part in a shuffle.
     node = F.xxhash64("text")
-    quoted = sieve(runs.select(F.col("earlier").alias("node")).distinct())
+    quoted = sieve(runs.select(F.col("earlier").alias("node")).distinct(), "quoted")
     tokens = earlier_tokens(compressed(docs.where(F.col("text").isNotNull() & quoted(node))), first, runs)
-    touched = sieve(runs.select("node").union(exact.select("node")).union(first.where("texts > 1").select("node")).distinct())
+    touched = sieve(runs.select("node").union(exact.select("node")).union(first.where("texts > 1").select("node")).distinct(), "touched")
     concerned = F.coalesce(F.col("text").isNotNull() & touched(node), F.lit(False))
     same = docs.where(~concerned)
     lang, source = (F.col(c) if c in docs.columns else F.lit(None).cast("string").alias(c) for c in ("lang", "source"))

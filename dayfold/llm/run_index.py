@@ -354,10 +354,10 @@ def run_index_dedup(docs: DataFrame) -> DataFrame:
     routed = stored(routed, "routes")
     # Only texts with shared anchors, marks or copies take part in a shuffle.
     node = F.xxhash64("text")
-    shared = sieve(routed)
+    shared = sieve(routed, "routed")
     bodies = compressed(docs.where(F.col("text").isNotNull() & shared(node)))
     marked = stored(marks(pieces(bodies, first, routed, 1 + chars // BYTES_PER_BUCKET)), "marks")
-    touched = sieve(marked.select("node").union(first.where("texts > 1").select("node")).distinct())
+    touched = sieve(marked.select("node").union(first.where("texts > 1").select("node")).distinct(), "marked")
     concerned = F.coalesce(F.col("text").isNotNull() & touched(node), F.lit(False))
     text = F.coalesce("text", F.lit(""))
     whole = docs.where(~concerned).select(

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dayfold.llm.arrays import _LOWER, as_bytes, slices, span_hashes, word_spans
-from dayfold.llm.common import starts_of, stored
+from dayfold.llm.common import shared, starts_of, stored
 
 TRAIN_ROWS = 20_000
 COARSE = 1 << 18
@@ -207,7 +207,7 @@ def train(docs: DataFrame, labels: DataFrame, eligible) -> Machine:
 
 def scored(docs: DataFrame, machine: Machine) -> DataFrame:
     """``docs`` rows as (doc_id, score)."""
-    model = docs.sparkSession.sparkContext.broadcast(machine)
+    model = shared(docs.sparkSession, "toxicity", machine)
 
     def read(frames):
         for frame in frames:
@@ -220,7 +220,7 @@ def scored(docs: DataFrame, machine: Machine) -> DataFrame:
 
 def kept(docs: DataFrame, machine: Machine) -> DataFrame:
     """The rows of ``docs``, all columns, that score below THRESHOLD. Nothing is shuffled."""
-    model = docs.sparkSession.sparkContext.broadcast(machine)
+    model = shared(docs.sparkSession, "toxicity", machine)
 
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
