@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dayfold import schemas
-from dayfold.functions import dates, variants
+from dayfold.functions import dates, text, variants
 from dayfold.sources import codebook as books
 from dayfold.sources import documents
 
@@ -82,7 +82,7 @@ def _raw_value(doc: Column, path: str, kind: str) -> Column:
     return variants.as_double(doc, path, F.col("suffixed"))
 
 
-def read_payload(docs: DataFrame, payload: Payload, text: str = "value") -> DataFrame:
+def read_payload(docs: DataFrame, payload: Payload, value: str = "value") -> DataFrame:
     """Adds one column per payload field, and ``access_failure``.
 
     A good document is parsed once and read once per field. What went wrong is
@@ -90,18 +90,63 @@ def read_payload(docs: DataFrame, payload: Payload, text: str = "value") -> Data
     """
     doc = F.col("doc")
     parsed = docs.withColumns({
-        "doc": variants.parse(F.col(text)), "suffixed": variants.has_suffixed_number(F.col(text))
+        "doc": variants.parse(F.col(value)), "suffixed": variants.has_suffixed_number(F.col(value))
     })
     raw = parsed.withColumns(
         {name: _raw_value(doc, payload.path(key), kind) for name, (key, kind) in payload.fields.items()}
     )
     lacking = reduce(Column.__or__, [F.col(name).isNull() for name in payload.fields])
     judged = raw.withColumn("access_failure", F.when(lacking, _access_failure(doc, payload)))
+    if payload.arrays:
+        judged = _later_days(judged, payload)
     days = {name: dates.valid_day(F.col(name)) for name, (_, kind) in payload.fields.items() if kind == "day"}
     codes = {name: _shown_code(F.col(name)) for name, (_, kind) in payload.fields.items() if kind == "code"}
     return judged.withColumns(days | codes).drop("doc", "suffixed")
 
 
+def _later_days(docs: DataFrame, payload: Payload) -> DataFrame:
+    """Adds the days after the first of a text that holds several, and what is wrong with them.
+
+    ``later_days`` has the fields of each day and its position in the arrays, null for a text
+    of one day, which is not looked at further. ``later_failure`` names an array of another
+    length than the days', else the first value of a later day that cannot be used.
+    """
+    doc = F.col("doc")
+    several = variants.at(doc, payload.path(payload.fields["date"][0]).replace("[0]", "[1]")).isNotNull()
+    arrays = {name: F.try_variant_get(doc, f"$.{payload.container}.{key}", "array<variant>") for name, (key, _) in payload.fields.items()}
+    opened = docs.withColumn("arrays", F.when(several, F.struct(*[a.alias(name) for name, a in arrays.items()])))
+    n = F.size("arrays.date")
+
+    def day(position: Column) -> Column:
+        fields = []
+        for name, (_, kind) in payload.fields.items():
+            value = _raw_value(F.get(F.col(f"arrays.{name}"), position), "$", kind)
+            value = dates.valid_day(value) if kind == "day" else _shown_code(value) if kind == "code" else value
+            fields.append(value.alias(name))
+        return F.struct(position.alias("position"), *fields)
+
+    def value_failure(one: Column) -> Column:
+        place = F.concat(F.lit(" (day "), (one["position"] + 1).cast("string"), F.lit(")"))
+        steps = []
+        for name, (key, kind) in payload.fields.items():
+            steps.append(F.when(one[name].isNull(), F.concat(F.lit(f"no usable value in {key}"), place)))
+            if kind.startswith("decimal"):
+                steps.append(F.when(one[name].try_cast(kind).isNull(), F.concat(F.lit(f"{name} does not fit {kind}"), place)))
+            if kind == "code":
+                limit = schemas.WEATHER_STAGING.max_length[name]
+                steps.append(F.when(F.length(one[name]) > limit, F.concat(F.lit(f"{name} is longer than {limit}"), place)))
+        return F.coalesce(*steps)
+
+    def length_failure(name: str, key: str) -> Column:
+        size = F.coalesce(F.size(f"arrays.{name}"), F.lit(0))
+        return F.when(size != n, F.concat(F.lit(f"{key} has "), size.cast("string"), F.lit(" values for "), n.cast("string"), F.lit(" days")))
+
+    lengths = F.coalesce(*[length_failure(name, key) for name, (key, _) in payload.fields.items()])
+    found = F.filter(F.transform("later_days", value_failure), lambda reason: reason.isNotNull())
+    opened = opened.withColumn("later_days", F.when(several, F.transform(F.sequence(F.lit(1), n - 1), day)))
+    return opened.withColumn("later_failure", F.when(several, F.coalesce(lengths, F.get(found, F.lit(0))))).drop("arrays")
+
+
 def _shown_code(code: Column) -> Column:
     """A JSON null or boolean reads as it is printed: None, True, False."""
     shown = F.when(code.isin("true", "false"), F.initcap(code)).otherwise(code)
@@ -156,9 +201,10 @@ def judge(docs: DataFrame, payload: Payload, spec: schemas.TableSpec) -> DataFra
     reason = (
         F.when(~F.col("valid_name"), F.lit("bad file name"))
         .when(F.col("country_id").isNull(), F.lit("unknown country"))
-        .otherwise(F.coalesce(F.col("access_failure"), _value_failure(payload, spec)))
+        .otherwise(F.coalesce(
+            F.col("access_failure"), _value_failure(payload, spec), *([F.col("later_failure")] if payload.arrays else [])))
     )
-    judged = docs.withColumn("reason", reason).drop("access_failure")
+    judged = docs.withColumn("reason", reason).drop("access_failure", "later_failure")
     return judged.withColumns({
         "status": F.when(F.col("reason").isNull(), PROCESSED).otherwise(ERROR),
         # A missing key is counted as one row, any other failure as none.
@@ -179,11 +225,27 @@ def judge_documents(docs: DataFrame, source: str, countries: DataFrame, codebook
 
 
 def staged(judged: DataFrame, spec: schemas.TableSpec, extra: list[str] | None = None) -> DataFrame:
-    """The typed staging rows of the processed documents."""
+    """The typed staging rows of the processed documents, for the first (mostly only) day of each."""
     good = judged.where(F.col("status") == PROCESSED)
     return good.select(*[F.col(f.name).cast(f.dataType) for f in spec.schema.fields], *(extra or []))
 
 
+def staged_later(judged: DataFrame, spec: schemas.TableSpec, codebook: DataFrame, extra: list[str] | None = None) -> DataFrame:
+    """The staging rows of the other days of documents that hold several."""
+    several = judged.where((F.col("status") == PROCESSED) & F.col("later_days").isNotNull())
+    days = several.select("country_id", F.explode("later_days").alias("day"), *(extra or []))
+    rows = books.describe(days.select("country_id", "day.*", *(extra or [])), codebook)
+    return rows.select(*[F.col(f.name).cast(f.dataType) for f in spec.schema.fields], *(extra or []))
+
+
+def with_ledger_month(docs: DataFrame) -> DataFrame:
+    """Documents with the month of the day in their name, null if the name is not valid: what the ledger is partitioned by."""
+    code, day = text.file_name_tokens(F.col("file_name"))
+    day = dates.valid_day(day)
+    month = F.when(F.coalesce(code != "", F.lit(False)), (F.year(day) * 100 + F.month(day)).cast("int"))
+    return docs.withColumn(documents.LEDGER_MONTH, month)
+
+
 def target_folder(source: Column, status: Column) -> Column:
     return F.concat(F.lit("data/"), status, F.lit("/"), documents.folder_of(source), F.lit("/"))
 
@@ -203,6 +265,8 @@ def ledger_rows(judged: DataFrame) -> DataFrame:
         "modified",
         "source",
         F.when(F.col("status") == PROCESSED, F.col("date")).cast("date").alias("data_day"),
+        *([F.when(F.col("status") == PROCESSED, F.transform("later_days", lambda d: d["date"])).alias("later_days")]
+          if "later_days" in judged.columns else [F.lit(None).cast("array<date>").alias("later_days")]),
     )
 
 

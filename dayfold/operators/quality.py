@@ -7,6 +7,7 @@ as one row per task.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -74,6 +75,28 @@ def check_foreign_key(child: DataFrame, column: str, parent: DataFrame, parent_c
     return held.join(parent.select(F.col(parent_column).alias(column)), column, "left_anti")
 
 
+def row_rules(spec: TableSpec, columns: list[str]) -> Rules:
+    """The rules of a table that one row can break, for the columns at hand (stamps are set on writing)."""
+    return (
+        not_null_rules([c for c in spec.required if c in columns])
+        | length_rules({c: n for c, n in spec.max_length.items() if c in columns})
+        | decimal_rules({c: t for c, t in spec.decimals.items() if c in columns})
+    )
+
+
+def orphan_flags(spec: TableSpec, read: Callable[[str], DataFrame]) -> dict[str, tuple[Column, DataFrame, list[str]]]:
+    """Per foreign key: its rule, a condition that holds where a row breaks it, and the parent keys to join to the rows for that.
+
+    A parent has one row per key, so rows do not multiply; a null key is allowed.
+    """
+    flags = {}
+    for key in spec.foreign_keys:
+        known = f"_known_{key.column}"
+        parent = read(key.parent).select(F.col(key.parent_column).alias(key.column), F.lit(True).alias(known))
+        flags[f"{key.column} is not in {key.parent}"] = (F.col(key.column).isNotNull() & F.col(known).isNull(), parent, [key.column])
+    return flags
+
+
 def _total(found: DataFrame, rule: str) -> DataFrame:
     """All rows of a key check under one rule; no row if there are none."""
     return found.groupBy(F.lit(rule).alias("rule")).agg(F.sum("row_count").alias("count"))

@@ -7,13 +7,13 @@ not matched: insert; rows without a source row stay.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from dayfold import schemas
+from dayfold.operators import quality
 from dayfold.sources.warehouse import Warehouse
 
 HASH = "hash_value"
@@ -115,9 +115,13 @@ def _with_updates(target: DataFrame, updates: DataFrame, keys: tuple[str, ...],
     return target.join(new, list(keys), "left").select(*shown)
 
 
+class BrokenRules(ValueError):
+    """Rows break declared rules of their table; nothing of it was written."""
+
+
 def upsert(
     warehouse: Warehouse, table: str, source: DataFrame, stamp: Column | None = None,
-    order: tuple[str, ...] | None = None, verify: Callable[[DataFrame], None] | None = None,
+    order: tuple[str, ...] | None = None, verify: bool = False,
 ) -> Counter:
     """Merges a source into a table of the warehouse; returns rows per action.
 
@@ -125,29 +129,62 @@ def upsert(
     without a change nothing is written. Several source rows of a key are
     reduced to the last one by ``order`` (without one, by their hash), and the
     others counted as dropped. Rows without a part of their key cannot be
-    matched again, so they are refused and counted. ``verify`` sees the rows,
-    one per key, before anything is written, and may raise.
+    matched again, so they are refused and counted. With ``verify``, rows that
+    break a declared rule of the table raise ``BrokenRules`` before anything of
+    it is written.
+
+    What is counted (rows left out, rows per action, broken rules, months) is
+    observed while rows are written that have to be written anyway; no job
+    runs for a number alone.
     """
     spec = schemas.TABLES[table]
     keyed = reduce(Column.__and__, [F.col(k).isNotNull() for k in spec.primary_key])
     source = latest_per_key(source, spec.primary_key, order or (HASH,))
+    rules = quality.row_rules(spec, source.columns) if verify else {}
+    orphans = quality.orphan_flags(spec, warehouse.read) if verify else {}
+    for name, (flag, parent, on) in orphans.items():
+        source = source.join(parent, on, "left")
+        rules[name] = flag
+    seen = Observation()
+    metrics = {
+        "dropped": F.sum(F.when(keyed, F.col("dropped"))), "refused": F.sum(F.when(~keyed, F.col("dropped") + 1)),
+        **({"parts": F.collect_set(F.when(keyed, F.col(spec.partition_by))),
+            "no_part": F.count_if(keyed & F.col(spec.partition_by).isNull())} if spec.partition_by else {}),
+        **{f"rule{i}": F.count_if(keyed & broken) for i, broken in enumerate(rules.values())},
+    }
+    watched = source.observe(seen, *[m.alias(k) for k, m in metrics.items()])
+    shown = [c for c in source.columns if not c.startswith("_known_")]
     with warehouse.scratch(table) as scratch:
         # Staged first: its plan runs once, and its size is then known to the optimizer.
-        staged = scratch.stage(source, "source")
-        if verify is not None:
-            verify(staged.where(keyed).drop("dropped"))
-        write = _upsert_partitions if spec.partition_by else _upsert_whole
-        counts = write(warehouse, spec, staged.where(keyed), stamp, scratch)
-        left_out = staged.agg(
-            F.sum(F.when(keyed, F.col("dropped"))).alias("dropped"), F.sum(F.when(~keyed, F.col("dropped") + 1)).alias("refused")
-        ).first()
-        if left_out["dropped"] or order:
-            counts["dropped"] = left_out["dropped"] or 0
-        if left_out["refused"]:
-            counts["refused"] = left_out["refused"]
+        staged = scratch.stage(watched.select(*shown), "source")
+        found = seen.get
+        broken = [(rule, found[f"rule{i}"]) for i, rule in enumerate(rules) if found[f"rule{i}"]]
+        if broken:
+            raise BrokenRules(f"{table}: {'; '.join(map(str, broken))}")
+        if spec.partition_by:
+            # A month list: bounded by the calendar, so it may pass the driver.
+            parts = [*found["parts"], *([None] if found["no_part"] else [])]
+            counts = _upsert_partitions(warehouse, spec, staged.where(keyed), stamp, scratch, parts)
+        else:
+            counts = _upsert_whole(warehouse, spec, staged.where(keyed), stamp, scratch)
+        if found["dropped"] or order:
+            counts["dropped"] = found["dropped"] or 0
+        if found["refused"]:
+            counts["refused"] = found["refused"]
     return counts
 
 
+ACTIONS = (INSERT, UPDATE, UNCHANGED, KEPT)
+
+
+def _observed_actions(seen: Observation) -> Counter:
+    return Counter({a: seen.get[a] for a in ACTIONS if seen.get[a]})
+
+
+def _count_actions(rows: DataFrame, seen: Observation, *more: Column) -> DataFrame:
+    return rows.observe(seen, *[F.count_if(F.col("action") == a).alias(a) for a in ACTIONS], *more)
+
+
 def in_parts(column: str, values: list) -> Column:
     """Whether a partition column has one of the values; null is a value like any other."""
     known = F.col(column).isin([v for v in values if v is not None])
@@ -156,15 +193,15 @@ def in_parts(column: str, values: list) -> Column:
 
 def _upsert_whole(warehouse: Warehouse, spec, source: DataFrame, stamp, scratch) -> Counter:
     """Rewrites the table: one join, staged with its actions."""
-    target = warehouse.read(spec.name)
-    result = scratch.stage(merge_result(target, source, spec.primary_key, stamp), "result")
-    counts = Counter({row["action"]: row["n"] for row in merge_counts(result).collect()})
+    target, seen = warehouse.read(spec.name), Observation()
+    result = scratch.stage(_count_actions(merge_result(target, source, spec.primary_key, stamp), seen), "result")
+    counts = _observed_actions(seen)
     if counts[INSERT] or counts[UPDATE]:
         warehouse.overwrite(spec.name, result.drop("action"))
     return counts
 
 
-def _upsert_partitions(warehouse: Warehouse, spec, source: DataFrame, stamp, scratch) -> Counter:
+def _upsert_partitions(warehouse: Warehouse, spec, source: DataFrame, stamp, scratch, months: list) -> Counter:
     """Rewrites the partitions with an update, and appends to those with inserts only.
 
     The tags hold keys and actions only, so that wide values are not written a
@@ -172,18 +209,19 @@ def _upsert_partitions(warehouse: Warehouse, spec, source: DataFrame, stamp, scr
     finds what is there unchanged.
     """
     keys, part = list(spec.primary_key), spec.partition_by
-    # A month list: bounded by the calendar, so it may pass the driver.
-    months = [row[0] for row in source.select(part).distinct().collect()]
     target = warehouse.read(spec.name).where(in_parts(part, months))
     narrow = source.select(*keys, part, HASH)
-    tags = scratch.stage(tag_changes(target, narrow, spec.primary_key).drop(HASH), "tags")
-
-    rows = tags.groupBy("action", part).agg(F.count("*").alias("n")).collect()
-    counts = Counter()
-    for row in rows:
-        counts[row["action"]] += row["n"]
-    grown = {row[part] for row in rows if row["action"] == INSERT}
-    rewritten = {row[part] for row in rows if row["action"] == UPDATE}
+    seen = Observation()
+
+    def months_of(action: str) -> list[Column]:
+        mine = F.col("action") == action
+        return [F.collect_set(F.when(mine, F.col(part))).alias(f"{action}_parts"), F.count_if(mine & F.col(part).isNull()).alias(f"{action}_no_part")]
+
+    tagged = tag_changes(target, narrow, spec.primary_key).drop(HASH)
+    tags = scratch.stage(_count_actions(tagged, seen, *months_of(INSERT), *months_of(UPDATE)), "tags")
+    counts = _observed_actions(seen)
+    grown, rewritten = (
+        {*seen.get[f"{a}_parts"], *([None] if seen.get[f"{a}_no_part"] else [])} for a in (INSERT, UPDATE))
 
     def changed(action: str, parts: set) -> DataFrame:
         rows = source.where(in_parts(part, list(parts)))

@@ -5,21 +5,23 @@ from __future__ import annotations
 from collections import Counter
 from dataclasses import dataclass
 from datetime import date, datetime
-from functools import partial
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from dayfold import schemas
 from dayfold.functions import dates
 from dayfold.operators import ledgers, outcomes, quality, responses, upsert
 from dayfold.plans import star
 from dayfold.sources import documents, parameters
+from dayfold.sources.event_log import EventLog
 from dayfold.sources.warehouse import Scratch, Warehouse
 
 CALL_EVENTS = "api_call_events"
 IMPORT_EVENTS = "import_events"
+# What was done with a landed text: its path is new, its text replaces an older one, it is older than what is there.
+OLDER = "older"
 REFUSED_RESPONSES = "refused_responses"
 STEPS = ("extract", "transform", "load")
 
@@ -29,12 +31,15 @@ def stamp_of(run_time: datetime) -> Column:
     return F.lit(run_time.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
-def _events(warehouse: Warehouse, events: str, spec: schemas.TableSpec) -> DataFrame:
-    """The events of a ledger: its columns and a sequence number."""
-    schema = T.StructType([*spec.schema.fields, T.StructField("seq", T.IntegerType())])
-    if warehouse.exists(events):
-        return warehouse.spark.read.schema(schema).parquet(warehouse.path(events))
-    return warehouse.spark.createDataFrame([], schema)
+def call_log(warehouse: Warehouse) -> EventLog:
+    """The events of the calls."""
+    return EventLog(warehouse, CALL_EVENTS, schemas.API_IMPORT_LOG, ("id", "country_id", "api_id", "start_time"))
+
+
+def file_log(warehouse: Warehouse) -> EventLog:
+    """The events of the imported files."""
+    record = ("id", "batch_date", "country_id", "import_directory_name", "import_file_name")
+    return EventLog(warehouse, IMPORT_EVENTS, schemas.IMPORT_LOG, record)
 
 
 def start_date(spark, day: str | None = None) -> date:
@@ -51,12 +56,20 @@ def add_countries(warehouse: Warehouse, candidates: DataFrame) -> DataFrame:
 
 
 def plan(warehouse: Warehouse, first: date, last: date) -> DataFrame:
-    """The requests to make for a range of days."""
+    """The requests to make for a range of days, whether made before or not."""
     return parameters.plan_requests(
         warehouse.read("country"), warehouse.read("api_info"), F.lit(first).cast("date"), F.lit(last).cast("date")
     )
 
 
+def plan_missing(warehouse: Warehouse, first: date, last: date) -> DataFrame:
+    """The requests for the days of a range that no processed document holds yet, one per gap."""
+    days = data_days(handled(warehouse)).select("source", "country_id", "data_day")
+    return parameters.plan_gaps(
+        warehouse.read("country"), warehouse.read("api_info"), days, F.lit(first).cast("date"), F.lit(last).cast("date")
+    )
+
+
 def land(warehouse: Warehouse, envelopes: DataFrame, run_time: datetime) -> Counter:
     """Classifies responses, records the calls and imports, lands the documents.
 
@@ -84,14 +97,13 @@ def land(warehouse: Warehouse, envelopes: DataFrame, run_time: datetime) -> Coun
         n_refused = refused.count()
         if n_refused:
             warehouse.append(REFUSED_RESPONSES, refused)
-        warehouse.append(CALL_EVENTS, ledgers.call_events(calls))
+        call_log(warehouse).append(ledgers.call_events(calls))
 
         answered = calls.where(F.col("code_response").isNotNull())
         today = F.lit(run_time.date()).cast("date")
-        # Created dates only stand in completed events, so the events do as history.
-        history = _events(warehouse, IMPORT_EVENTS, schemas.IMPORT_LOG)
-        events = ledgers.import_events(answered, history, today)
-        warehouse.append(IMPORT_EVENTS, scratch.stage(events, "import-events"))
+        # A state has the earliest created date already, so states do as history.
+        files = file_log(warehouse)
+        files.append(ledgers.import_events(answered, files.state(), today))
 
         folder = F.concat(F.lit("data/raw/"), documents.folder_of(F.col("source")), F.lit("/"))
         docs = answered.select(
@@ -105,28 +117,57 @@ def land(warehouse: Warehouse, envelopes: DataFrame, run_time: datetime) -> Coun
 
 
 def land_raw_docs(warehouse: Warehouse, docs: DataFrame) -> Counter:
-    """Keeps documents under their name; the same name again replaces the text.
+    """Keeps documents under their name; of several texts of a name the last one counts.
 
-    Only the months of the new documents are rewritten, the others stay.
+    The landed table is only appended to: what is there is neither read nor rewritten, and a
+    reader finds the last text of a name by time, then hash, whenever it was landed. What is
+    new is found on paths, times and hashes. A text that its name has already is not landed
+    again, of several texts of a name in one call only the last is.
     """
     rows = documents.landed_rows(docs).withColumn(
         "month_id", (F.year("batch_date") * 100 + F.month("batch_date")).cast("int")
     )
-    return upsert.upsert(warehouse, schemas.LANDED.name, rows, order=("modified", "hash_value"))
+    version = F.struct(*documents.VERSION)
+    with warehouse.scratch("landing") as scratch:
+        keys = rows.groupBy("file_path").agg(
+            F.max(version).alias("best"), F.max_by("month_id", version).alias("month_id"), F.count("*").alias("n"))
+        keys = scratch.stage(keys, "keys")
+        months = [r[0] for r in keys.select("month_id").distinct().collect()]  # bounded by the calendar
+        known = documents.landed_versions(warehouse).where(upsert.in_parts("month_id", months))
+        known = known.join(keys.select("file_path"), "file_path", "left_semi").select("file_path", version.alias("version"))
+        last = known.groupBy("file_path").agg(F.max("version").alias("last"))
+        same = known.distinct().withColumnRenamed("version", "best").withColumn("there", F.lit(True))
+        action = (
+            F.when(F.col("last").isNull(), upsert.INSERT)
+            .when(F.col("there") | (F.col("last.hash_value") == F.col("best.hash_value")), upsert.UNCHANGED)
+            .when(F.col("best") > F.col("last"), upsert.UPDATE)
+            .otherwise(OLDER)
+        )
+        tags = keys.where("file_path IS NOT NULL").join(last, "file_path", "left").join(same, ["file_path", "best"], "left")
+        tags = scratch.stage(tags.select("file_path", "best.*", "n", action.alias("action")), "tags")
+        counts = Counter()
+        for row in tags.groupBy("action").agg(F.count("*").alias("keys"), F.sum("n").alias("n")).collect():
+            counts[row["action"]] += row["keys"]
+            counts["dropped"] += row["n"] - row["keys"]
+        refused = keys.where("file_path IS NULL").select("n").first()
+        if refused:
+            counts["refused"] = refused["n"]
+        if counts[upsert.UNCHANGED] or counts["dropped"] or refused:
+            new = tags.where(F.col("action") != upsert.UNCHANGED).select("file_path", *documents.VERSION)
+            rows = rows.join(new, ["file_path", *documents.VERSION], "left_semi")
+        if counts[upsert.INSERT] or counts[upsert.UPDATE] or counts[OLDER]:
+            warehouse.append_in_place(schemas.LANDED.name, rows.select(*schemas.LANDED.columns, "month_id"))
+        return Counter({k: n for k, n in counts.items() if n or k == "dropped"})
 
 
 def api_import_log(warehouse: Warehouse) -> DataFrame:
     """State of the calls."""
-    events = _events(warehouse, CALL_EVENTS, schemas.API_IMPORT_LOG)
-    record = ("id", "country_id", "api_id", "start_time")
-    return ledgers.current_state(events, record).select(*schemas.API_IMPORT_LOG.columns)
+    return call_log(warehouse).state().select(*schemas.API_IMPORT_LOG.columns)
 
 
 def import_log(warehouse: Warehouse) -> DataFrame:
     """State of the imported files."""
-    events = _events(warehouse, IMPORT_EVENTS, schemas.IMPORT_LOG)
-    record = ("id", "batch_date", "country_id", "import_directory_name", "import_file_name")
-    return ledgers.current_state(events, record).select(*schemas.IMPORT_LOG.columns)
+    return file_log(warehouse).state().select(*schemas.IMPORT_LOG.columns)
 
 
 @dataclass(frozen=True)
@@ -163,9 +204,12 @@ def transform_source(
     judged = outcomes.judge_documents(docs, source, warehouse.read("country"), codebook)
     keep = ["source", "file_path", "file_name", "modified", "batch_date", "status", "row_count", "reason", "value"]
     scratch = warehouse.scratch(f"transform-{source}")
-    judged = scratch.stage(judged.select(*keep, *spec.columns), "judged")
+    several = [c for c in judged.columns if c == "later_days"]
+    judged = scratch.stage(judged.select(*keep, *spec.columns, *several), "judged")
 
     rows = outcomes.staged(judged, spec, extra=list(upsert.PLACE))
+    if several:
+        rows = rows.unionByName(outcomes.staged_later(judged, spec, codebook, extra=list(upsert.PLACE)))
     latest = scratch.stage(upsert.latest_per_key(rows, spec.primary_key, upsert.PLACE), "latest")
     current = scratch.stage(_not_superseded(latest, handled(warehouse).where(F.col("source") == source)), "staging")
     warehouse.overwrite(spec.name, current.where("newest").select(*spec.columns))
@@ -181,13 +225,19 @@ def _not_superseded(rows: DataFrame, ledger: DataFrame) -> DataFrame:
     The ledger is reduced to the keys at hand before it is aggregated.
     """
     keys = rows.select("country_id", F.col("date").alias("data_day"))
-    known = ledger.where(F.col("data_day").isNotNull()).join(keys, ["country_id", "data_day"], "left_semi")
+    known = data_days(ledger).join(keys, ["country_id", "data_day"], "left_semi")
     place = F.struct(*upsert.PLACE)
     known = known.groupBy("country_id", F.col("data_day").alias("date")).agg(F.max(place).alias("known"))
     newest = F.col("known").isNull() | (place >= F.col("known"))
     return rows.join(known, ["country_id", "date"], "left").withColumn("newest", newest).drop("known")
 
 
+def data_days(ledger: DataFrame) -> DataFrame:
+    """The ledger with a row for every day that a processed document holds."""
+    held = F.concat(F.array("data_day"), F.coalesce("later_days", F.array().cast("array<date>")))
+    return ledger.where(F.col("data_day").isNotNull()).withColumn("data_day", F.explode(held)).drop("later_days")
+
+
 def record(warehouse: Warehouse, transformed: Transformed) -> None:
     """Documents to the ledger and to the area of their outcome; ends the run.
 
@@ -197,7 +247,9 @@ def record(warehouse: Warehouse, transformed: Transformed) -> None:
     judged = transformed.judged
     routed = outcomes.routed(judged)
     routed.write.mode("append").partitionBy("status", "source").parquet(warehouse.path(ROUTED))
-    warehouse.append(DOCUMENT_LEDGER, outcomes.ledger_rows(judged), "source")
+    rows = outcomes.with_ledger_month(outcomes.ledger_rows(judged).withColumnRenamed("processed_file_name", "file_name"))
+    rows = rows.withColumnRenamed("file_name", "processed_file_name").hint("rebalance", F.col(documents.LEDGER_MONTH))
+    warehouse.append(DOCUMENT_LEDGER, rows, ["source", documents.LEDGER_MONTH])
     transformed.scratch.close()
 
 
@@ -214,7 +266,8 @@ def routed_texts(warehouse: Warehouse) -> DataFrame:
 
 _LEDGER = (
     "id bigint, batch_date date, country_id bigint, processed_directory_name string, processed_file_name string, "
-    "row_count int, status string, reason string, file_path string, modified timestamp_ntz, source string, data_day date"
+    "row_count int, status string, reason string, file_path string, modified timestamp_ntz, data_day date, "
+    f"later_days array<date>, source string, {documents.LEDGER_MONTH} int"
 )
 
 
@@ -242,7 +295,7 @@ def document_ledger(warehouse: Warehouse) -> DataFrame:
     A repeated run appends the same rows again; they are folded here, by what
     they are and not by the hash in their id.
     """
-    return handled(warehouse).dropDuplicates(["file_path", "modified"])
+    return handled(warehouse).dropDuplicates(["file_path", "modified"]).drop(documents.LEDGER_MONTH)
 
 
 def transform_log(warehouse: Warehouse) -> DataFrame:
@@ -260,30 +313,37 @@ def transform(
     }
 
 
-def load(warehouse: Warehouse, run_time: datetime) -> dict[str, Counter]:
-    """Three dimensions, then two facts: a fact only refers to loaded dimensions."""
-    covid, weather = warehouse.read("covid_data_import"), warehouse.read("weather_data_import")
+def load(warehouse: Warehouse, run_time: datetime, sources: str = "wc") -> dict[str, Counter]:
+    """Three dimensions, then two facts: a fact only refers to loaded dimensions.
+
+    With one source, only its staging is read and only its tables are merged.
+    """
+    read = {source: warehouse.read(STAGING[source].name) for source in sources}
+    # The country and date dimensions need the keys of both sources: read once, written once.
+    pairs = reduce(DataFrame.union, [rows.select("country_id", "date") for rows in read.values()]).distinct()
     stamp = stamp_of(run_time)
     counts = {}
-    countries = star.used_countries(warehouse.read("country"), covid, weather)
-    counts["dim_country"] = upsert.upsert(warehouse, "dim_country", star.country_dimension(countries))
-    days = star.date_dimension(star.union_dates(covid, weather))
-    counts["dim_date"] = upsert.upsert(warehouse, "dim_date", days)
-    codes = star.code_dimension(weather)
-    counts["dim_weather_code"] = upsert.upsert(warehouse, "dim_weather_code", codes, order=("description",))
+    with warehouse.scratch("load") as scratch:
+        pairs = scratch.stage(pairs, "pairs")
+        countries = star.used_countries(warehouse.read("country"), pairs, pairs.limit(0))
+        counts["dim_country"] = upsert.upsert(warehouse, "dim_country", star.country_dimension(countries))
+        counts["dim_date"] = upsert.upsert(warehouse, "dim_date", star.date_dimension(pairs.select("date").distinct()))
+    if "w" in read:
+        codes = star.code_dimension(read["w"])
+        counts["dim_weather_code"] = upsert.upsert(warehouse, "dim_weather_code", codes, order=("description",))
 
     dim_country, dim_date = warehouse.read("dim_country"), warehouse.read("dim_date")
-    facts = {
-        "fact_covid_data": star.covid_fact(covid, dim_country, dim_date),
-        "fact_weather_data": star.weather_fact(weather, dim_country, dim_date),
-    }
+    facts = {}
+    if "c" in read:
+        facts["fact_covid_data"] = star.covid_fact(read["c"], dim_country, dim_date)
+    if "w" in read:
+        facts["fact_weather_data"] = star.weather_fact(read["w"], dim_country, dim_date)
     for table, rows in facts.items():
-        counts[table] = upsert.upsert(warehouse, table, rows, stamp, verify=partial(check_rows, warehouse, table))
+        counts[table] = upsert.upsert(warehouse, table, rows, stamp, verify=True)
     return counts
 
 
-class BrokenRules(ValueError):
-    """Rows break declared rules of their table; nothing of it was written."""
+BrokenRules = upsert.BrokenRules
 
 
 def check_rows(warehouse: Warehouse, table: str, rows: DataFrame) -> None:
@@ -334,20 +394,34 @@ def run(
         done["refused_countries"] = add_countries(warehouse, countries)
     if "extract" in steps:
         done["extract"] = land(warehouse, envelopes, run_time)
-    if "transform" in steps:
-        ledger = handled(warehouse)  # partitioned by source, and read for one source at a time
-        if first is not None and last is not None:
-            # Badly named documents have no day, and were handled all the same.
-            ledger = ledger.where(F.col("batch_date").between(first, last) | F.col("batch_date").isNull())
-        given = {
-            source: documents.scan_raw_docs(warehouse.spark, raw[source], source) if raw
-            else documents.landed_docs(warehouse, source, first, last)
-            for source in documents.SOURCES
-        }
-        new = {source: documents.unseen(docs, ledger.where(F.col("source") == source)) for source, docs in given.items()}
-        done["transform"] = transform(warehouse, new["w"], new["c"], codebook)
-    if "load" in steps:
-        done["load"] = load(warehouse, run_time)
-    for transformed in done.get("transform", {}).values():
-        record(warehouse, transformed)
+    with warehouse.scratch("run") as scratch:
+        if "transform" in steps:
+            new = {s: new_documents(warehouse, s, scratch, first, last, raw[s] if raw else None) for s in documents.SOURCES}
+            done["transform"] = transform(warehouse, new["w"], new["c"], codebook)
+        if "load" in steps:
+            done["load"] = load(warehouse, run_time)
+        for transformed in done.get("transform", {}).values():
+            record(warehouse, transformed)
     return done
+
+
+def new_documents(
+    warehouse: Warehouse, source: str, scratch: Scratch, first: date | None = None, last: date | None = None, folder: str | None = None
+) -> DataFrame:
+    """Documents of a source that no run has recorded, landed or below a folder.
+
+    They are looked up by path and time; texts are read for the new ones only (of a folder,
+    files are opened again, since a listing tells what is new).
+    """
+    ledger = handled(warehouse).where(F.col("source") == source)
+    if folder is None:
+        listed = documents.latest(documents.landed_versions(warehouse, source, first, last))
+    else:
+        listed = documents.list_raw_docs(warehouse.spark, folder, source)
+    # Staged, so that their number decides how the ledger is read.
+    listed = scratch.stage(outcomes.with_ledger_month(listed), f"listed-{source}")
+    new = documents.unseen(listed, ledger).drop(documents.LEDGER_MONTH)
+    if folder is None:
+        return documents.with_texts(warehouse, new, scratch, source, first, last, f"texts-{source}")
+    new = scratch.stage(new.select("file_path", "modified"), f"new-{source}")
+    return documents.scan_raw_docs(warehouse.spark, folder, source).join(new, ["file_path", "modified"], "left_semi")

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -35,6 +37,19 @@ def build_session(app_name: str = "dayfold", master: str | None = None, **conf:
     return builder.getOrCreate()
 
 
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Settings for what runs inside; what was set before comes back."""
+    before = {key: spark.conf.get(key, None) for key in values}
+    for key, value in values.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def scratch_dir(spark: SparkSession, purpose: str, default: str | None = None) -> str:
     """A new folder name below the shared checkpoint folder of the cluster.
 

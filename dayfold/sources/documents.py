@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from dayfold import schemas
 from dayfold.functions import text
+from dayfold.sources import raw_files
+from dayfold.sources.warehouse import Scratch, Warehouse, qualified
 
 # Source letter, folder name and the name in the api table.
 SOURCES = {
@@ -41,22 +43,46 @@ def file_name_of(source: Column, code: Column, day: Column) -> Column:
 _FILE = "path string, modificationTime timestamp, length bigint, content binary"
 
 
-def scan_raw_docs(spark: SparkSession, directory: str, source: str, stream: bool = False, **options: str) -> DataFrame:
-    """Every file below a directory, whole, one row per file, whatever its extension.
+def scan_raw_docs(spark: SparkSession, directory: str, source: str) -> DataFrame:
+    """Every file below a directory, whole, one row per file, whatever its name, extension or size.
 
     Read as bytes, so that a name such as ``x.gz`` does not make the reader
     unpack it; text that is not UTF-8 becomes null, like other unreadable text.
-    A file of zero bytes has no row in Spark's file sources: it is not seen.
     Fit for what a downloader drops. A history of billions of small files is
     first packed by ``land_raw_docs`` and then read from the landed table.
     """
-    reader = spark.readStream.schema(_FILE) if stream else spark.read
-    files = reader.format("binaryFile").options(recursiveFileLookup="true", **options).load(directory)
+    return _as_docs(_raw_files(spark, directory).load(), source)
+
+
+def list_raw_docs(spark: SparkSession, directory: str, source: str) -> DataFrame:
+    """The same files without their texts, which are not read."""
+    return _as_docs(_raw_files(spark, directory).option("content", "false").load(), source).drop("value")
+
+
+def stream_raw_docs(spark: SparkSession, directory: str, source: str, **options: str) -> DataFrame:
+    """New files below a directory as a stream.
+
+    Those that Spark's file source sees come from it, with its ``options`` (files per batch,
+    archiving); empty files and names that begin with ``_`` or ``.`` from ``raw_files``,
+    which may offer a file again.
+    """
+    seen = spark.readStream.schema(_FILE).format("binaryFile").options(recursiveFileLookup="true", **options).load(directory)
+    rest = _raw_files(spark, directory, stream=True).option("unseen", "true").load()
+    return _as_docs(seen.withColumnRenamed("modificationTime", "modified").unionByName(rest), source)
+
+
+def _raw_files(spark: SparkSession, directory: str, stream: bool = False):
+    spark.dataSource.register(raw_files.RawFiles)
+    reader = spark.readStream if stream else spark.read
+    return reader.format(raw_files.FORMAT).option("path", qualified(spark, directory))
+
+
+def _as_docs(files: DataFrame, source: str) -> DataFrame:
     return files.select(
         F.lit(source).alias("source"),
         F.col("path").alias("file_path"),
-        F.col("_metadata.file_name").alias("file_name"),
-        _utc(F.col("modificationTime")).alias("modified"),
+        F.substring_index("path", "/", -1).alias("file_name"),
+        _utc(F.col("modified")).alias("modified"),
         F.try_validate_utf8(F.col("content").cast("string")).alias("value"),
     )
 
@@ -75,25 +101,85 @@ def landed_rows(docs: DataFrame) -> DataFrame:
     )
 
 
-def landed_docs(warehouse, source: str | None = None, first=None, last=None) -> DataFrame:
-    """Landed documents, read from only the months and days asked for."""
-    docs = warehouse.read(schemas.LANDED.name)
+# Where a landed row stands: its file and its number there.
+ROW = ("part", "row")
+VERSION = ("modified", "hash_value")
+
+
+def _landed(warehouse: Warehouse, source: str | None, first, last) -> DataFrame:
+    """All that was ever landed, with where each row stands."""
+    if warehouse.exists(schemas.LANDED.name):
+        place = F.struct(F.col("_metadata.file_path").alias("part"), F.col("_metadata.row_index").alias("row"))
+        docs = warehouse.read(schemas.LANDED.name).withColumn("place", place).select("*", "place.*").drop("place")
+    else:
+        docs = warehouse.read(schemas.LANDED.name).withColumns({"part": F.lit(""), "row": F.lit(0).cast("long")})
     if source is not None:
         docs = docs.where(F.col("source") == source)
     if first is not None and last is not None:
         months = [F.year(d) * 100 + F.month(d) for d in (F.lit(first).cast("date"), F.lit(last).cast("date"))]
         docs = docs.where(F.col("month_id").between(*months)).where(F.col("batch_date").between(first, last))
-    return docs.drop("month_id")
+    return docs
+
+
+def landed_versions(warehouse: Warehouse, source: str | None = None, first=None, last=None) -> DataFrame:
+    """Every landed version of every document, from only the months and days asked for, without the texts."""
+    return _landed(warehouse, source, first, last).drop("value")
+
+
+def latest(versions: DataFrame) -> DataFrame:
+    """The last version of each path by time, then hash; of equal ones one row."""
+    rest = [c for c in versions.columns if c != "file_path"]
+    picked = versions.groupBy("file_path").agg(F.max_by(F.struct(*rest), F.struct(*VERSION, *ROW)).alias("last"))
+    return picked.select("file_path", "last.*")
+
+
+def with_texts(
+    warehouse: Warehouse, wanted: DataFrame, scratch: Scratch, source: str | None = None, first=None, last=None, name: str = "texts"
+) -> DataFrame:
+    """The ``wanted`` landed rows (without texts so far) with their texts.
+
+    ``source`` and days say what to look through, as they did for the wanted. The texts are
+    read where they stand, in the months of the wanted, and filtered by the shorter of two
+    staged lists, the wanted rows or the others; not at all where every row is wanted. While
+    that list is below the broadcast threshold, no text is sorted or shuffled.
+    """
+    wanted = scratch.stage(wanted.select(*ROW, "month_id"), f"{name}-wanted")
+    months = [r[0] for r in wanted.select("month_id").distinct().collect()]  # bounded by the calendar
+    known = F.col("month_id").isin([m for m in months if m is not None])
+    docs = _landed(warehouse, source, first, last).where(known | F.col("month_id").isNull() if None in months else known)
+    others = scratch.stage(docs.select(*ROW).join(wanted.select(*ROW), list(ROW), "left_anti"), f"{name}-others")
+    n_wanted, n_others = wanted.count(), others.count()
+    if n_others:
+        few, how = (others, "left_anti") if n_others < n_wanted else (wanted.select(*ROW), "left_semi")
+        docs = docs.join(few, list(ROW), how)
+    return docs.drop(*ROW, "month_id")
+
+
+def landed_docs(warehouse: Warehouse, source: str | None = None, first=None, last=None, scratch: Scratch | None = None) -> DataFrame:
+    """The last landed text of every document, from only the months and days asked for."""
+    newest = latest(landed_versions(warehouse, source, first, last))
+    return with_texts(warehouse, newest, scratch or warehouse.scratch("landed"), source, first, last)
+
+
+LEDGER_MONTH = "name_month"
 
 
 def unseen(docs: DataFrame, ledger: DataFrame) -> DataFrame:
     """Documents not in the ledger yet; a text that changed under its name is new.
 
-    The ledger is reduced to the documents at hand first: while those are few,
-    it is scanned but not shuffled.
+    The ledger is reduced to the documents at hand first: while those are few, it is
+    scanned but not shuffled. Where both sides have the month of the name, which the ledger
+    is partitioned by, only the months of the documents are read of it (dynamic partition
+    pruning); documents without a day have a partition of their own.
     """
     key = ["file_path", "modified"]
-    seen = ledger.select(*key).join(docs.select(*key), key, "left_semi")
+    if LEDGER_MONTH not in docs.columns or LEDGER_MONTH not in ledger.columns:
+        seen = ledger.select(*key).join(docs.select(*key), key, "left_semi")
+    else:
+        # A comparison and not IS NOT NULL: pruning asks for a filter that may be selective.
+        dated, undated = F.col(LEDGER_MONTH) > 0, F.col(LEDGER_MONTH).isNull()
+        seen = ledger.join(docs.where(dated).select(*key, LEDGER_MONTH), [*key, LEDGER_MONTH], "left_semi").select(*key)
+        seen = seen.union(ledger.where(undated).select(*key).join(docs.where(undated).select(*key), key, "left_semi"))
     return docs.join(seen, key, "left_anti")
 
 

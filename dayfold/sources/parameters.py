@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dayfold import schemas
@@ -161,14 +161,50 @@ def plan_requests(countries: DataFrame, api_info: DataFrame, first: Column, last
         .withColumn("api_name", documents.api_name_of(F.col("source")))
         .join(api_info.select(F.col("id").alias("api_id"), "api_name", "api_base_url"), "api_name")
     )
-    day = F.date_format("batch_date", "yyyy-MM-dd")
+    return requests.select(
+        F.col("id").alias("country_id"), "code", "api_id", "source", "batch_date",
+        _address(F.col("batch_date"), F.col("batch_date")).alias("url"),
+    )
+
+
+def _address(first: Column, last: Column) -> Column:
+    """The address of a request for a day, or of the weather source for a range of days."""
+    first, last = F.date_format(first, "yyyy-MM-dd"), F.date_format(last, "yyyy-MM-dd")
     weather = _query_text({
-        "latitude": F.col("latitude"), "longitude": F.col("longitude"), "start_date": day, "end_date": day,
+        "latitude": F.col("latitude"), "longitude": F.col("longitude"), "start_date": first, "end_date": last,
         "daily": F.lit(",".join(WEATHER_VARIABLES)), "timezone": F.lit(WEATHER_TIMEZONE),
     })
-    covid = _query_text({"iso": F.col("code"), "date": day})
-    query = F.when(F.col("source") == "w", weather).otherwise(covid)
-    return requests.select(
-        F.col("id").alias("country_id"), "code", "api_id", "source", "batch_date",
-        F.concat("api_base_url", F.lit("?"), query).alias("url"),
+    covid = _query_text({"iso": F.col("code"), "date": first})
+    return F.concat("api_base_url", F.lit("?"), F.when(F.col("source") == "w", weather).otherwise(covid))
+
+
+# Sources whose requests take a range of days; the others are asked day by day.
+RANGES = ("w",)
+
+
+def plan_gaps(countries: DataFrame, api_info: DataFrame, covered: DataFrame, first: Column, last: Column) -> DataFrame:
+    """One request per gap: a range of days of a country and source that ``covered`` does not have.
+
+    ``covered`` holds (source, country_id, data_day), in any number. Days in a row less their
+    row number are one date, which names the gap. Windows hold the days of one country and
+    source, so at most the days asked for.
+    """
+    asked = (
+        countries.withColumn("day", F.explode(F.sequence(first, last)))
+        .withColumn("source", F.explode(F.array(*[F.lit(s) for s in documents.SOURCES])))
+        .withColumnRenamed("id", "country_id")
+    )
+    held = covered.where(F.col("data_day").between(first, last)).select(
+        "source", "country_id", F.col("data_day").alias("day")).distinct()
+    missing = asked.join(held, ["source", "country_id", "day"], "left_anti")
+    turn = F.row_number().over(Window.partitionBy("source", "country_id").orderBy("day"))
+    gap = F.when(F.col("source").isin(*RANGES), F.date_sub("day", turn)).otherwise(F.col("day"))
+    gaps = missing.withColumn("gap", gap).groupBy(
+        "source", "country_id", "code", "latitude", "longitude", "gap"
+    ).agg(F.min("day").alias("first_date"), F.max("day").alias("last_date"))
+    addressed = gaps.withColumn("api_name", documents.api_name_of(F.col("source"))).join(
+        api_info.select(F.col("id").alias("api_id"), "api_name", "api_base_url"), "api_name")
+    return addressed.select(
+        "country_id", "code", "api_id", "source", "first_date", "last_date",
+        (F.datediff("last_date", "first_date") + 1).alias("n_days"), _address(F.col("first_date"), F.col("last_date")).alias("url"),
     )

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dayfold import schemas
-from dayfold.session import scratch_dir
+from dayfold.session import scratch_dir, settings
 
 def _folder(spark: SparkSession, path: str):
     """The file system of a path, and the path as that file system knows it."""
@@ -16,6 +16,12 @@ def _folder(spark: SparkSession, path: str):
     return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path with its file system, as Spark's file sources show it."""
+    files, path = _folder(spark, path)
+    return files.makeQualified(path).toString()
+
+
 class Scratch:
     """Tables staged during one run, in the shared scratch folder.
 
@@ -47,6 +53,7 @@ class Scratch:
             self.close()
 
 
+MOST_WRITERS = 200
 NAME = re.compile(r"^[a-z_][a-z0-9_]*$")
 
 
@@ -85,10 +92,28 @@ class Warehouse:
         """Replaces all rows; the rows must not be read from the table itself."""
         rows.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(self.path(table))
 
-    def append(self, table: str, rows: DataFrame, partition_by: str | None = None) -> None:
+    def append(self, table: str, rows: DataFrame, partition_by: str | list[str] | None = None) -> None:
         writer = rows.write.mode("append")
         (writer.partitionBy(partition_by) if partition_by else writer).parquet(self.path(table))
 
+    def append_in_place(self, table: str, rows: DataFrame) -> None:
+        """Adds rows to the partitions they belong to from the tasks that have them: wide values are neither sorted nor shuffled.
+
+        A task keeps a file open per partition it meets, up to MOST_WRITERS.
+        """
+        with settings(self.spark, {"spark.sql.maxConcurrentOutputFileWriters": str(MOST_WRITERS)}):
+            self.append(table, rows, schemas.TABLES[table].partition_by)
+
+    def holds(self, table: str, name: str) -> bool:
+        """Whether a file or folder stands below a table's folder."""
+        files, path = _folder(self.spark, f"{self.path(table)}/{name}")
+        return files.exists(path)
+
+    def folders(self, table: str) -> list[str]:
+        """The names of what stands directly below a table's folder."""
+        files, path = _folder(self.spark, self.path(table))
+        return sorted(s.getPath().getName() for s in files.listStatus(path)) if files.exists(path) else []
+
     def append_partitions(self, table: str, rows: DataFrame) -> None:
         """Adds rows to the partitions they belong to; what is there is not read."""
         column = schemas.TABLES[table].partition_by

@@ -14,16 +14,23 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from dayfold import schemas
+from dayfold.operators import outcomes
 from dayfold.plans import jobs
 from dayfold.sources import documents
 from dayfold.sources.warehouse import Warehouse
 
 
-def raw_stream(warehouse: Warehouse, directory: str, source: str, files_per_batch: int = 100_000) -> DataFrame:
-    """New raw files below a directory."""
-    return documents.scan_raw_docs(
-        warehouse.spark, directory, source, stream=True, maxFilesPerTrigger=str(files_per_batch)
-    )
+def raw_stream(
+    warehouse: Warehouse, directory: str, source: str, files_per_batch: int = 100_000, archive: str | None = None
+) -> DataFrame:
+    """New raw files below a directory; handled ones move to the ``archive`` folder, if there is one.
+
+    Empty files and hidden names are handled, and stay where they are.
+    """
+    options = {"maxFilesPerTrigger": str(files_per_batch)}
+    if archive is not None:
+        options |= {"cleanSource": "archive", "sourceArchiveDir": archive}
+    return documents.stream_raw_docs(warehouse.spark, directory, source, **options)
 
 
 def landed_stream(warehouse: Warehouse, source: str, files_per_batch: int = 1000) -> DataFrame:
@@ -34,7 +41,7 @@ def landed_stream(warehouse: Warehouse, source: str, files_per_batch: int = 1000
         .option("maxFilesPerTrigger", str(files_per_batch))
         .parquet(warehouse.path(table))
     )
-    return files.where(files.source == source).drop("month_id")
+    return files.where(files.source == source).drop("month_id", "hash_value")
 
 
 def stream_documents(
@@ -49,9 +56,10 @@ def stream_documents(
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        new = documents.unseen(batch, jobs.handled(warehouse).where(F.col("source") == source))
+        ledger = jobs.handled(warehouse).where(F.col("source") == source)
+        new = documents.unseen(outcomes.with_ledger_month(batch), ledger).drop(documents.LEDGER_MONTH)
         done = jobs.transform_source(warehouse, new, source, codebook() if codebook else None)
-        jobs.load(warehouse, clock())
+        jobs.load(warehouse, clock(), source)
         jobs.record(warehouse, done)
 
     return (

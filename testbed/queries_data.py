@@ -206,6 +206,24 @@ query(
     "SELECT *, rank() OVER (ORDER BY confirmed_cases DESC) AS case_rank FROM covid_staging", "covid_staging",
 )(lambda v: ranking.rank_desc(v.covid_staging(), "confirmed_cases", "case_rank"))
 
+
+def _rank_values(v: Views):
+    """Orders by price (decimal), by day and by key (bigint), a third of the prices missing."""
+    price = F.when(F.col("o_orderkey") % 3 != 0, F.col("o_totalprice").cast("decimal(18,2)"))
+    rows = v.table("orders").select("o_orderkey", price.alias("price"), F.to_date("o_orderdate").alias("day"), F.col("o_custkey").cast("bigint").alias("customer"))
+    for value in ("price", "day", "customer"):
+        rows = ranking.rank_desc(rows, value, f"{value}_rank")
+    return rows
+
+
+query(
+    "rank_values", "o_orderkey:i price_rank:i day_rank:i customer_rank:i",
+    """SELECT o_orderkey, rank() OVER (ORDER BY price DESC NULLS LAST) AS price_rank, rank() OVER (ORDER BY day DESC) AS day_rank,
+              rank() OVER (ORDER BY o_custkey DESC) AS customer_rank
+       FROM (SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS day,
+                    CASE WHEN o_orderkey % 3 <> 0 THEN CAST(o_totalprice AS DECIMAL(18,2)) END AS price FROM orders)""",
+)(_rank_values)
+
 query(
     "most_frequent_code", "country_name:s weather_code:s description:s frequency:i", "SELECT * FROM top_codes",
     "top_codes",

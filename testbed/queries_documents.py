@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dayfold import schemas
@@ -12,8 +15,8 @@ from dayfold.operators import ledgers, outcomes, responses, upsert
 from dayfold.plans import jobs, star
 from dayfold.session import scratch_dir
 from dayfold.sources import codebook as books
-from dayfold.sources import documents
-from dayfold.sources.warehouse import Warehouse
+from dayfold.sources import documents, parameters, raw_files
+from dayfold.sources.warehouse import Warehouse, qualified
 from dayfold.streaming import raw_docs
 from testbed.queries_data import WEATHER_COLUMNS
 from testbed.registry import query
@@ -39,36 +42,58 @@ def new_warehouse(v: Views, purpose: str) -> Warehouse:
 # Scans and sinks
 
 
-def _month_files(v: Views):
-    """All covid documents, one text file per month, scanned whole.
+def write_files(docs, folder: str) -> int:
+    """A file per document (file_name, value) in a folder per year, written by the tasks that have them."""
+    folder = qualified(docs.sparkSession, folder)
 
-    A month holds one document per country and day, however many orders there are.
-    """
-    path = scratch_dir(v.spark, "raw-files")
-    docs = v.covid_documents().select(F.date_format("batch_date", "yyyyMM").alias("month"), "value")
-    docs.repartition("month").write.partitionBy("month").text(path)
-    files = documents.scan_raw_docs(v.spark, path, "c")
-    return files.select(
-        F.regexp_extract("file_path", r"month=(\d+)", 1).alias("month"),
-        (F.size(F.split("value", "\n")) - 1).alias("documents"),
-        F.length("value").alias("characters"),
-    )
+    def write(batches):
+        place = raw_files.Folder(folder)
+        for batch in batches:
+            for name, year, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                place.files.create_dir(f"{place.root}/{year}", recursive=True)
+                with place.files.open_output_stream(f"{place.root}/{year}/{name}", compression=None) as out:
+                    out.write(text.encode())
+            yield pa.RecordBatch.from_pydict({"n": [batch.num_rows]})
 
+    rows = docs.select("file_name", F.year("batch_date").alias("year"), "value")
+    return rows.mapInArrow(write, "n long").agg(F.sum("n")).first()[0]
 
-query(
-    "scan_raw_docs", "month:s documents:i characters:i",
-    f"""SELECT strftime(date, '%Y%m') AS month, COUNT(*) AS documents, SUM(length({TEXT}) + 1) AS characters
-        FROM covid_staging GROUP BY 1""",
+
+def _files_of_four_kinds(v: Views):
+    """A file per covid document: plain ones, names with a leading _ or ., and files of zero bytes; all scanned and judged."""
+    path = scratch_dir(v.spark, "raw-files")
+    kind = F.pmod(F.length("value"), F.lit(4))
+    docs = v.covid_documents().withColumns({
+        "file_name": F.concat(F.when(kind == 1, "_").when(kind == 2, ".").otherwise(""), F.col("file_name")),
+        "value": F.when(kind == 3, "").otherwise(F.col("value")),
+    })
+    write_files(docs, path)
+    files = documents.scan_raw_docs(v.spark, path, "c").withColumn("characters", F.length("value"))
+    return outcomes.judge_documents(files, "c", v.country())
+
+
+query(
+    "scan_raw_docs", "file_name:s characters:i status:s row_count:i",
+    f"""SELECT CASE length(text) % 4 WHEN 1 THEN '_' WHEN 2 THEN '.' ELSE '' END || name AS file_name,
+               CASE length(text) % 4 WHEN 3 THEN 0 ELSE length(text) END AS characters,
+               CASE WHEN length(text) % 4 IN (0, 2) THEN 'processed' ELSE 'error' END AS status,
+               CASE WHEN length(text) % 4 IN (0, 2) THEN 1 ELSE 0 END AS row_count
+        FROM (SELECT {NAME} AS name, {TEXT} AS text FROM covid_staging)""",
     "covid_staging",
-)(_month_files)
+)(_files_of_four_kinds)
 
 
 def _landed(v: Views):
-    """An earlier state of the documents landed, then all of them: the later text stays."""
+    """An earlier state of the documents landed, then all of them, then an older text late: the last one by time stays."""
     warehouse = new_warehouse(v, "land")
     docs = v.covid_documents()
-    jobs.land_raw_docs(warehouse, docs.withColumn("value", F.lit("{}")).withColumn("modified", F.col("modified") - F.expr("INTERVAL 1 DAY")))
+
+    def earlier(text: str, hours: int):
+        return docs.withColumns({"value": F.lit(text), "modified": F.col("modified") - F.make_dt_interval(hours=F.lit(hours))})
+
+    jobs.land_raw_docs(warehouse, earlier("{}", 24))
     jobs.land_raw_docs(warehouse, docs)
+    jobs.land_raw_docs(warehouse, earlier("[]", 12))
     return documents.landed_docs(warehouse, "c").withColumn("text_hash", F.md5("value"))
 
 
@@ -181,11 +206,90 @@ query(
 )(lambda v: _transformed(v, "covid").read(schemas.COVID_STAGING.name))
 
 query(
-    "route_documents", "status:s source:s documents:i",
-    f"SELECT status, 'c' AS source, COUNT(*) AS documents FROM ({JUDGED}) GROUP BY status", "covid_staging country",
-)(lambda v: jobs.routed_documents(_transformed(v, "route")).groupBy("status", "source").agg(
-    F.count("*").alias("documents")
-))
+    "route_documents", "status:s source:s file_name:s reason:s",
+    f"SELECT status, 'c' AS source, file_name, reason FROM ({JUDGED})", "covid_staging country",
+)(lambda v: jobs.routed_documents(_transformed(v, "route")))
+
+
+def _weather_months(v: Views):
+    """A weather text per country and month, with all its days; those of countries 4, 9, ... lack the last wind speed."""
+    month = F.date_format("date", "yyyy-MM")
+    fields = {
+        "time": F.col("date").cast("string"), "weather_code": F.col("weather_code").cast("int"),
+        "temperature_2m_mean": F.col("mean_temperature"), "surface_pressure_mean": F.col("mean_surface_pressure"),
+        "precipitation_sum": F.col("precipitation_sum"), "relative_humidity_2m_mean": F.col("relative_humidity"),
+        "wind_speed_10m_mean": F.col("wind_speed"),
+    }
+    day = F.struct("date", *[value.alias(key) for key, value in fields.items()])
+    texts = v.weather_raw().groupBy("country_id", month.alias("month")).agg(F.array_sort(F.collect_list(day)).alias("days"))
+    short = (F.col("country_id") % 5 == 4) & (F.size("days") > 1)
+    arrays = {key: F.col(f"days.{key}") for key in fields}
+    last = F.size("days") - F.when(short, 1).otherwise(0)
+    arrays["wind_speed_10m_mean"] = F.slice(arrays["wind_speed_10m_mean"], F.lit(1), last)
+    daily = F.struct(*[a.alias(key) for key, a in arrays.items()])
+    rows = texts.select("country_id", F.col("days")[0]["date"].alias("date"), F.to_json(F.struct(daily.alias("daily"))).alias("text"))
+    return v.as_documents(rows, "w", F.col("text"))
+
+
+# The rows of the texts above that can be used.
+MONTHS = """
+    SELECT s.* FROM weather_staging s JOIN (
+        SELECT country_id, strftime(date, '%Y%m') AS month, COUNT(*) AS days FROM weather_staging GROUP BY ALL
+    ) m ON m.country_id = s.country_id AND m.month = strftime(s.date, '%Y%m')
+    WHERE s.country_id % 5 <> 4 OR m.days = 1"""
+
+
+def _staged_months(v: Views):
+    warehouse = new_warehouse(v, "months")
+    done = jobs.transform_source(warehouse, _weather_months(v), "w", v.codebook())
+    jobs.record(warehouse, done)
+    rows = warehouse.read(schemas.WEATHER_STAGING.name)
+    # The ledger knows every day, though it has one row per text.
+    days = jobs.data_days(jobs.document_ledger(warehouse)).select("country_id", F.col("data_day").alias("date"))
+    return rows.join(days, ["country_id", "date"])
+
+
+query(
+    "project_weather_ranges", f"country_id:i date:s weather_description:s {WEATHER_COLUMNS}", MONTHS, "weather_staging",
+)(_staged_months)
+
+
+def _gaps(v: Views):
+    """The days without covid or weather rows, from the first day of either to the last."""
+    covid = v.covid_staging().select(F.lit("c").alias("source"), "country_id", F.col("date").alias("data_day"))
+    weather = v.weather_raw().select(F.lit("w").alias("source"), "country_id", F.col("date").alias("data_day"))
+    covered = v.stored(covid.union(weather), "covered")
+    first, last = covered.agg(F.min("data_day"), F.max("data_day")).first()
+    return parameters.plan_gaps(v.country(), v.api_info(), covered, F.lit(first), F.lit(last))
+
+
+query(
+    "plan_gaps", "country_id:i code:s api_id:i source:s first_date:s last_date:s n_days:i url:s",
+    f"""WITH held AS (
+            SELECT 'c' AS source, country_id, date FROM covid_staging UNION SELECT 'w', country_id, date FROM weather_raw
+        ), bounds AS (SELECT min(date) AS a, max(date) AS b FROM held), asked AS (
+            SELECT s.source, k.id AS country_id, unnest(generate_series(a, b, INTERVAL 1 DAY))::DATE AS date
+            FROM country k, bounds, (VALUES ('w'), ('c')) AS s(source)
+        ), missing AS (
+            SELECT * FROM asked x WHERE NOT EXISTS (
+                SELECT 1 FROM held h WHERE h.source = x.source AND h.country_id = x.country_id AND h.date = x.date)
+        ), turned AS (
+            SELECT *, CASE source WHEN 'c' THEN date
+                      ELSE date - CAST(row_number() OVER (PARTITION BY source, country_id ORDER BY date) AS INT) END AS gap
+            FROM missing
+        ), gaps AS (
+            SELECT source, country_id, min(date) AS first_date, max(date) AS last_date, count(*) AS n_days
+            FROM turned GROUP BY source, country_id, gap
+        )
+        SELECT g.*, k.code, a.id AS api_id,
+               a.api_base_url || '?' || CASE g.source WHEN 'c' THEN 'iso=' || k.code || '&date=' || first_date
+                   ELSE 'latitude=' || k.latitude || '&longitude=' || k.longitude || '&start_date=' || first_date
+                        || '&end_date=' || last_date || '&daily={",".join(parameters.WEATHER_VARIABLES)}'
+                        || '&timezone={parameters.WEATHER_TIMEZONE}' END AS url
+        FROM gaps g JOIN country k ON k.id = g.country_id
+        JOIN api_info a ON a.api_name = CASE g.source WHEN 'c' THEN 'COVID API' ELSE 'Weather API' END""",
+    "covid_staging weather_raw country api_info",
+)(_gaps)
 
 
 def _transform_weather(v: Views):
@@ -201,11 +305,16 @@ query(
 
 
 def _unseen(v: Views):
-    """Covid documents, of which those with weather on the day are in the ledger."""
+    """Covid documents, of which those with weather on the day are in the ledger, which is stored by month."""
     day = F.date_format("date", "yyyy-MM-dd")
-    name = F.concat(F.lit("raw/c_N"), F.lpad(F.col("country_id").cast("string"), 2, "0"), F.lit("_"), day, F.lit(".json"))
-    ledger = v.weather_raw().select(name.alias("file_path"), F.col("date").cast("timestamp_ntz").alias("modified"))
-    return documents.unseen(v.covid_documents(), ledger)
+    name = F.concat(F.lit("c_N"), F.lpad(F.col("country_id").cast("string"), 2, "0"), F.lit("_"), day, F.lit(".json"))
+    ledger = v.weather_raw().select(
+        name.alias("file_name"), F.concat(F.lit("raw/"), name).alias("file_path"), F.col("date").cast("timestamp_ntz").alias("modified"))
+    path = scratch_dir(v.spark, "ledger")
+    ledger = outcomes.with_ledger_month(ledger).hint("rebalance", F.col(documents.LEDGER_MONTH))
+    ledger.write.partitionBy(documents.LEDGER_MONTH).parquet(path)
+    docs = v.stored(outcomes.with_ledger_month(v.covid_documents().drop("value")), "listed")
+    return documents.unseen(docs, v.spark.read.parquet(path))
 
 
 query(
@@ -332,6 +441,15 @@ def _calls(v: Views):
     return called.join(v.api_info().select(F.col("id").alias("api_id"), "api_name"), "api_name")
 
 
+def _two_batches(log, events):
+    """The state of a ledger after its opened events, a snapshot, and its completed events."""
+    opened = F.col("seq") % 2 == 0
+    log.append(events.where(opened))
+    log.snapshot()
+    log.append(events.where(~opened))
+    return log.state()
+
+
 query(
     "api_call_ledger", "country_id:i api_id:i start_time:s end_time:s code_response:i error_message:s seq:i",
     """SELECT c.c_nationkey AS country_id, s.api_id, e.ts AS start_time,
@@ -344,7 +462,7 @@ query(
                   WHEN 'signup' THEN NULL ELSE '' END AS error_message,
               CASE WHEN e.event_type = 'signup' THEN 0 ELSE 1 END AS seq
        FROM events e JOIN customer c ON e.user_id = c.c_custkey CROSS JOIN (VALUES (1), (2)) AS s(api_id)""",
-)(lambda v: ledgers.current_state(ledgers.call_events(_calls(v))))
+)(lambda v: _two_batches(jobs.call_log(new_warehouse(v, "calls")), ledgers.call_events(_calls(v))))
 
 IMPORTS = """
     SELECT CAST(e.ts AS DATE) AS batch_date, CAST(c.c_nationkey AS BIGINT) AS country_id,
@@ -374,7 +492,7 @@ def _import_ledger(v: Views):
         F.col("file_name").alias("import_file_name"), F.col("batch_date").alias("file_created_date"),
     )
     events = ledgers.import_events(calls, before, F.lit(RUN.date()).cast("date"))
-    return ledgers.current_state(events)
+    return _two_batches(jobs.file_log(new_warehouse(v, "imports")), events)
 
 
 query(
@@ -396,15 +514,64 @@ def _land_job(v: Views):
     both = v.envelopes().select(*columns)
     jobs.run(warehouse, RUN, ("extract",), envelopes=both)
     jobs.run(warehouse, RUN, ("extract",), envelopes=both)
-    return jobs.api_import_log(warehouse)
-
-
-query(
-    "job_land", "country_id:i api_id:i start_time:s code_response:i",
-    """SELECT c.c_nationkey AS country_id, s.api_id, e.ts AS start_time,
-              CASE e.event_type WHEN 'error' THEN 422 WHEN 'click' THEN 404 WHEN 'signup' THEN NULL ELSE 200 END
-                  AS code_response
-       FROM events e JOIN customer c ON e.user_id = c.c_custkey CROSS JOIN (VALUES (1), (2)) AS s(api_id)""",
+    # Of several answers for a country and day the greatest hash stays, as all come at one time.
+    texts = documents.landed_docs(warehouse).withColumn("hash", F.md5("value"))
+    return tagged({
+        "api_import_log": (jobs.api_import_log(warehouse), ["country_id", "api_id", "start_time", "end_time", "code_response", "error_message"]),
+        "import_log": (jobs.import_log(warehouse), ["batch_date", "country_id", "import_directory_name", "import_file_name",
+                                                    "file_created_date", "file_last_modified_date", "row_count"]),
+        "landed_documents": (texts, ["source", "batch_date", "file_name", "file_path", "hash"]),
+    })
+
+
+def tagged(tables: dict):
+    """Rows of several tables in one: the table's name and the values as text, missing ones as ~."""
+    def shown(name, rows, columns):
+        text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in columns])
+        return rows.select(F.lit(name).alias("table_name"), text.alias("content"))
+    return reduce(DataFrame.union, [shown(name, *t) for name, t in tables.items()])
+
+
+def tagged_sql(tables: dict[str, tuple[str, list[str]]]) -> str:
+    """The same in SQL, from a query per table."""
+    def shown(name, sql, columns):
+        text = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '~')" for c in columns)
+        return f"SELECT '{name}' AS table_name, concat_ws('|', {text}) AS content FROM ({sql})"
+    return " UNION ALL ".join(shown(name, *t) for name, t in tables.items())
+
+
+CALLS = """
+    SELECT CAST(e.ts AS DATE) AS batch_date, e.ts AS start_time, c.c_nationkey AS country_id, s.source, s.api_id,
+           CASE e.event_type WHEN 'error' THEN 422 WHEN 'click' THEN 404 WHEN 'signup' THEN NULL ELSE 200 END AS code_response,
+           CASE e.event_type
+               WHEN 'error' THEN CASE s.source WHEN 'w' THEN 'no ' || e.event_id ELSE 'bad ' || e.event_id || ', unknown, late' END
+               WHEN 'click' THEN CASE s.source WHEN 'w' THEN 'Not Found' ELSE 'Not found' END
+               WHEN 'signup' THEN NULL ELSE '' END AS error_message,
+           CASE WHEN e.event_type <> 'signup' THEN e.ts END AS end_time,
+           s.source || '_N' || lpad(CAST(c.c_nationkey AS VARCHAR), 2, '0') || '_' || CAST(e.ts AS DATE) || '.json' AS file_name,
+           'data/raw/' || s.folder AS folder,
+           CASE WHEN e.event_type = 'error' AND s.source = 'w' THEN '{"error":true,"reason":"no ' || e.event_id || '"}'
+                WHEN e.event_type = 'error' THEN '{"error":{"iso":["bad ' || e.event_id || '","unknown"],"date":["late"]}}'
+                WHEN e.event_type = 'click' THEN '"<p>no page ' || e.event_id || '"'
+                WHEN e.event_type = 'signup' THEN NULL
+                WHEN s.source = 'w' THEN '{"daily":' || props || '}'
+                WHEN e.event_type = 'view' THEN '{"data":[]}' ELSE '{"data":' || props || '}' END AS value,
+           CASE WHEN e.event_type = 'purchase' OR (e.event_type = 'view' AND s.source = 'w') THEN 1 ELSE 0 END AS row_count
+    FROM events e JOIN customer c ON e.user_id = c.c_custkey
+    CROSS JOIN (VALUES ('w', 1, 'weather_data'), ('c', 2, 'covid_data')) AS s(source, api_id, folder)"""
+
+query(
+    "job_land", "table_name:s content:s",
+    tagged_sql({
+        "api_import_log": (CALLS, ["country_id", "api_id", "start_time", "end_time", "code_response", "error_message"]),
+        "import_log": (
+            f"SELECT *, DATE '2024-06-01' AS today FROM ({CALLS}) WHERE code_response IS NOT NULL",
+            ["batch_date", "country_id", "folder", "file_name", "today", "today", "row_count"]),
+        "landed_documents": (
+            f"""SELECT source, batch_date, file_name, folder || '/' || file_name AS path, max(md5(value)) AS hash
+                FROM ({CALLS}) WHERE value IS NOT NULL GROUP BY ALL""",
+            ["source", "batch_date", "file_name", "path", "hash"]),
+    }),
 )(_land_job)
 
 # Upserts. The target is an earlier state: facts from a part of the orders or
@@ -595,45 +762,120 @@ def _load_job(v: Views):
     warehouse.overwrite(schemas.COVID_STAGING.name, v.covid_staging())
     warehouse.overwrite(schemas.WEATHER_STAGING.name, v.weather_staging())
     jobs.load(warehouse, RUN)
-    return warehouse.read("fact_weather_data")
+    return tagged({name: (warehouse.read(name), columns) for name, columns in STAR.items()})
 
 
-query(
-    "job_load", f"country_id:i date_id:i {WEATHER_COLUMNS} hash_value:s createdAt:s updatedAt:s",
-    f"""SELECT *, CASE WHEN action = 'insert' THEN '2024-06-01 12:30:00' ELSE '2020-01-01 00:00:00' END AS createdAt,
+WEATHER_VALUES = [c.split(":")[0] for c in WEATHER_COLUMNS.split()]
+STAR = {
+    "dim_country": ["country_id", "country_code", "country_name", "latitude", "longitude", "hash_value"],
+    "dim_date": ["date_id", "date", "year", "month", "day", "day_of_week", "is_weekend", "hash_value"],
+    "dim_weather_code": ["weather_code", "description", "hash_value"],
+    "fact_covid_data": ["country_id", "date_id", "confirmed_cases", "deaths", "recovered", "hash_value", "createdAt", "updatedAt"],
+    "fact_weather_data": ["country_id", "date_id", *WEATHER_VALUES, "hash_value", "createdAt", "updatedAt"],
+}
+
+
+def _stamps(merge: str) -> str:
+    return f"""
+        SELECT *, CASE WHEN action = 'insert' THEN '2024-06-01 12:30:00' ELSE '2020-01-01 00:00:00' END AS createdAt,
                CASE WHEN action IN ('insert', 'update') THEN '2024-06-01 12:30:00' ELSE '2020-01-01 00:00:00' END
                    AS updatedAt
-        FROM ({WEATHER_MERGE})""",
-    "weather_fact_before weather_fact",
+        FROM ({merge})"""
+
+
+USED = {
+    "dim_country": "SELECT * FROM dim_country WHERE country_id IN (SELECT country_id FROM covid_staging UNION SELECT country_id FROM weather_raw)",
+    "dim_date": "SELECT * FROM dim_date WHERE date IN (SELECT date FROM covid_staging UNION SELECT date FROM weather_raw)",
+}
+# Codes of the earlier state stay, though the facts have none of them any more.
+CODES = """
+    SELECT w.weather_code, coalesce(b.description, 'Unknown') AS description,
+           md5(w.weather_code || '|' || coalesce(b.description, 'Unknown')) AS hash_value
+    FROM (SELECT weather_code FROM weather_fact_before UNION SELECT weather_code FROM weather_fact) w
+    LEFT JOIN codebook b ON b.weather_code = w.weather_code"""
+
+query(
+    "job_load", "table_name:s content:s",
+    tagged_sql({
+        "dim_country": (USED["dim_country"], STAR["dim_country"]), "dim_date": (USED["dim_date"], STAR["dim_date"]),
+        "dim_weather_code": (CODES, STAR["dim_weather_code"]),
+        "fact_covid_data": (_stamps(COVID_MERGE), STAR["fact_covid_data"]),
+        "fact_weather_data": (_stamps(WEATHER_MERGE), STAR["fact_weather_data"]),
+    }),
+    "dim_country dim_date codebook covid_staging weather_raw covid_fact_before covid_fact weather_fact_before weather_fact",
 )(_load_job)
 
 
-def _run_job(v: Views):
-    """Landed documents of both sources transformed and loaded in one run."""
-    warehouse = new_warehouse(v, "run")
-    jobs.land_raw_docs(warehouse, v.covid_documents().unionByName(v.weather_documents()))
-    jobs.run(warehouse, RUN, ("transform", "load"), codebook=v.codebook())
-    return warehouse.read("fact_covid_data")
+def _answers(docs):
+    """Documents as the responses they came in."""
+    at = F.col("batch_date").cast("timestamp_ntz")
+    return docs.select(
+        "source", F.substring("file_name", 4, 2).cast("bigint").alias("country_id"), "batch_date", at.alias("start_time"),
+        at.alias("end_time"), F.lit(200).alias("http_status"), F.col("value").alias("body"))
 
 
-query(
-    "job_run", f"country_id:i date_id:i {COVID_COLUMNS} hash_value:s", "SELECT * FROM covid_fact", "covid_fact",
+def _run_job(v: Views):
+    """Responses of both sources landed, transformed and loaded in one run."""
+    warehouse = new_warehouse(v, "run")
+    answers = _answers(v.covid_documents().unionByName(v.weather_documents()))
+    jobs.run(warehouse, RUN, envelopes=answers, codebook=v.codebook())
+    log = jobs.transform_log(warehouse)
+    tables = {name: (warehouse.read(name), [c for c in columns if not c.endswith("At")]) for name, columns in STAR.items()}
+    return tagged(tables | {
+        "api_import_log": (jobs.api_import_log(warehouse), ["country_id", "api_id", "start_time", "code_response"]),
+        "import_log": (jobs.import_log(warehouse), ["batch_date", "country_id", "import_directory_name", "import_file_name", "row_count"]),
+        "transform_log": (log, ["batch_date", "country_id", "processed_directory_name", "processed_file_name", "row_count", "status"]),
+    })
+
+
+def _runs(sql: str) -> str:
+    """Per row of a staging table: the call, the file and the day."""
+    return f"""SELECT country_id, date AS batch_date, date || ' 00:00:00' AS start_time, 200 AS code, 1 AS one, 'processed' AS status, x.*,
+                      x.source || '_N' || lpad(CAST(country_id AS VARCHAR), 2, '0') || '_' || date || '.json' AS file_name
+               FROM ({sql})"""
+
+
+BOTH = "SELECT country_id, date, 'c' AS s FROM covid_staging UNION ALL SELECT country_id, date, 'w' FROM weather_raw"
+FILES = _runs(BOTH) + " JOIN (VALUES ('w', 1, 'weather_data'), ('c', 2, 'covid_data')) AS x(source, api_id, folder) ON x.source = s"
+
+query(
+    "job_run", "table_name:s content:s",
+    tagged_sql({
+        "dim_country": (USED["dim_country"], STAR["dim_country"]), "dim_date": (USED["dim_date"], STAR["dim_date"]),
+        "dim_weather_code": ("SELECT * FROM dim_weather_code", STAR["dim_weather_code"]),
+        "fact_covid_data": ("SELECT * FROM covid_fact", STAR["fact_covid_data"][:-2]),
+        "fact_weather_data": ("SELECT * FROM weather_fact", STAR["fact_weather_data"][:-2]),
+        "api_import_log": (FILES, ["country_id", "api_id", "start_time", "code"]),
+        "import_log": (FILES, ["batch_date", "country_id", "'data/raw/' || folder", "file_name", "one"]),
+        "transform_log": (FILES, ["batch_date", "country_id", "'data/processed/' || folder || '/'", "file_name", "one", "status"]),
+    }),
+    "dim_country dim_date dim_weather_code covid_staging weather_raw covid_fact weather_fact",
 )(_run_job)
 
 
 def _stream(v: Views):
-    """Landed documents picked up as a stream, in several micro-batches."""
+    """Covid documents from the landed table and raw weather files of a month each, as streams of several micro-batches."""
     warehouse = new_warehouse(v, "stream")
     jobs.land_raw_docs(warehouse, v.covid_documents())
     files = warehouse.read(schemas.LANDED.name).select(F.input_file_name()).distinct().count()
-    docs = raw_docs.landed_stream(warehouse, "c", files_per_batch=max(1, files // 2))
-    stream = raw_docs.stream_documents(
-        warehouse, docs, "c", scratch_dir(v.spark, "stream-checkpoint"), clock=lambda: RUN
-    )
-    stream.awaitTermination()
-    return warehouse.read("fact_covid_data")
-
-
-query(
-    "stream_raw_docs", f"country_id:i date_id:i {COVID_COLUMNS} hash_value:s", "SELECT * FROM covid_fact", "covid_fact",
+    landed = raw_docs.landed_stream(warehouse, "c", files_per_batch=max(1, files // 2))
+    folder, book = scratch_dir(v.spark, "raw-months"), v.stored(v.codebook(), "codebook")
+    n = write_files(_weather_months(v), folder)
+    raw = raw_docs.raw_stream(warehouse, folder, "w", max(1, n // 2), archive=scratch_dir(v.spark, "archive"))
+    for source, docs in (("c", landed), ("w", raw)):
+        stream = raw_docs.stream_documents(
+            warehouse, docs, source, scratch_dir(v.spark, "stream-checkpoint"), lambda: book, clock=lambda: RUN)
+        stream.awaitTermination()
+    return tagged({name: (warehouse.read(name), STAR[name][:-2]) for name in ("fact_covid_data", "fact_weather_data")})
+
+
+query(
+    "stream_raw_docs", "table_name:s content:s",
+    tagged_sql({
+        "fact_covid_data": ("SELECT * FROM covid_fact", STAR["fact_covid_data"][:-2]),
+        "fact_weather_data": (
+            f"SELECT * FROM weather_fact WHERE (country_id, date_id) IN (SELECT country_id, CAST(strftime(date, '%Y%m%d') AS BIGINT) FROM ({MONTHS}))",
+            STAR["fact_weather_data"][:-2]),
+    }),
+    "covid_fact weather_fact weather_staging",
 )(_stream)

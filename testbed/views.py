@@ -176,7 +176,7 @@ class Views:
 
     # Documents
 
-    def _as_documents(self, rows: DataFrame, source: str, payload: Column) -> DataFrame:
+    def as_documents(self, rows: DataFrame, source: str, payload: Column) -> DataFrame:
         name = F.concat(
             F.lit(f"{source}_N"), F.lpad(F.col("country_id").cast("string"), 2, "0"), F.lit("_"),
             F.date_format("date", "yyyy-MM-dd"), F.lit(".json"),
@@ -199,7 +199,7 @@ class Views:
             "wind_speed_10m_mean": F.col("wind_speed"),
         }
         daily = F.struct(*[F.array(value).alias(key) for key, value in one.items()])
-        return self._as_documents(self.weather_raw(), "w", F.to_json(F.struct(daily.alias("daily"))))
+        return self.as_documents(self.weather_raw(), "w", F.to_json(F.struct(daily.alias("daily"))))
 
     def covid_documents(self, flawed: bool = False) -> DataFrame:
         """Every covid row as its document; with flaws, some rows make bad ones.
@@ -215,7 +215,7 @@ class Views:
         )
         good = F.to_json(F.struct(data.alias("data")))
         if not flawed:
-            return self._as_documents(rows, "c", good)
+            return self.as_documents(rows, "c", good)
         day = F.concat(F.lit('{"data":{"date":"'), F.col("date"), F.lit('","confirmed_diff":'))
         deaths, recovered = F.col("deaths"), F.col("recovered")
         text = (
@@ -225,7 +225,7 @@ class Views:
             .when((deaths == 0) & (recovered == 0), F.concat(day, F.lit('9999999999,"deaths_diff":1,"recovered_diff":1}}')))
             .otherwise(good)
         )
-        return self._as_documents(rows, "c", text)
+        return self.as_documents(rows, "c", text)
 
     # Star schema. The dates of one fact come from its own table's date column
     # alone, a scan of one column that reduces to a few thousand rows.

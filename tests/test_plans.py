@@ -17,6 +17,7 @@ WRITING = {
     "job_load", "job_run", "job_land", "job_transform_covid", "job_transform_weather", "stream_raw_docs",
     "merge_fact_covid", "merge_fact_weather", "merge_audit_stamps", "merge_counts",
     "land_raw_docs", "scan_raw_docs", "scan_codebook", "route_documents", "overwrite_staging",
+    "project_weather_ranges", "api_call_ledger", "import_ledger",
 }
 LAZY = [name for name in QUERIES if name not in WRITING]
 
