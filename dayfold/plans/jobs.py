@@ -131,8 +131,11 @@ def land_raw_docs(warehouse: Warehouse, docs: DataFrame) -> Counter:
     with warehouse.scratch("landing") as scratch:
         keys = rows.groupBy("file_path").agg(
             F.max(version).alias("best"), F.max_by("month_id", version).alias("month_id"), F.count("*").alias("n"))
-        keys = scratch.stage(keys, "keys")
-        months = [r[0] for r in keys.select("month_id").distinct().collect()]  # bounded by the calendar
+        unnamed = F.col("file_path").isNull()
+        # The months are a list bounded by the calendar.
+        keys, found = scratch.stage_counted(
+            keys, "keys", months=F.collect_set("month_id"), undated=F.count_if(F.col("month_id").isNull()), refused=F.sum(F.when(unnamed, F.col("n"))))
+        months = [*found["months"], *([None] if found["undated"] else [])]
         known = documents.landed_versions(warehouse).where(upsert.in_parts("month_id", months))
         known = known.join(keys.select("file_path"), "file_path", "left_semi").select("file_path", version.alias("version"))
         last = known.groupBy("file_path").agg(F.max("version").alias("last"))
@@ -144,15 +147,12 @@ def land_raw_docs(warehouse: Warehouse, docs: DataFrame) -> Counter:
             .otherwise(OLDER)
         )
         tags = keys.where("file_path IS NOT NULL").join(last, "file_path", "left").join(same, ["file_path", "best"], "left")
-        tags = scratch.stage(tags.select("file_path", "best.*", "n", action.alias("action")), "tags")
-        counts = Counter()
-        for row in tags.groupBy("action").agg(F.count("*").alias("keys"), F.sum("n").alias("n")).collect():
-            counts[row["action"]] += row["keys"]
-            counts["dropped"] += row["n"] - row["keys"]
-        refused = keys.where("file_path IS NULL").select("n").first()
-        if refused:
-            counts["refused"] = refused["n"]
-        if counts[upsert.UNCHANGED] or counts["dropped"] or refused:
+        actions = (upsert.INSERT, upsert.UNCHANGED, upsert.UPDATE, OLDER)
+        tags, seen = scratch.stage_counted(
+            tags.select("file_path", "best.*", "n", action.alias("action")), "tags",
+            dropped=F.sum(F.col("n") - 1), **{a: F.count_if(F.col("action") == a) for a in actions})
+        counts = Counter({a: seen[a] for a in actions} | {"dropped": seen["dropped"] or 0, "refused": found["refused"] or 0})
+        if counts[upsert.UNCHANGED] or counts["dropped"] or counts["refused"]:
             new = tags.where(F.col("action") != upsert.UNCHANGED).select("file_path", *documents.VERSION)
             rows = rows.join(new, ["file_path", *documents.VERSION], "left_semi")
         if counts[upsert.INSERT] or counts[upsert.UPDATE] or counts[OLDER]:
@@ -205,18 +205,20 @@ def transform_source(
     keep = ["source", "file_path", "file_name", "modified", "batch_date", "status", "row_count", "reason", "value"]
     scratch = warehouse.scratch(f"transform-{source}")
     several = [c for c in judged.columns if c == "later_days"]
-    judged = scratch.stage(judged.select(*keep, *spec.columns, *several), "judged")
+    judged, counts = scratch.stage_counted(
+        judged.select(*keep, *spec.columns, *several), "judged",
+        **{s: F.count_if(F.col("status") == s) for s in (outcomes.PROCESSED, outcomes.ERROR)})
 
     rows = outcomes.staged(judged, spec, extra=list(upsert.PLACE))
     if several:
         rows = rows.unionByName(outcomes.staged_later(judged, spec, codebook, extra=list(upsert.PLACE)))
     latest = scratch.stage(upsert.latest_per_key(rows, spec.primary_key, upsert.PLACE), "latest")
-    current = scratch.stage(_not_superseded(latest, handled(warehouse).where(F.col("source") == source)), "staging")
+    current = _not_superseded(latest, handled(warehouse).where(F.col("source") == source))
+    current, left_out = scratch.stage_counted(
+        current, "staging", dropped=F.sum(F.col("dropped") + F.when(F.col("newest"), 0).otherwise(1)))
     warehouse.overwrite(spec.name, current.where("newest").select(*spec.columns))
 
-    counts = {r["status"]: r["count"] for r in judged.groupBy("status").count().collect()}
-    dropped = current.agg(F.sum(F.col("dropped") + F.when(F.col("newest"), 0).otherwise(1))).first()[0] or 0
-    return Transformed(counts.get(outcomes.PROCESSED, 0), counts.get(outcomes.ERROR, 0), dropped, judged, scratch)
+    return Transformed(counts[outcomes.PROCESSED], counts[outcomes.ERROR], left_out["dropped"] or 0, judged, scratch)
 
 
 def _not_superseded(rows: DataFrame, ledger: DataFrame) -> DataFrame:

@@ -143,14 +143,16 @@ def with_texts(
     staged lists, the wanted rows or the others; not at all where every row is wanted. While
     that list is below the broadcast threshold, no text is sorted or shuffled.
     """
-    wanted = scratch.stage(wanted.select(*ROW, "month_id"), f"{name}-wanted")
-    months = [r[0] for r in wanted.select("month_id").distinct().collect()]  # bounded by the calendar
-    known = F.col("month_id").isin([m for m in months if m is not None])
-    docs = _landed(warehouse, source, first, last).where(known | F.col("month_id").isNull() if None in months else known)
-    others = scratch.stage(docs.select(*ROW).join(wanted.select(*ROW), list(ROW), "left_anti"), f"{name}-others")
-    n_wanted, n_others = wanted.count(), others.count()
-    if n_others:
-        few, how = (others, "left_anti") if n_others < n_wanted else (wanted.select(*ROW), "left_semi")
+    # The months of the wanted are a list bounded by the calendar.
+    wanted, seen = scratch.stage_counted(
+        wanted.select(*ROW, "month_id"), f"{name}-wanted", n=F.count("*"), months=F.collect_set("month_id"),
+        undated=F.count_if(F.col("month_id").isNull()))
+    known = F.col("month_id").isin(list(seen["months"]))
+    docs = _landed(warehouse, source, first, last).where(known | F.col("month_id").isNull() if seen["undated"] else known)
+    others = docs.select(*ROW).join(wanted.select(*ROW), list(ROW), "left_anti")
+    others, rest = scratch.stage_counted(others, f"{name}-others", n=F.count("*"))
+    if rest["n"]:
+        few, how = (others, "left_anti") if rest["n"] < seen["n"] else (wanted.select(*ROW), "left_semi")
         docs = docs.join(few, list(ROW), how)
     return docs.drop(*ROW, "month_id")
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from dayfold import schemas
@@ -41,6 +41,12 @@ class Scratch:
         rows.write.parquet(path)
         return self.spark.read.schema(rows.schema).parquet(path)
 
+    def stage_counted(self, rows: DataFrame, name: str, **metrics: Column) -> tuple[DataFrame, dict]:
+        """The same, and aggregates of the rows observed while they are written: no job runs for a number alone."""
+        seen = Observation()
+        staged = self.stage(rows.observe(seen, *[m.alias(k) for k, m in metrics.items()]), name)
+        return staged, seen.get
+
     def close(self) -> None:
         files, path = _folder(self.spark, self.path)
         files.delete(path, True)
