@@ -38,6 +38,12 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def one_text_each(rows: DataFrame, *others: str) -> DataFrame:
+    """One row per doc_id, (doc_id, text, others): that of the text with the smallest hash, so that ids bound rows."""
+    picked = rows.groupBy("doc_id").agg(F.min_by(F.struct("text", *others), F.struct(F.xxhash64("text"), *others)).alias("one"))
+    return picked.select("doc_id", "one.*")
+
+
 def compressed(docs: DataFrame) -> DataFrame:
     """doc_id, lang, source, node (hash of the text) and body, the text in Zstandard: half the bytes to shuffle.
 

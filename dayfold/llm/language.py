@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dayfold.llm.arrays import _SPACE, as_bytes, mix, slices, span_hashes, word_spans
+from dayfold.llm.common import one_text_each
 
 TRAIN_ROWS = 2_000
 TRAIN_WORDS = 60
@@ -243,11 +244,11 @@ def fit(texts: list[str], labels: np.ndarray, languages: list[str]) -> Field:
 
 
 def training_rows(docs: DataFrame, eligible) -> DataFrame:
-    """(doc_id, text, lang) of the bounded sample."""
+    """(doc_id, text, lang) of the bounded sample: one text of each of TRAIN_ROWS ids."""
     usable = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull()).where(eligible)
     ids = usable.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAIN_ROWS)
     # TRAIN_ROWS ids: small enough to send to every task.
-    return usable.select("doc_id", "text", "lang").join(F.broadcast(ids), "doc_id")
+    return one_text_each(usable.select("doc_id", "text", "lang").join(F.broadcast(ids), "doc_id"), "lang")
 
 
 def train(docs: DataFrame, eligible) -> Field | None:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dayfold.llm.arrays import _LOWER, as_bytes, slices, span_hashes, word_spans
-from dayfold.llm.common import shared, starts_of, stored
+from dayfold.llm.common import one_text_each, shared, starts_of, stored
 
 TRAIN_ROWS = 20_000
 COARSE = 1 << 18
@@ -67,12 +67,12 @@ def term_sets(texts, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, eligible) -> DataFrame:
-    """(doc_id, text, y) of the sample. ``eligible`` is a condition on doc_id."""
+    """(doc_id, text, y) of the sample: one text of each of TRAIN_ROWS ids. ``eligible`` is a condition on doc_id."""
     usable = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).where(eligible)
     one = usable.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("y"))
     sample = one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAIN_ROWS)
     # TRAIN_ROWS rows of two numbers: small enough to send to every task.
-    return docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+    return one_text_each(docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id"), "y")
 
 
 def coarse_counts(sample: DataFrame) -> np.ndarray:

@@ -71,3 +71,19 @@ def test_recall_of_near_copies_beside_texts_that_hold_a_part(spark, size):
     found = sum(removed[i] >= passages.WORDS for i in wanted)
     assert found >= 0.9 * len(wanted)
     assert all(removed[i] == 0 for i in removed if i % 4 < 2)
+
+
+def test_one_id_with_a_third_of_the_rows_does_not_break_the_bound_of_the_samples(spark):
+    from pyspark.sql import functions as F
+
+    from dayfold.llm import language, toxicity
+
+    rng = random.Random(6)
+    rows = [(k if k % 3 else 7, words(rng, 12), "en" if k % 2 else "de", "s") for k in range(600)]
+    docs = frame(spark, rows)
+    labels = spark.createDataFrame([(k, 1, k % 2) for k in range(600)], "doc_id long, quality long, toxic long")
+    ids = {r[0] for r in rows}
+    for sample in (language.training_rows(docs, F.lit(True)), toxicity.training_rows(docs, labels, F.lit(True))):
+        got = sample.collect()
+        assert len(got) == len(ids) == len({r["doc_id"] for r in got})
+        assert {(r["doc_id"], r["text"]) for r in got} <= {r[:2] for r in rows}
