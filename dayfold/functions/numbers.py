@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from math import floor, log10
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -32,6 +34,15 @@ def bin_floor(value: Column, width: float) -> Column:
     return (F.floor(value.cast("double") / F.lit(float(width))) * F.lit(float(width))).cast("double")
 
 
+def round_width(low: float | None, high: float | None, bins: int) -> float:
+    """The least of 1, 2 and 5 times a power of ten that cuts a range into at most ``bins`` bins; 1 without a range."""
+    if low is None or high is None or high <= low:
+        return 1.0
+    least = (high - low) / bins
+    power = 10.0 ** floor(log10(least))
+    return next(step * power for step in (1, 2, 5, 10) if step * power >= least)
+
+
 def exact_mean(value: Column, scale: int) -> Column:
     """Mean of a decimal column: scaled to integers, summed, divided once."""
     scaled = (value * F.lit(10**scale)).cast("bigint")

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections import Counter
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from dayfold import schemas
@@ -19,6 +19,7 @@ from dayfold.sources.warehouse import Warehouse
 HASH = "hash_value"
 CREATED, UPDATED = "createdAt", "updatedAt"
 INSERT, UPDATE, UNCHANGED, KEPT = "insert", "update", "unchanged", "kept"
+MERGED = "merged"  # rows given to a catalog's own MERGE, which does not say what became of them
 PLACE = ("modified", "file_path")
 
 
@@ -115,6 +116,29 @@ def _with_updates(target: DataFrame, updates: DataFrame, keys: tuple[str, ...],
     return target.join(new, list(keys), "left").select(*shown)
 
 
+def can_merge(spark: SparkSession, name: str) -> bool:
+    """Whether a catalog table takes MERGE INTO: the plan of a merge that does nothing says so, and nothing runs."""
+    plan = spark.sql(f"EXPLAIN MERGE INTO {name} t USING (SELECT * FROM {name} LIMIT 0) s ON false WHEN MATCHED THEN DELETE")
+    return not plan.first()[0].startswith("Error occurred")
+
+
+def merge_into(source: DataFrame, name: str, spec: schemas.TableSpec, stamp: Column | None = None) -> None:
+    """The same rule as a MERGE of the catalog: changed hashes update, new keys insert, the rest stays."""
+    target = name.rsplit(".", 1)[-1]
+    same = " AND ".join(f"{target}.{k} = s.{k}" for k in spec.primary_key)
+    values = {c: F.col(f"s.{c}") for c in spec.columns if c not in (*spec.primary_key, CREATED, UPDATED)}
+    moved = {UPDATED: stamp} if stamp is not None and UPDATED in spec.columns else {}
+    made = {CREATED: stamp, **moved} if moved else {}
+    keys = {k: F.col(f"s.{k}") for k in spec.primary_key}
+    part = {spec.partition_by: F.col(f"s.{spec.partition_by}")} if spec.partition_by else {}
+    (
+        source.alias("s").mergeInto(name, F.expr(same))
+        .whenMatched(F.expr(f"NOT ({target}.{HASH} <=> s.{HASH})")).update(values | moved)
+        .whenNotMatched().insert(keys | values | made | part)
+        .merge()
+    )
+
+
 class BrokenRules(ValueError):
     """Rows break declared rules of their table; nothing of it was written."""
 
@@ -135,7 +159,7 @@ def upsert(
 
     What is counted (rows left out, rows per action, broken rules, months) is
     observed while rows are written that have to be written anyway; no job
-    runs for a number alone.
+    runs for a number alone. A table of a catalog that can MERGE is merged by it.
     """
     spec = schemas.TABLES[table]
     keyed = reduce(Column.__and__, [F.col(k).isNotNull() for k in spec.primary_key])
@@ -147,6 +171,7 @@ def upsert(
         rules[name] = flag
     seen = Observation()
     metrics = {
+        "keyed": F.count_if(keyed),
         "dropped": F.sum(F.when(keyed, F.col("dropped"))), "refused": F.sum(F.when(~keyed, F.col("dropped") + 1)),
         **({"parts": F.collect_set(F.when(keyed, F.col(spec.partition_by))),
             "no_part": F.count_if(keyed & F.col(spec.partition_by).isNull())} if spec.partition_by else {}),
@@ -161,7 +186,11 @@ def upsert(
         broken = [(rule, found[f"rule{i}"]) for i, rule in enumerate(rules) if found[f"rule{i}"]]
         if broken:
             raise BrokenRules(f"{table}: {'; '.join(map(str, broken))}")
-        if spec.partition_by:
+        name = warehouse.catalog_table(table)
+        if name is not None and can_merge(warehouse.spark, name):
+            merge_into(staged.where(keyed), name, spec, stamp)
+            counts = Counter({MERGED: found["keyed"]})
+        elif spec.partition_by:
             # A month list: bounded by the calendar, so it may pass the driver.
             parts = [*found["parts"], *([None] if found["no_part"] else [])]
             counts = _upsert_partitions(warehouse, spec, staged.where(keyed), stamp, scratch, parts)

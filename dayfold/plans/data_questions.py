@@ -80,6 +80,24 @@ def histogram_2d(cells: DataFrame, x_width: float, y_width: float) -> DataFrame:
     ).agg(F.sum("confirmed_cases").alias("confirmed_cases"))
 
 
+BINS = 20
+
+
+def bin_widths(cells: DataFrame, bins: int = BINS) -> tuple[float, float]:
+    """Widths of 1, 2 or 5 times a power of ten that cut the range of either axis into at most ``bins`` bins.
+
+    Four numbers pass the driver; an axis without a range gets the width 1.
+    """
+    columns = ("mean_temperature", "relative_humidity")
+    found = cells.agg(*[f(c).cast("double").alias(f"{c}_{n}") for c in columns for n, f in (("low", F.min), ("high", F.max))]).first()
+    return tuple(numbers.round_width(found[f"{c}_low"], found[f"{c}_high"], bins) for c in columns)
+
+
+def histogram_of_range(cells: DataFrame, bins: int = BINS) -> DataFrame:
+    """Cases summed in bins whose widths follow from the data's range, as a chart chooses them."""
+    return histogram_2d(cells, *bin_widths(cells, bins))
+
+
 def _summary_columns() -> list:
     return [
         F.min("date").alias("start_date"),

@@ -64,9 +64,17 @@ NAME = re.compile(r"^[a-z_][a-z0-9_]*$")
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, root: str):
+    """``catalog`` may name a schema of a catalog: tables that stand there are used in place of folders."""
+
+    def __init__(self, spark: SparkSession, root: str, catalog: str | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.catalog = catalog
+
+    def catalog_table(self, table: str) -> str | None:
+        """The full name of a table of the catalog, None if it is a folder."""
+        name = f"{self.catalog}.{table}" if self.catalog and NAME.match(table) else None
+        return name if name and self.spark.catalog.tableExists(name) else None
 
     def path(self, table: str) -> str:
         if not NAME.match(table):
@@ -87,6 +95,9 @@ class Warehouse:
 
     def read(self, table: str) -> DataFrame:
         """The table, or an empty frame of its schema before its first write."""
+        name = self.catalog_table(table)
+        if name is not None:
+            return self.spark.table(name)
         if self.exists(table):
             return self.spark.read.schema(self.schema(table)).parquet(self.path(table))
         return self.spark.createDataFrame([], self.schema(table))

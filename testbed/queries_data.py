@@ -158,6 +158,21 @@ query(
     "heatmap",
 )(lambda v: ask.histogram_2d(heatmap(v), 5, 10))
 
+
+def _width(column: str) -> str:
+    least = f"(max(CAST({column} AS DOUBLE)) - min(CAST({column} AS DOUBLE))) / 20"
+    power = f"pow(10.0, floor(log10({least})))"
+    return f"CASE WHEN {power} >= {least} THEN {power} WHEN 2 * {power} >= {least} THEN 2 * {power} WHEN 5 * {power} >= {least} THEN 5 * {power} ELSE 10 * {power} END"
+
+
+query(
+    "histogram_of_range", "temperature_bin:d humidity_bin:d confirmed_cases:i",
+    f"""SELECT floor(CAST(mean_temperature AS DOUBLE) / tw) * tw AS temperature_bin,
+               floor(CAST(relative_humidity AS DOUBLE) / hw) * hw AS humidity_bin, SUM(confirmed_cases) AS confirmed_cases
+        FROM heatmap, (SELECT {_width("mean_temperature")} AS tw, {_width("relative_humidity")} AS hw FROM heatmap) GROUP BY 1, 2""",
+    "heatmap",
+)(lambda v: ask.histogram_of_range(v.stored(heatmap(v), "heatmap")))
+
 query(
     "daily_deaths", "date:s is_weekend:b deaths:i weekend_label:s",
     """SELECT date, is_weekend, SUM(deaths) AS deaths, CASE WHEN is_weekend THEN 'Weekend' ELSE 'Weekday' END

@@ -280,3 +280,44 @@ def test_ranks_of_any_value(spark, kind, make):
     assert rows(ranked, "id", "r") == rows(expected)
     windows = [line for line in plan_of(ranked).splitlines() if re.search(r"\bWindow \[", line)]
     assert all("_high" in line for line in windows)
+
+
+# Catalogs that can merge
+
+
+def test_the_catalog_merges_where_it_can(spark, tmp_path, monkeypatch):
+    """The choice only: no catalog at hand takes a MERGE, so the merge itself is not run."""
+    from dayfold.sources.warehouse import Warehouse
+
+    assert Warehouse(spark, str(tmp_path / "w")).catalog_table("dim_date") is None
+    days = star.date_dimension(spark.createDataFrame([(date(2022, 1, 1),), (date(2022, 1, 2),)], "date date"))
+    spark.sql(f"CREATE TABLE IF NOT EXISTS default.dim_date ({schemas.DIM_DATE.schema.toDDL() if hasattr(schemas.DIM_DATE.schema, 'toDDL') else Warehouse(spark, 'x').schema('dim_date')}) USING parquet LOCATION '{tmp_path / 'w' / 'dim_date'}'")
+    try:
+        warehouse = Warehouse(spark, str(tmp_path / "w"), "spark_catalog.default")
+        assert warehouse.catalog_table("dim_date") == "spark_catalog.default.dim_date"
+        assert not upsert.can_merge(spark, "spark_catalog.default.dim_date")
+        assert upsert.upsert(warehouse, "dim_date", days) == {"insert": 2}
+        merged = []
+        monkeypatch.setattr(upsert, "can_merge", lambda *_: True)
+        monkeypatch.setattr(upsert, "merge_into", lambda source, name, spec, stamp: merged.append((source.count(), name, spec.name)))
+        assert upsert.upsert(warehouse, "dim_date", days) == {"merged": 2}
+        assert merged == [(2, "spark_catalog.default.dim_date", "dim_date")]
+    finally:
+        spark.sql("DROP TABLE IF EXISTS default.dim_date")
+
+
+def test_a_merge_is_refused_by_the_catalog_and_not_by_its_form(spark, tmp_path):
+    spark.sql(f"CREATE TABLE IF NOT EXISTS default.dim_weather_code (weather_code string, description string, hash_value string) USING parquet LOCATION '{tmp_path / 'c'}'")
+    try:
+        rows_in = spark.createDataFrame([("1", "a", "h")], "weather_code string, description string, hash_value string")
+        with pytest.raises(Exception, match="does not support MERGE INTO"):
+            upsert.merge_into(rows_in, "spark_catalog.default.dim_weather_code", schemas.DIM_WEATHER_CODE)
+    finally:
+        spark.sql("DROP TABLE IF EXISTS default.dim_weather_code")
+
+
+@pytest.mark.parametrize("low,high,width", [(0, 100, 5.0), (-3, 37, 2.0), (0, 1, 0.05), (4, 4, 1.0), (None, None, 1.0), (0, 400, 20.0), (0, 2e6, 1e5)])
+def test_widths_of_bins_are_round(low, high, width):
+    from dayfold.functions import numbers
+
+    assert numbers.round_width(low, high, 20) == pytest.approx(width)
