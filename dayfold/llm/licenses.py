@@ -1,11 +1,15 @@
 """License scans by diagonal voting, in DataFrame operations only.
 
-Every pair of neighbouring words of every text is hashed and joined to the places of the
-same pair in license templates. A match at text place i and template place j votes for
-diagonal i - j, which is where the template would begin. Votes are summed per document,
-template and diagonal as a bit mask (so a repeated row votes once), diagonals at most
-``GAP`` apart are merged, because a word put in or left out moves the rest of a phrase to
-the next diagonal, and spans whose votes cover ``LEAST`` of the template are kept.
+Every pair of neighbouring words of every text is hashed, the pair's hash rolling from the
+two words' own, and joined to the places of the same pair in license templates. A match at
+text place i and template place j votes for diagonal i - j, which is where the template
+would begin. Votes are summed per document, template and diagonal as a bit mask (so a
+repeated row votes once). A word put in or left out moves the rest of a phrase to another
+diagonal, so each diagonal is merged with those after it to a band: one more, and another
+for every ``PER_SLACK`` pairs of the template. The span of a band is verified in the order
+of the template: the most votes that stand at rising places of both text and template, and
+inside the band, must be ``LEAST`` of the template's pairs. Words of a phrase in another
+order, or strewn over more than its length and that slack, are no span.
 
 Base phrases are counted where one diagonal has all votes: then the words stand there
 consecutively, as pairs are compared by their words and not only by hash. Merged and
@@ -26,7 +30,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-GAP = 2
+PER_SLACK = 4
+MOST_PAIRS = 62
 LEAST = 0.8
 
 # Phrases and their labels.
@@ -45,15 +50,15 @@ MORE = [
 
 
 def templates(spark, base, more) -> DataFrame:
-    """(template, label, is_base, pairs, at, gram), one row per pair of neighbouring words of a template."""
+    """(template, label, is_base, pairs, at, word, next_word, hash), one row per pair of neighbouring words of a template."""
     rows = []
     for number, (phrase, label, is_base) in enumerate([(p, x, True) for p, x in base] + [(p, x, False) for p, x in more]):
         words = phrase.split(" ")
-        if not 2 <= len(words) <= 63:
+        if not 2 <= len(words) <= MOST_PAIRS + 1:
             raise ValueError(f"a phrase has 2 to 63 words: {phrase!r}")
-        rows += [(number, label, is_base, len(words) - 1, i, f"{words[i]} {words[i + 1]}") for i in range(len(words) - 1)]
-    kind = "template int, label string, is_base boolean, pairs int, at int, gram string"
-    return spark.createDataFrame(rows, kind).withColumn("hash", F.xxhash64("gram"))
+        rows += [(number, label, is_base, len(words) - 1, i, words[i], words[i + 1]) for i in range(len(words) - 1)]
+    kind = "template int, label string, is_base boolean, pairs int, at int, word string, next_word string"
+    return spark.createDataFrame(rows, kind).withColumn("hash", rolled(F.col("word"), F.col("next_word")))
 
 
 def worded(docs: DataFrame) -> DataFrame:
@@ -64,31 +69,62 @@ def worded(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.xxhash64(text).alias("text_key"), F.regexp_extract_all(plain, F.lit(WORD), F.lit(0)).alias("words"))
 
 
+def rolled(first, second):
+    """The hash of a pair from those of its words: the first one's turned by a bit, and the second's."""
+    turned = F.shiftleft(F.xxhash64(first), 1).bitwiseOR(F.shiftrightunsigned(F.xxhash64(first), 63))
+    return turned.bitwiseXOR(F.xxhash64(second))
+
+
 def votes(docs: DataFrame, base=BASE, more=MORE) -> DataFrame:
     """(doc_id, text_key, template, label, is_base, pairs, diagonal, mask)."""
     words = F.col("words")
     pairs = F.transform(
-        F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0))), lambda w, i: F.concat_ws(" ", w, F.get(words, i + 1))
-    )
-    grams = worded(docs).select("doc_id", "text_key", F.posexplode(pairs).alias("place", "text_gram")).withColumn(
-        "text_hash", F.xxhash64("text_gram"))
+        F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0))),
+        lambda w, i: F.struct(w.alias("first"), F.get(words, i + 1).alias("second")))
+    grams = worded(docs).select("doc_id", "text_key", F.posexplode(pairs).alias("place", "pair")).select(
+        "doc_id", "text_key", "place", "pair", rolled(F.col("pair.first"), F.col("pair.second")).alias("text_hash"))
     # The templates are constants of a few dozen rows, which every task gets.
     known = F.broadcast(templates(docs.sparkSession, base, more))
-    hits = grams.join(known, (F.col("text_hash") == F.col("hash")) & (F.col("text_gram") == F.col("gram")))
-    return hits.groupBy(
+    same = (F.col("text_hash") == F.col("hash")) & (F.col("pair.first") == F.col("word")) & (F.col("pair.second") == F.col("next_word"))
+    return grams.join(known, same).groupBy(
         "doc_id", "text_key", "template", "label", "is_base", "pairs", (F.col("place") - F.col("at")).alias("diagonal")
     ).agg(F.bit_or(F.expr("shiftleft(1L, at)")).alias("mask"))
 
 
+def slack(pairs):
+    """How many diagonals a band has beside its first."""
+    return F.floor(pairs / PER_SLACK).cast("int") + 1
+
+
+def in_order(masks, pairs):
+    """The most votes of a band at rising places of template and text.
+
+    Step by step through the template, the state holds at r the most votes whose last text
+    place is at most r - 1 beyond the step's place on the band's first diagonal. A vote on
+    diagonal k follows those that end before it; one step on, all bounds move down by one.
+    """
+    last = slack(pairs) + 1
+
+    def step(state, at):
+        here = F.transform(masks, lambda m, k: F.when(F.getbit(m, at) == 1, F.get(state, k) + 1).otherwise(0))
+        return F.transform(F.sequence(F.lit(1), last + 1), lambda r: F.greatest(
+            F.get(state, F.least(r, last)), F.array_max(F.slice(here, F.lit(1), F.least(r, last)))))
+
+    return F.aggregate(F.sequence(F.lit(0), pairs - 1), F.array_repeat(F.lit(0), last + 1), step, lambda state: F.get(state, last))
+
+
 def spans(voted: DataFrame) -> DataFrame:
-    """Merged diagonals: (doc_id, text_key, label, is_base, similarity)."""
-    by_diagonal = Window.partitionBy("doc_id", "text_key", "template").orderBy("diagonal")
-    opens = F.coalesce((F.col("diagonal") - F.lag("diagonal").over(by_diagonal) > GAP).cast("int"), F.lit(1))
-    numbered = voted.withColumn("opens", opens).withColumn("span", F.sum("opens").over(by_diagonal))
-    merged = numbered.groupBy("doc_id", "text_key", "template", "label", "is_base", "pairs", "span").agg(
-        F.bit_or("mask").alias("mask"))
-    return merged.select(
-        "doc_id", "text_key", "label", "is_base", (F.bit_count("mask") / F.col("pairs")).alias("similarity")
+    """Verified bands: (doc_id, text_key, label, is_base, diagonal, similarity); the diagonal is the span's first word."""
+    band = Window.partitionBy("doc_id", "text_key", "template").orderBy("diagonal").rangeBetween(0, MOST_PAIRS // PER_SLACK + 1)
+    # As many masks as the widest band has diagonals at most, whatever the text repeats.
+    near = F.collect_list(F.struct("diagonal", "mask")).over(band)
+    bands = voted.withColumn("near", near).withColumn("near", F.filter("near", lambda x: x["diagonal"] <= F.col("diagonal") + slack(F.col("pairs"))))
+    masks = F.transform(F.sequence(F.lit(0), slack(F.col("pairs"))), lambda k: F.coalesce(
+        F.get(F.filter("near", lambda x: x["diagonal"] == F.col("diagonal") + k), F.lit(0))["mask"], F.lit(0).cast("long")))
+    either = F.aggregate("near", F.lit(0).cast("long"), lambda a, x: a.bitwiseOR(x["mask"]))
+    likely = bands.where(F.bit_count(either) >= LEAST * F.col("pairs")).withColumn("masks", masks)
+    return likely.select(
+        "doc_id", "text_key", "label", "is_base", "diagonal", (in_order(F.col("masks"), F.col("pairs")) / F.col("pairs")).alias("similarity")
     ).where(F.col("similarity") >= LEAST)
 
 

@@ -50,7 +50,7 @@ def op4(spark, sf_dir):
     return ngram_join.ngram_jaccard_join(documents(spark, sf_dir))
 
 
-@query("op5_license_scan", sql.license_scan(licenses.BASE, licenses.MORE, licenses.GAP, licenses.LEAST))
+@query("op5_license_scan", sql.license_scan(licenses.BASE, licenses.MORE, licenses.PER_SLACK, licenses.LEAST))
 def op5(spark, sf_dir):
     return licenses.licenses(documents(spark, sf_dir))
 
@@ -67,7 +67,7 @@ def op7(spark, sf_dir):
 
 
 @query("op8_url_templates", sql.url_templates(
-    url_filter.RULES, url_filter.DEPTH, url_filter.FAN, url_filter.SHARE, url_filter.PRIOR, url_filter.BLOCK))
+    url_filter.RULES, url_filter.DEPTH, url_filter.FAN, url_filter.SHARE, url_filter.PRIOR, url_filter.BLOCK, url_filter.ALIKE))
 def op8(spark, sf_dir):
     return url_filter.url_filter(table(spark, sf_dir, "pages"))
 

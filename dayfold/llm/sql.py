@@ -63,8 +63,8 @@ FROM documents d LEFT JOIN sizes ON sizes.doc_id = d.doc_id
 """
 
 
-def license_scan(base, more, gap: int, least: float) -> str:
-    """Pairs of words joined to template places, votes per diagonal as bits, neighbouring diagonals merged."""
+def license_scan(base, more, per_slack: int, least: float) -> str:
+    """Pairs of words joined to template places, and the longest chains of hits that rise in text and template inside a band."""
     rows = []
     for number, (phrase, label, is_base) in enumerate([(p, x, "true") for p, x in base] + [(p, x, "false") for p, x in more]):
         words = phrase.split(" ")
@@ -72,7 +72,7 @@ def license_scan(base, more, gap: int, least: float) -> str:
             f"({number}, '{label}', {is_base}, {len(words) - 1}, {i}, '{words[i]} {words[i + 1]}')" for i in range(len(words) - 1)
         ]
     return f"""
-WITH templates(template, label, is_base, pairs, spot, gram) AS (VALUES {", ".join(rows)}
+WITH RECURSIVE templates(template, label, is_base, pairs, spot, gram) AS (VALUES {", ".join(rows)}
 ), worded AS (
   SELECT doc_id, md5(coalesce(text, '')) AS k,
          regexp_extract_all(translate(coalesce(text, ''), {LETTERS}), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
@@ -87,14 +87,19 @@ WITH templates(template, label, is_base, pairs, spot, gram) AS (VALUES {", ".joi
   SELECT doc_id, k, count(*) AS n_base, min(diagonal) AS first_word, max(diagonal) AS last_word,
          array_to_string(list_sort(list(DISTINCT label)), ',') AS base_labels
   FROM voted WHERE is_base AND bit_count(mask) = pairs GROUP BY doc_id, k
-), opened AS (
-  SELECT *, coalesce(diagonal - lag(diagonal) OVER (PARTITION BY doc_id, k, template ORDER BY diagonal) > {gap}, true) AS opens
-  FROM voted
-), numbered AS (
-  SELECT *, sum(opens::INT) OVER (PARTITION BY doc_id, k, template ORDER BY diagonal) AS span FROM opened
+), hits AS (
+  SELECT doc_id, k, template, pairs, place, spot FROM grams JOIN templates USING (gram)
+), chains(doc_id, k, template, pairs, band, place, spot, n) AS (
+  SELECT h.doc_id, h.k, h.template, h.pairs, v.diagonal, h.place, h.spot, 1
+  FROM hits h JOIN voted v ON v.doc_id = h.doc_id AND v.k = h.k AND v.template = h.template
+       AND h.place - h.spot BETWEEN v.diagonal AND v.diagonal + 1 + v.pairs // {per_slack}
+  UNION
+  SELECT c.doc_id, c.k, c.template, c.pairs, c.band, h.place, h.spot, c.n + 1
+  FROM chains c JOIN hits h ON h.doc_id = c.doc_id AND h.k = c.k AND h.template = c.template
+       AND h.place - h.spot BETWEEN c.band AND c.band + 1 + c.pairs // {per_slack} AND h.place > c.place AND h.spot > c.spot
 ), merged AS (
-  SELECT doc_id, k, label, bit_count(bit_or(mask)) / pairs AS similarity
-  FROM numbered GROUP BY doc_id, k, template, label, pairs, span
+  SELECT c.doc_id, c.k, label, max(n) / any_value(c.pairs) AS similarity
+  FROM chains c JOIN (SELECT DISTINCT template, label FROM templates) USING (template) GROUP BY c.doc_id, c.k, c.template, c.band, label
 ), found AS (
   SELECT doc_id, k, array_to_string(list_sort(list(DISTINCT label)), ',') AS labels, max(similarity) AS score
   FROM merged WHERE similarity >= {least} GROUP BY doc_id, k
@@ -106,8 +111,8 @@ FROM worded w LEFT JOIN places p ON p.doc_id = w.doc_id AND p.k = w.k LEFT JOIN
 """
 
 
-def url_templates(rules, depth: int, fan: int, share: float, prior: float, block: float) -> str:
-    """Rules by length, then templates level by level, smoothed purities and merged branches."""
+def url_templates(rules, depth: int, fan: int, share: float, prior: float, block: float, alike: float) -> str:
+    """Rules by length, then templates level by level, smoothed purities, and branches merged by a likelihood ratio."""
     cases = " ".join(
         f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}') THEN {{rule: '{h + p}', verdict: '{v}'}}"
         for h, p, v in sorted(rules, key=lambda r: -len(r[0] + r[1]))
@@ -134,6 +139,10 @@ def url_templates(rules, depth: int, fan: int, share: float, prior: float, block
     def purity(base):
         return f"((blocked + {prior} * {base}) / (labelled + {prior}))"
 
+    def likelihood(some, all_of):
+        parts = (f"CASE WHEN {x} > 0 THEN {x} * ln({x} / {all_of}) ELSE 0 END" for x in (some, f"({all_of} - {some})"))
+        return f"({' + '.join(parts)})"
+
     same = " AND ".join(f"r.{s} IS NOT DISTINCT FROM j.{s}" for s in names)
     return f"""
 WITH rests AS (
@@ -164,10 +173,23 @@ WITH rests AS (
   SELECT domain, {purity("base")} AS domain_purity FROM by_domain, base
 ), host_purities AS (
   SELECT host, {purity("domain_purity")} AS host_purity FROM by_host JOIN domain_purities USING (domain)
-), scored AS (
-  SELECT *, regexp_extract(t, '^(.*)/[^/]*$', 1) || '/~' || regexp_extract(t, '(\\.[a-z]+)?$', 1) || ' '
-            || CAST(CAST(floor({purity("host_purity")} * 10) AS BIGINT) AS VARCHAR) AS merged
+), branches AS (
+  SELECT *, regexp_extract(t, '^(.*)/[^/]*$', 1) AS parent, regexp_extract(t, '(\\.[a-z]+)?$', 1) AS shape,
+         CASE WHEN labelled > 0 THEN blocked / labelled END AS share
   FROM single JOIN host_purities USING (host)
+), beside AS (
+  SELECT *, lag(blocked) OVER siblings AS b0, lag(labelled) OVER siblings AS n0 FROM branches
+  WINDOW siblings AS (PARTITION BY host, parent, shape ORDER BY share NULLS LAST, t)
+), tested AS (
+  SELECT *, labelled > 0 AND coalesce(2 * ({likelihood("blocked", "labelled")} + {likelihood("b0", "n0")}
+            - {likelihood("(blocked + b0)", "(labelled + n0)")}), 0) >= {alike} AS opens FROM beside
+), numbered AS (
+  SELECT *, sum(opens::INT) OVER (PARTITION BY host, parent, shape ORDER BY share NULLS LAST, t) AS number FROM tested
+), counted AS (
+  SELECT *, max(number) FILTER (WHERE labelled > 0) OVER (PARTITION BY host, parent, shape) AS groups FROM numbered
+), scored AS (
+  SELECT *, parent || '/~' || shape || ' ' || CASE WHEN labelled > 0 OR groups = 0 THEN CAST(number AS VARCHAR) ELSE '-' END AS merged
+  FROM counted
 ), merged AS (
   SELECT host, merged, {purity("host_purity")} AS score
   FROM (SELECT host, merged, any_value(host_purity) AS host_purity, sum(labelled) AS labelled, sum(blocked) AS blocked
@@ -183,7 +205,7 @@ FROM urls r LEFT JOIN judged j ON r.host = j.host AND {same}
 
 
 def pareto_mixing(weights, most: int, seed: int) -> str:
-    """Water level over sources in the order of cap by weight, and running words in the order of Pareto ranks."""
+    """Water level over sources in the order of cap by weight, that over sizes, and running words in the order of Pareto ranks."""
     weight = "[" + ", ".join(f"{float(w)}" for w in weights) + "]"
     return f"""
 WITH sized AS (
@@ -201,15 +223,30 @@ WITH sized AS (
   SELECT source, source_size, least(cap, coalesce(weight * final.level, cap)) AS target,
          CASE WHEN source_size > 0 THEN least(cap, coalesce(weight * final.level, cap)) / source_size ELSE 0 END AS ratio
   FROM levels, final
+), rests AS (
+  SELECT *, floor(ratio) AS copies, CAST(round(target - floor(ratio) * source_size) AS BIGINT) AS rest FROM goals
+), kinds AS (
+  SELECT g.source, size, rest, CAST(count(*) AS HUGEINT) * size AS words, CAST(count(*) AS HUGEINT) * size * size AS square
+  FROM sized s JOIN rests g ON s.source IS NOT DISTINCT FROM g.source WHERE size > 0 GROUP BY g.source, size, rest
+), trials AS (
+  SELECT source, size, rest, sum(words) OVER (PARTITION BY source ORDER BY size DESC) - words AS above,
+         sum(square) OVER (PARTITION BY source ORDER BY size) AS squares
+  FROM kinds
+), bounds AS (
+  SELECT source, max(size) AS bound, arg_max(above, size) AS above, arg_max(squares, size) AS squares
+  FROM trials WHERE (rest - above) * size <= squares GROUP BY source
 ), ranked AS (
-  SELECT s.doc_id, s.source, size, source_size, target, floor(ratio) AS copies, ratio - floor(ratio) AS p,
-         CAST(round(target - floor(ratio) * source_size) AS BIGINT) AS rest,
+  SELECT s.doc_id, s.source, size, source_size, target, copies, rest,
+         CASE WHEN size = 0 OR rest <= 0 THEN 0 WHEN size > bound THEN 1
+              ELSE least(CAST(rest - above AS DOUBLE) * size / CAST(squares AS DOUBLE), 1) END AS p,
          (CAST('0x' || substr(md5('{seed}:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 13) AS BIGINT) + 0.5) / {float(1 << 52)}::DOUBLE AS u
-  FROM sized s JOIN goals g ON s.source IS NOT DISTINCT FROM g.source
+  FROM sized s JOIN rests g ON s.source IS NOT DISTINCT FROM g.source LEFT JOIN bounds b ON s.source IS NOT DISTINCT FROM b.source
+), ordered AS (
+  SELECT *, CASE WHEN p >= 1 THEN 0 WHEN p > 0 THEN (u / (1 - u)) / (p / (1 - p)) END AS rank FROM ranked
 ), placed AS (
-  SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY (u / (1 - u)) / (p / (1 - p)), doc_id, size
+  SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY rank NULLS LAST, doc_id, size
                                      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
-  FROM ranked
+  FROM ordered
 )
 SELECT doc_id, size, CAST(source_size AS BIGINT) AS source_size, target,
        CAST(copies * size + CASE WHEN p > 0 THEN greatest(0, least(size, rest - before)) ELSE 0 END AS BIGINT) AS taken

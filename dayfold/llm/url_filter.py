@@ -8,8 +8,11 @@ All other urls are judged by templates. A path is cut at ``/`` into at most ``DE
 segments (the last holds the rest), numbers inside a segment are written ``#``. Then, level
 by level and per host, a segment is generalised to ``*`` where its parent has more than
 ``FAN`` different segments and it holds less than ``SHARE`` of them. Branches below one
-parent that have the same shape and cannot be told apart by their labels (smoothed purity
-in the same tenth) are merged into one template. Labels are the verdicts of the rules; the
+parent that have the same shape are put in the order of their labels' shares, and merged
+into one template where a likelihood ratio test (``ALIKE``, 5 % on one degree of freedom)
+does not tell neighbours apart. Branches without labels join them if all are alike, else
+they are a template of their own that its host's purity judges. A parent has at most
+``max(FAN, 1 / SHARE) + 1`` branches. Labels are the verdicts of the rules; the
 purity of a template is smoothed towards its host's, that towards its domain's and that
 towards the share in the whole table, and a template is blocked from ``BLOCK`` on.
 
@@ -21,7 +24,7 @@ and is judged by the template of the empty host. Repeated page_ids are judged ro
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dayfold.llm.common import stored
@@ -34,6 +37,7 @@ DEPTH = 5
 FAN = 12
 SHARE = 0.05
 PRIOR = 4.0
+ALIKE = 3.841
 BLOCK = 0.5
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -80,6 +84,30 @@ def purity(blocked, labelled, prior):
     return (blocked + PRIOR * prior) / (labelled + PRIOR)
 
 
+def likelihood(blocked, labelled):
+    """Log-likelihood of labels at their own share; no labels and pure ones have 0."""
+    def part(count):
+        return F.when(count > 0, count * F.log(count / labelled)).otherwise(0.0)
+
+    return part(blocked) + part(labelled - blocked)
+
+
+def grouped(branches: DataFrame) -> DataFrame:
+    """Rows of (host, parent, shape, t, labelled, blocked, ...) with ``kin``: the number of the group among alike siblings, null without labels."""
+    siblings = Window.partitionBy("host", "parent", "shape")
+    in_order = siblings.orderBy(F.col("share").asc_nulls_last(), "t")
+    blocked, labelled = F.col("blocked"), F.col("labelled")
+    last_blocked, last_labelled = F.lag("blocked").over(in_order), F.lag("labelled").over(in_order)
+    apart = 2 * (likelihood(blocked, labelled) + likelihood(last_blocked, last_labelled)
+                 - likelihood(blocked + last_blocked, labelled + last_labelled))
+    opens = F.when((labelled > 0) & (F.coalesce(apart, F.lit(0.0)) >= ALIKE), 1).otherwise(0)
+    numbered = branches.withColumn("share", F.when(labelled > 0, blocked / labelled)).withColumn("opens", opens).withColumn(
+        "number", F.sum("opens").over(in_order))
+    groups = F.max(F.when(labelled > 0, F.col("number"))).over(siblings)
+    return numbered.withColumn("groups", groups).withColumn(
+        "kin", F.when((labelled > 0) | (F.col("groups") == 0), F.col("number"))).drop("share", "opens", "number", "groups")
+
+
 def templates(tree: DataFrame) -> DataFrame:
     """(host, t, merged, score): the merged template of each template and its smoothed share of blocked pages."""
     sums = [F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked")]
@@ -92,11 +120,11 @@ def templates(tree: DataFrame) -> DataFrame:
         "domain", purity(F.col("blocked"), F.col("labelled"), F.col("base")).alias("domain_purity"))
     hosts = hosts.join(domains, "domain").select(
         "host", purity(F.col("blocked"), F.col("labelled"), F.col("domain_purity")).alias("host_purity"))
-    scored = single.join(hosts, "host").withColumn("own", purity(F.col("blocked"), F.col("labelled"), F.col("host_purity")))
     # The last segment of branches that look and behave alike becomes a wildcard with their common shape.
     parent = F.regexp_extract("t", r"^(.*)/[^/]*$", 1)
     shape = F.regexp_extract("t", r"(\.[a-z]+)?$", 1)
-    scored = scored.withColumn("merged", F.concat_ws("", parent, F.lit("/~"), shape, F.lit(" "), F.floor(F.col("own") * 10).cast("string")))
+    scored = grouped(single.join(hosts, "host").withColumn("parent", parent).withColumn("shape", shape)).withColumn(
+        "merged", F.concat("parent", F.lit("/~"), "shape", F.lit(" "), F.coalesce(F.col("kin").cast("string"), F.lit("-"))))
     merged = scored.groupBy("host", "merged").agg(*sums, F.first("host_purity").alias("prior")).select(
         "host", "merged", purity(F.col("blocked"), F.col("labelled"), F.col("prior")).alias("score"))
     return scored.select("host", "t", "merged").join(merged, ["host", "merged"])
