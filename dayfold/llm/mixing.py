@@ -92,10 +92,11 @@ def mixed(docs: DataFrame, weights=WEIGHTS, most: int = MOST, seed: int = SEED)
     rows = stored(sized(docs), "sizes")
     goal = targets(rows, weights, most)
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
+    # What is one row per source is stored, so that Spark knows its size and need not deal rows by source to join it.
     goal = stored(goal.withColumnRenamed("source", "of_source").withColumn("copies", F.floor(ratio)).withColumn(
         "rest", F.round(F.col("target") - F.col("copies") * F.col("source_size")).cast("long")), "mix-goals")
     odds = inclusion(rows, goal.select("of_source", "rest")).withColumnRenamed("of_source", "odds_source")
-    goal = goal.join(odds, F.col("of_source").eqNullSafe(F.col("odds_source")), "left")
+    goal = stored(goal.join(odds, F.col("of_source").eqNullSafe(F.col("odds_source")), "left").drop("odds_source"), "mix-odds")
     digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
     u = (F.conv(F.substring(digest, 1, 13), 16, 10).cast("long") + 0.5) / float(1 << 52)
     drawn = ((F.col("rest") - F.col("above")).cast("double") * F.col("size")) / F.col("squares").cast("double")
@@ -110,9 +111,9 @@ def mixed(docs: DataFrame, weights=WEIGHTS, most: int = MOST, seed: int = SEED)
     up_to = Window.partitionBy("source").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     bins = sums.withColumn("before", F.coalesce(F.sum("words").over(up_to), F.lit(0)))
     is_cut = (F.col("before") < F.col("rest")) & (F.col("before") + F.col("words") > F.col("rest"))
-    cut = bins.groupBy(F.col("source").alias("cut_source")).agg(
+    cut = stored(bins.groupBy(F.col("source").alias("cut_source")).agg(
         F.max(F.when(F.col("before") + F.col("words") <= F.col("rest"), F.col("bin"))).alias("whole_to"),
-        F.max(F.when(is_cut, F.col("bin"))).alias("cut_bin"), F.max(F.when(is_cut, F.col("before"))).alias("before"))
+        F.max(F.when(is_cut, F.col("bin"))).alias("cut_bin"), F.max(F.when(is_cut, F.col("before"))).alias("before")), "mix-cuts")
     placed = ranked.join(cut, F.col("source").eqNullSafe(F.col("cut_source")))
     inside = placed.where("bin = cut_bin")
     in_order = Window.partitionBy("source", "bin").orderBy("rank", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
