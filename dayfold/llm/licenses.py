@@ -29,6 +29,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from dayfold.llm.common import stored
+
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 PER_SLACK = 4
 MOST_PAIRS = 62
@@ -130,7 +132,8 @@ def spans(voted: DataFrame) -> DataFrame:
 
 def licenses(docs: DataFrame, base=BASE, more=MORE) -> DataFrame:
     """(doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score) of every row."""
-    voted = votes(docs, base, more)
+    # Both base phrases and spans read the votes, a few rows per text that has any.
+    voted = stored(votes(docs, base, more), "license-votes")
     full = (F.bit_count("mask") == F.col("pairs")) & F.col("is_base")
     places = voted.where(full).groupBy("doc_id", "text_key").agg(
         F.count("*").alias("n_base"), F.min("diagonal").alias("first_word"), F.max("diagonal").alias("last_word"),

@@ -93,6 +93,11 @@ def test_spans_are_verified_in_order_as_by_brute_force(spark):
     assert 20 < kept < 150
 
 
+def test_votes_run_no_python(spark):
+    plan = licenses.votes(frame(spark, [(1, "cc by", "en", "s")]))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan and "Cartesian" not in plan
+
+
 def test_words_of_a_phrase_in_another_order_are_no_license(spark):
     rows = [(1, "released under a under the b the mit c mit license", "en", "s"), (2, "general public words public license", "en", "s"),
             (3, "Released under the MIT License", "en", "s"), (4, "general public license", "en", "s"), (4, None, "en", "s")]
